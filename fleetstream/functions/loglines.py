@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetstream.functions.scalars import NUMBER
+from fleetstream.functions.scalars import NUMBER, fixed_text
 
 # Log texts and the run-id grammar.
 ALERT_MARK = "ALERT window_start="
@@ -23,7 +23,7 @@ CLOCK = r"^\[([0-9:]+) [^\]]+\]"
 RUN_ID = r"^scenario-([A-D])-(mqtt|kafka)(?:-(\d{8}-\d{6}))?(?:-(\d+))?(?:-([a-zA-Z0-9]+))?"
 
 ALERT_FORMAT = (
-    "ALERT window_start=%d window_end=%d count=%d mean_engine_temp=%.2f mean_tyre_temp=%.2f "
+    "ALERT window_start=%d window_end=%d count=%d mean_engine_temp=%s mean_tyre_temp=%s "
     "max_engine_temp=%d max_tyre_temp=%d e2e_latency_ms=%d"
 )
 ALERT_FIELDS = [
@@ -54,7 +54,11 @@ def counter_line(line: Column, name: str) -> Column:
 
 def alert_line() -> Column:
     """Alert text of a window row."""
-    return F.format_string(ALERT_FORMAT, *ALERT_FIELDS)
+    texts = [
+        fixed_text(F.col(name), 2) if name.startswith("mean") else F.col(name)
+        for name in ALERT_FIELDS
+    ]
+    return F.format_string(ALERT_FORMAT, *texts)
 
 
 def alert_field(line: Column, name: str) -> Column:

@@ -106,6 +106,16 @@ def clock_epoch_s(run_date: Column, clock: Column) -> Column:
     return F.unix_timestamp(F.try_to_timestamp(text, F.lit("yyyyMMdd HH:mm:ss")))
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """Number text with fixed decimals, rounded on the exact binary value, ties to even."""
+    return F.replace(F.format_number(value, digits), F.lit(","), F.lit(""))
+
+
+def rounded_even(value: Column, digits: int) -> Column:
+    """Rounding of report figures: on the exact binary value, ties to even."""
+    return fixed_text(value.cast("double"), digits).try_cast("double")
+
+
 def whole_number_text(value: Column) -> Column:
     """``3.0`` as ``3``, other numbers unchanged, null as ``n/a``."""
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstream.functions import loglines
+from fleetstream.functions.rows import computed_once
 from fleetstream.functions.scalars import clock_epoch_s
 
 RECOVERY_LIMIT_S = 60
@@ -53,22 +54,28 @@ def alert_latency(
     ``run_id``, ``run_date`` (yyyyMMdd) and ``started_s``.  Runs without an injection or a
     critical alert fall back to the first alert's start minus the start of the run.
     """
-    value, position = F.col("value"), F.col("line_no")
+    value, file = F.col("value"), F.col("file_name")
     # Seconds of day instead of clock text keep the aggregation hash-based.
     clock = clock_epoch_s(F.lit("19700101"), loglines.captured(value, loglines.CLOCK))
-    injected = (
-        (F.col("file_name") == "ingestion.log")
-        & value.contains(loglines.INJECT_MARK)
+    injection = (file == "ingestion.log") & value.contains(loglines.INJECT_MARK)
+    first_digits = loglines.captured_long(value, r"ALERT window_start=(\d+)")
+    read = computed_once(
+        lines.where(injection | ((file == "analytics.log") & value.contains(loglines.ALERT_MARK))),
+        {
+            "is_injection": injection,
+            "clock": F.when(injection, clock),
+            "start": F.when(~injection, first_digits),
+            "is_critical": ~injection & value.contains(f"max_engine_temp={critical_max}"),
+        },
+        keep=["run_id", "line_no"],
     )
-    alert = F.when(
-        F.col("file_name") == "analytics.log",
-        loglines.captured_long(value, r"ALERT window_start=(\d+)"),
-    )
-    critical = alert.isNotNull() & value.contains(f"max_engine_temp={critical_max}")
-    found = lines.groupBy("run_id").agg(
-        F.min_by(clock, F.when(injected, position)).alias("clock_s"),
-        F.min_by(alert, F.when(critical, position)).alias("critical_start"),
-        F.min_by(alert, F.when(alert.isNotNull(), position)).alias("first_start"),
+    position, start = F.col("line_no"), F.col("start")
+    found = read.groupBy("run_id").agg(
+        F.min_by("clock", F.when(F.col("is_injection"), position)).alias("clock_s"),
+        F.min_by("start", F.when(F.col("is_critical") & start.isNotNull(), position)).alias(
+            "critical_start"
+        ),
+        F.min_by("start", F.when(start.isNotNull(), position)).alias("first_start"),
     )
     inject_s = clock_epoch_s(F.col("run_date"), F.lit("00:00:00")) + F.col("clock_s")
     main = F.expr(f"(critical_start + {int(window_ms)}L) div 1000L") - inject_s

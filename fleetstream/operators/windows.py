@@ -222,7 +222,7 @@ def latency_histogram(
     counted = closed.agg(
         *(F.count_if(seconds <= bound).alias(f"b{i}") for i, bound in enumerate(bounds_s)),
         F.count(seconds).alias(f"b{len(bounds_s)}"),
-        F.coalesce(F.sum(seconds), F.lit(0.0)).alias("sum_s"),
+        (F.coalesce(F.sum("e2e_latency_ms"), F.lit(0)) / 1000.0).alias("sum_s"),
     )
     buckets = F.array(
         *(

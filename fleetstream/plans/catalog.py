@@ -432,11 +432,6 @@ def metric_dump_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report.metric_values(dumps)
 
 
-def _log_columns(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    _, lines = runs_and_lines(spark, sf_dir)
-    return run_report.log_facts(lines).select("run_id", *columns)
-
-
 @query
 def ingest_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, lines = runs_and_lines(spark, sf_dir)

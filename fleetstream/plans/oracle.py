@@ -189,9 +189,9 @@ parsed AS (
   FROM runs),
 derived AS (
   SELECT *,
-    CASE WHEN emitted <> 0 THEN round(CAST(emitted AS DOUBLE) / duration_s, 1) END
+    CASE WHEN emitted <> 0 THEN CAST(printf('%.1f', CAST(emitted AS DOUBLE) / duration_s) AS DOUBLE) END
       AS throughput_msg_per_sec,
-    CASE WHEN emitted <> 0 THEN round(CAST(100.0 AS DOUBLE) * (emitted - persisted) / emitted, 2) END
+    CASE WHEN emitted <> 0 THEN CAST(printf('%.2f', CAST(100.0 AS DOUBLE) * (emitted - persisted) / emitted) AS DOUBLE) END
       AS loss_pct
   FROM parsed),
 facts AS (
@@ -348,7 +348,7 @@ ORACLES: dict[str, str] = {
         SELECT concat('scenario-C-kafka-20260101-', lpad(CAST(l_orderkey % 500 AS VARCHAR), 6, '0')) AS run_id,
           l_suppkey % 5 AS name,
           CASE WHEN l_linenumber % 7 = 0 THEN CAST(0 AS DOUBLE)
-               ELSE CAST(round(l_discount * 100) AS INTEGER) + CAST(0.5 AS DOUBLE) END AS cpu,
+               ELSE CAST(round(l_discount * 100) AS INTEGER) + CAST(0.503712 AS DOUBLE) END AS cpu,
           CAST(l_quantity AS INTEGER) * CAST(([1024, 1, 0.001, 0.000001])[l_linenumber % 4 + 1] AS DOUBLE) AS mem
         FROM lineitem WHERE l_suppkey % 5 <> 3),
         means AS (SELECT run_id, name, avg(cpu) AS cpu, avg(mem) AS mem FROM used GROUP BY ALL)

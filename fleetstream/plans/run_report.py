@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetstream.functions import loglines
-from fleetstream.functions.scalars import memory_mb, or_na, percent, whole_number_text
+from fleetstream.functions.rows import computed_once
+from fleetstream.functions.scalars import (
+    memory_mb,
+    or_na,
+    percent,
+    rounded_even,
+    whole_number_text,
+)
 from fleetstream.schemas import RUN_FACT_FIELDS
 
 PROJECT_PREFIX = "iots-proj2-"
@@ -21,12 +28,26 @@ METRIC_FILES = {
 }
 
 
-def _first(value: Column, found: Column) -> Column:
-    return F.min_by(value, F.when(found, F.col("line_no")))
-
-
-def _last(value: Column, found: Column) -> Column:
-    return F.max_by(value, F.when(found, F.col("line_no")))
+SNAPSHOT = r"^storage_metrics.*\.txt$"
+COUNTERS = ("received_total", "persisted_total", "dropped_total", "batches_total")
+GAUGES = ("lag_ms", "p95_lag_ms")
+DUMP_FIELDS = [
+    *(f"storage_{name}" for name in COUNTERS + GAUGES),
+    "ingest_emitted_total",
+    "ingest_throughput_msg_per_sec",
+]
+# Fields that keep the first line they appear on; the dumps and the mean keep the last.
+FIRST_FIELDS = [
+    "final_emitted",
+    "final_dropped",
+    "mode_emitted",
+    "recovery_s",
+    "e2e_latency_s",
+    "batches",
+    "received",
+    "persisted",
+]
+LAST_FIELDS = ["last_mean", *DUMP_FIELDS]
 
 
 def _whole(value: Column) -> Column:
@@ -35,78 +56,114 @@ def _whole(value: Column) -> Column:
     return F.when(finite, value).cast("bigint")
 
 
+def line_fields(lines: DataFrame) -> DataFrame:
+    """Lines as (``field``, ``amount``) pairs; a line without a field keeps one null pair."""
+    file, value = F.col("file_name"), F.col("value")
+
+    def field(name: str | Column, amount: Column) -> Column:
+        named = F.lit(name) if isinstance(name, str) else name
+        return F.struct(named.alias("field"), amount.cast("double").alias("amount"))
+
+    def text(name: str, pattern: str, group: int = 1) -> Column:
+        return field(name, loglines.captured(value, pattern, group).try_cast("double"))
+
+    by_file = {
+        "ingestion.log": [
+            text("final_emitted", loglines.EMITTED_DROPPED),
+            text("final_dropped", loglines.EMITTED_DROPPED, 2),
+            text("mode_emitted", loglines.EMITTED_AT_END),
+        ],
+        "analytics.log": [
+            field("alerts", F.regexp_count(value, F.lit(loglines.ALERT_MARK))),
+            text("last_mean", loglines.MEAN_ENGINE),
+        ],
+        "timing.log": [
+            text("recovery_s", loglines.RECOVERED),
+            field("no_recovery", F.when(value.contains(loglines.NO_RECOVERY), 1)),
+            text("e2e_latency_s", loglines.E2E_SECONDS),
+        ],
+        "storage.log": [
+            field(name, loglines.counter_line(value, name))
+            for name in ("batches", "received", "persisted")
+        ],
+    }
+    is_dump = file.rlike(SNAPSHOT) | file.isin(*METRIC_FILES.values())
+    metric = field(loglines.metric_name(value), loglines.metric_value(value))
+    found = F.when(is_dump, F.array(metric))
+    for name, fields in by_file.items():
+        found = found.when(file == name, F.array(*fields))
+    present = F.filter(found, lambda pair: pair["amount"].isNotNull())
+    return lines.select("run_id", "file_name", "line_no", F.inline_outer(present))
+
+
+def file_facts(lines: DataFrame) -> DataFrame:
+    """Fields per run and file.  Partial aggregation leaves one row per task and file for
+    the shuffle, however many lines a run has."""
+    field, amount, position = F.col("field"), F.col("amount"), F.col("line_no")
+
+    def at(name: str) -> Column:
+        return F.when(field == name, position)
+
+    return (
+        line_fields(lines)
+        .groupBy("run_id", "file_name")
+        .agg(
+            *(F.min_by(amount, at(name)).alias(name) for name in FIRST_FIELDS),
+            *(F.max_by(amount, at(name)).alias(name) for name in LAST_FIELDS),
+            F.sum(F.when(field == "alerts", amount)).alias("alerts"),
+            F.max(field == "no_recovery").alias("no_recovery"),
+        )
+    )
+
+
 def log_facts(lines: DataFrame) -> DataFrame:
-    """Everything the logs and metric dumps say about a run, in one aggregation.
+    """Everything the logs and metric dumps say about a run, from one pass over the lines.
 
     ``lines`` hold ``run_id``, ``file_name``, ``line_no`` and ``value``; a row without
-    ``value`` only marks the file as present.  Partial aggregation leaves one row per
-    task and run for the shuffle, however many lines a run has.
+    ``value`` only marks the file as present.
     """
-    file, value = F.col("file_name"), F.col("value")
-
-    def in_file(name: str, expression: Column) -> Column:
-        return F.when(file == name, expression)
-
-    def first_number(name: str, expression: Column) -> Column:
-        number = in_file(name, expression)
-        return _first(number, number.isNotNull())
-
-    is_dump = file.endswith("_metrics.txt")
-    metric = F.when(is_dump, loglines.metric_name(value))
-    amount = F.when(metric.isNotNull(), loglines.metric_value(value))
-    shaped = lines.select("run_id", "file_name", "line_no", "value", metric.alias("metric"), amount.alias("amount"))
-    metric, amount = F.col("metric"), F.col("amount")
-
-    def last_metric(service: str, name: str) -> Column:
-        matches = (file == METRIC_FILES[service]) & (metric == name) & amount.isNotNull()
-        return _last(amount, matches)
-
-    def final(group: int) -> Column:
-        return loglines.captured_long(value, loglines.EMITTED_DROPPED, group)
-
-    analytics_mean = loglines.captured(value, loglines.MEAN_ENGINE).try_cast("double")
-    timeout = in_file("timing.log", value.contains(loglines.NO_RECOVERY))
-    alerts = in_file("analytics.log", F.regexp_count(value, F.lit(loglines.ALERT_MARK)))
-    gathered = shaped.groupBy("run_id").agg(
-        *(F.max(file == name).alias(f"has_{service}") for service, name in METRIC_FILES.items()),
-        first_number("ingestion.log", final(1)).alias("final_emitted"),
-        first_number("ingestion.log", final(2)).alias("final_dropped"),
-        first_number("ingestion.log", loglines.captured_long(value, loglines.EMITTED_AT_END)).alias("mode_emitted"),
-        F.coalesce(F.sum(alerts), F.lit(0)).alias("alerts"),
-        _last(in_file("analytics.log", analytics_mean), (file == "analytics.log") & analytics_mean.isNotNull()).alias("last_mean"),
-        first_number("timing.log", loglines.captured_long(value, loglines.RECOVERED)).alias("recovery_s"),
-        F.coalesce(F.max(timeout), F.lit(False)).alias("no_recovery"),
-        first_number("timing.log", loglines.captured_long(value, loglines.E2E_SECONDS)).alias("e2e_latency_s"),
+    file = F.col("file_name")
+
+    def of(name: str, column: str | Column) -> Column:
+        value = F.col(column) if isinstance(column, str) else column
+        return F.max(F.when(file == name, value))
+
+    def whole_of(name: str, column: str) -> Column:
+        return of(name, _whole(F.col(column)))
+
+    def flag(condition: Column) -> Column:
+        return F.coalesce(F.max(condition), F.lit(False))
+
+    dump = METRIC_FILES["storage"]
+    backlog = _whole(F.col("storage_received_total")) - _whole(F.col("storage_persisted_total"))
+    gathered = file_facts(lines).groupBy("run_id").agg(
+        *(flag(file == name).alias(f"has_{service}") for service, name in METRIC_FILES.items()),
+        whole_of("ingestion.log", "final_emitted").alias("final_emitted"),
+        whole_of("ingestion.log", "final_dropped").alias("final_dropped"),
+        whole_of("ingestion.log", "mode_emitted").alias("mode_emitted"),
+        F.coalesce(whole_of("analytics.log", "alerts"), F.lit(0)).alias("alerts"),
+        of("analytics.log", "last_mean").alias("last_mean"),
+        whole_of("timing.log", "recovery_s").alias("recovery_s"),
+        whole_of("timing.log", "e2e_latency_s").alias("e2e_latency_s"),
+        flag((file == "timing.log") & F.col("no_recovery")).alias("no_recovery"),
+        *(whole_of("storage.log", name).alias(f"log_{name}") for name in ("batches", "received", "persisted")),
+        *(whole_of(dump, f"storage_{name}").alias(f"dump_{name}") for name in COUNTERS),
+        *(of(dump, f"storage_{name}").alias(f"storage_{name}") for name in GAUGES),
         *(
-            first_number("storage.log", loglines.counter_line(value, name)).alias(f"log_{name}")
-            for name in ("batches", "received", "persisted")
-        ),
-        *(
-            last_metric("storage", f"storage_{name}").alias(f"dump_{name}")
-            for name in ("received_total", "persisted_total", "dropped_total", "batches_total", "lag_ms", "p95_lag_ms")
+            of(name, F.coalesce("ingest_emitted_total", "storage_received_total", F.lit(0.0))).alias(f"{service}_emitted")
+            for service, name in METRIC_FILES.items()
         ),
         *(
-            last_metric(service, name).alias(f"{service}_{short}")
-            for service in METRIC_FILES
-            for name, short in (
-                ("ingest_emitted_total", "ingest_total"),
-                ("storage_received_total", "storage_total"),
-                ("ingest_throughput_msg_per_sec", "rate"),
-            )
+            of(name, F.coalesce("ingest_throughput_msg_per_sec", F.lit(0.0))).alias(f"{service}_throughput")
+            for service, name in METRIC_FILES.items()
         ),
+        F.max(F.when(file.rlike(SNAPSHOT), backlog)).alias("peak_backlog"),
     )
 
-    has_dump = F.col("has_storage")
-
     def from_dump(counter: str, log_value: Column) -> Column:
-        counted = F.coalesce(_whole(F.col(f"dump_{counter}_total")), F.lit(0))
-        return F.when(has_dump, counted).otherwise(log_value)
-
-    def service(name: str, *sources: str) -> Column:
-        values = (F.col(f"{name}_{source}") for source in sources)
-        return F.when(F.col(f"has_{name}"), F.coalesce(*values, F.lit(0.0)))
+        counted = F.coalesce(F.col(f"dump_{counter}_total"), F.lit(0))
+        return F.when(F.col("has_storage"), counted).otherwise(log_value)
 
-    nothing = F.lit(None).cast("bigint")
     return gathered.select(
         "run_id",
         F.coalesce("final_emitted", "mode_emitted").alias("emitted"),
@@ -119,28 +176,23 @@ def log_facts(lines: DataFrame) -> DataFrame:
         from_dump("persisted", F.col("log_persisted")).alias("persisted"),
         from_dump("dropped", F.col("final_dropped")).alias("dropped"),
         from_dump("batches", F.col("log_batches")).alias("batches"),
-        F.when(has_dump, F.col("dump_lag_ms")).alias("storage_lag_ms"),
-        F.when(has_dump, F.col("dump_p95_lag_ms")).alias("storage_p95_lag_ms"),
-        *(
-            column
-            for name in METRIC_FILES
-            for column in (
-                service(name, "ingest_total", "storage_total").alias(f"{name}_emitted"),
-                service(name, "rate").alias(f"{name}_throughput"),
-            )
-        ),
-        nothing.alias("duration_s"),
+        *(f"storage_{name}" for name in GAUGES),
+        *(f"{service}_{name}" for service in METRIC_FILES for name in ("emitted", "throughput")),
+        "peak_backlog",
+        # No source gives a duration; it is filled from the scenario.
+        F.lit(None).cast("bigint").alias("duration_s"),
     )
 
 
 def metric_values(lines: DataFrame) -> DataFrame:
     """Every metric of every dump: the last line that gives a name a number wins."""
-    parsed = lines.select(
-        "run_id",
-        "file_name",
-        "line_no",
-        loglines.metric_name(F.col("value")).alias("metric"),
-        loglines.metric_value(F.col("value")).alias("amount"),
+    parsed = computed_once(
+        lines.where(F.col("value").isNotNull()),
+        {
+            "metric": loglines.metric_name(F.col("value")),
+            "amount": loglines.metric_value(F.col("value")),
+        },
+        keep=["run_id", "file_name", "line_no"],
     )
     return (
         parsed.where(F.col("metric").isNotNull() & F.col("amount").isNotNull())
@@ -149,30 +201,10 @@ def metric_values(lines: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_backlogs(lines: DataFrame) -> DataFrame:
-    """Received and persisted per storage snapshot that has both counters."""
-    snapshot = F.col("file_name").rlike(r"^storage_metrics.*\.txt$")
-    line = loglines.stripped(F.col("value"))
-    amount = loglines.metric_value(F.col("value"))
-
-    def last(name: str) -> Column:
-        return _last(amount, line.startswith(f"{name} ") & amount.isNotNull())
-
-    counted = (
-        lines.where(snapshot & F.col("value").isNotNull())
-        .groupBy("run_id", "file_name")
-        .agg(
-            _whole(last("storage_received_total")).alias("received"),
-            _whole(last("storage_persisted_total")).alias("persisted"),
-        )
-    )
-    return counted.where(F.col("received").isNotNull() & F.col("persisted").isNotNull())
-
-
 def peak_backlog(lines: DataFrame) -> DataFrame:
-    """Largest received minus persisted over a run's snapshots."""
-    backlog = F.col("received") - F.col("persisted")
-    return snapshot_backlogs(lines).groupBy("run_id").agg(F.max(backlog).alias("peak_backlog"))
+    """Largest received minus persisted over the run's snapshots that have both."""
+    facts = log_facts(lines.where(F.col("file_name").rlike(SNAPSHOT)))
+    return facts.where(F.col("peak_backlog").isNotNull()).select("run_id", "peak_backlog")
 
 
 def container_means(samples: DataFrame, prefix: str = PROJECT_PREFIX) -> DataFrame:
@@ -198,8 +230,8 @@ def container_usage(samples: DataFrame, prefix: str = PROJECT_PREFIX) -> DataFra
         container_means(samples, prefix)
         .groupBy("run_id")
         .agg(
-            F.round(F.sum("cpu_avg"), 2).alias("total_cpu_avg"),
-            F.round(F.sum("mem_mb_avg"), 2).alias("total_mem_mb_avg"),
+            rounded_even(F.sum("cpu_avg"), 2).alias("total_cpu_avg"),
+            rounded_even(F.sum("mem_mb_avg"), 2).alias("total_mem_mb_avg"),
         )
     )
 
@@ -223,9 +255,9 @@ def with_derived(facts: DataFrame) -> DataFrame:
     return filled.withColumns(
         {
             "throughput_msg_per_sec": F.when(
-                has_emitted, F.round(F.try_divide(emitted, seconds), 1)
+                has_emitted, rounded_even(F.try_divide(emitted, seconds), 1)
             ),
-            "loss_pct": F.when(has_emitted, F.round(lost, 2)),
+            "loss_pct": F.when(has_emitted, rounded_even(lost, 2)),
         }
     )
 
@@ -270,7 +302,6 @@ def run_facts(lines: DataFrame, samples: DataFrame) -> DataFrame:
     run_id = F.col("run_id")
     facts = (
         log_facts(lines)
-        .join(peak_backlog(lines), "run_id", "left")
         .join(container_usage(samples), "run_id", "left")
         .withColumns(
             {

@@ -258,7 +258,7 @@ def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     names = ["iots-proj2-broker", "iots-proj2-storage", "iots-proj2-analytics", "other", "iots-proj2-ingestion"]
     units = ["GiB", "MiB", "KiB", "B"]
-    cpu = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit(".5%"))
+    cpu = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit(".503712%"))
     return items.select(
         F.concat(
             F.lit("scenario-C-kafka-20260101-"),
