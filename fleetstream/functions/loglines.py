@@ -44,7 +44,14 @@ def captured(line: Column, pattern: str, group: int = 1) -> Column:
 
 
 def captured_long(line: Column, pattern: str, group: int = 1) -> Column:
-    return captured(line, pattern, group).try_cast("bigint")
+    return captured_number(line, pattern, group, "bigint")
+
+
+def captured_number(
+    line: Column, pattern: str, group: int = 1, type_name: str = "double"
+) -> Column:
+    """Captured text as a number; null when the line does not match."""
+    return F.regexp_extract(line, pattern, group).try_cast(type_name)
 
 
 def counter_line(line: Column, name: str) -> Column:
@@ -73,12 +80,13 @@ def stripped(line: Column) -> Column:
 def metric_name(line: Column) -> Column:
     """Name part (labels included) of a metric dump line, split at the last space."""
     text = stripped(line)
-    return F.when((text != "") & ~text.startswith("#"), captured(text, r"^(.+) [^ ]+$"))
+    rest = F.length(text) - F.length(F.substring_index(text, " ", -1)) - 1
+    return F.when(~text.startswith("#") & (rest > 0), F.left(text, rest))
 
 
 def metric_value(line: Column) -> Column:
     """Value part of a metric dump line; null for anything but a number."""
-    text = F.regexp_extract(stripped(line), r" ([^ ]+)$", 1)
+    text = F.substring_index(stripped(line), " ", -1)
     special = F.lower(text).isin("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
     return F.when(text.rlike(NUMBER) | special, text.try_cast("double"))
 

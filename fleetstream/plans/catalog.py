@@ -23,7 +23,7 @@ from fleetstream.operators import (
 from fleetstream.operators.scan import row_rank
 from fleetstream.plans import run_report, views
 from fleetstream.plans.views import HOUR_MS, table, telemetry
-from fleetstream.session import fresh_path
+from fleetstream.session import fresh_path, materialise
 from fleetstream.sources import messages as message_source
 from fleetstream.sources.telemetry_csv import read_telemetry_csv
 from fleetstream.streaming import persist as stream_persist
@@ -495,13 +495,13 @@ def run_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_valid_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = run_report.latest_valid(facts(spark, sf_dir))
+    latest = run_report.latest_valid(materialise(facts(spark, sf_dir)))
     return latest.select("scenario", "broker", "run_id", "_valid", "emitted", "persisted")
 
 
 @query
 def comparison_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = run_report.latest_valid(facts(spark, sf_dir))
+    latest = run_report.latest_valid(materialise(facts(spark, sf_dir)))
     return run_report.comparison_tables(latest)["C"]
 
 

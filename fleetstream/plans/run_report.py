@@ -36,18 +36,6 @@ DUMP_FIELDS = [
     "ingest_emitted_total",
     "ingest_throughput_msg_per_sec",
 ]
-# Fields that keep the first line they appear on; the dumps and the mean keep the last.
-FIRST_FIELDS = [
-    "final_emitted",
-    "final_dropped",
-    "mode_emitted",
-    "recovery_s",
-    "e2e_latency_s",
-    "batches",
-    "received",
-    "persisted",
-]
-LAST_FIELDS = ["last_mean", *DUMP_FIELDS]
 
 
 def _whole(value: Column) -> Column:
@@ -57,61 +45,78 @@ def _whole(value: Column) -> Column:
 
 
 def line_fields(lines: DataFrame) -> DataFrame:
-    """Lines as (``field``, ``amount``) pairs; a line without a field keeps one null pair."""
-    file, value = F.col("file_name"), F.col("value")
+    """Up to three numbers per line, and the metric name of a dump line.
 
-    def field(name: str | Column, amount: Column) -> Column:
-        named = F.lit(name) if isinstance(name, str) else name
-        return F.struct(named.alias("field"), amount.cast("double").alias("amount"))
+    ``n1`` to ``n3`` mean, by file: ingestion.log emitted and dropped of the final line
+    and emitted of the mode line; analytics.log alerts and mean; timing.log recovery
+    seconds, 1 for no recovery, latency seconds; storage.log batches, received, persisted;
+    a dump the value of ``metric``.
+    """
+    file, value = F.col("file_name"), F.col("value")
+    is_dump = file.rlike(SNAPSHOT) | file.isin(*METRIC_FILES.values())
+    name = loglines.metric_name(value)
+    known = F.when(is_dump & name.isin(*DUMP_FIELDS), name)
 
-    def text(name: str, pattern: str, group: int = 1) -> Column:
-        return field(name, loglines.captured(value, pattern, group).try_cast("double"))
+    def number(pattern: str, group: int = 1) -> Column:
+        return loglines.captured_number(value, pattern, group)
 
-    by_file = {
+    numbers = {
         "ingestion.log": [
-            text("final_emitted", loglines.EMITTED_DROPPED),
-            text("final_dropped", loglines.EMITTED_DROPPED, 2),
-            text("mode_emitted", loglines.EMITTED_AT_END),
+            number(loglines.EMITTED_DROPPED),
+            number(loglines.EMITTED_DROPPED, 2),
+            number(loglines.EMITTED_AT_END),
         ],
         "analytics.log": [
-            field("alerts", F.regexp_count(value, F.lit(loglines.ALERT_MARK))),
-            text("last_mean", loglines.MEAN_ENGINE),
+            F.regexp_count(value, F.lit(loglines.ALERT_MARK)).cast("double"),
+            number(loglines.MEAN_ENGINE),
         ],
         "timing.log": [
-            text("recovery_s", loglines.RECOVERED),
-            field("no_recovery", F.when(value.contains(loglines.NO_RECOVERY), 1)),
-            text("e2e_latency_s", loglines.E2E_SECONDS),
+            number(loglines.RECOVERED),
+            F.when(value.contains(loglines.NO_RECOVERY), 1.0),
+            number(loglines.E2E_SECONDS),
         ],
         "storage.log": [
-            field(name, loglines.counter_line(value, name))
-            for name in ("batches", "received", "persisted")
+            loglines.counter_line(value, counter).cast("double")
+            for counter in ("batches", "received", "persisted")
         ],
     }
-    is_dump = file.rlike(SNAPSHOT) | file.isin(*METRIC_FILES.values())
-    metric = field(loglines.metric_name(value), loglines.metric_value(value))
-    found = F.when(is_dump, F.array(metric))
-    for name, fields in by_file.items():
-        found = found.when(file == name, F.array(*fields))
-    present = F.filter(found, lambda pair: pair["amount"].isNotNull())
-    return lines.select("run_id", "file_name", "line_no", F.inline_outer(present))
+    slots = [F.when(known.isNotNull(), loglines.metric_value(value)), F.when(F.lit(False), 0.0)]
+    slots.append(slots[1])
+    for file_name, columns in numbers.items():
+        for slot, column in enumerate(columns):
+            slots[slot] = F.when(file == file_name, column).otherwise(slots[slot])
+    return computed_once(
+        lines,
+        {"metric": known} | {f"n{i}": slot for i, slot in enumerate(slots, 1)},
+        keep=["run_id", "file_name", "line_no"],
+    )
 
 
 def file_facts(lines: DataFrame) -> DataFrame:
-    """Fields per run and file.  Partial aggregation leaves one row per task and file for
-    the shuffle, however many lines a run has."""
-    field, amount, position = F.col("field"), F.col("amount"), F.col("line_no")
+    """First, last and summed numbers per run and file.
+
+    Partial aggregation leaves one row per task and file for the shuffle, however many
+    lines a run has.
+    """
+    position, metric, n1 = F.col("line_no"), F.col("metric"), F.col("n1")
 
-    def at(name: str) -> Column:
-        return F.when(field == name, position)
+    def where(condition: Column) -> Column:
+        return F.when(condition, position)
 
     return (
         line_fields(lines)
         .groupBy("run_id", "file_name")
         .agg(
-            *(F.min_by(amount, at(name)).alias(name) for name in FIRST_FIELDS),
-            *(F.max_by(amount, at(name)).alias(name) for name in LAST_FIELDS),
-            F.sum(F.when(field == "alerts", amount)).alias("alerts"),
-            F.max(field == "no_recovery").alias("no_recovery"),
+            *(
+                F.min_by(n, where(F.col(n).isNotNull())).alias(f"first_{n}")
+                for n in ("n1", "n2", "n3")
+            ),
+            F.max_by("n2", where(F.col("n2").isNotNull())).alias("last_n2"),
+            F.sum("n1").alias("sum_n1"),
+            *(
+                F.max_by(n1, where((metric == name) & n1.isNotNull())).alias(name)
+                for name in DUMP_FIELDS
+            ),
         )
     )
 
@@ -124,38 +129,46 @@ def log_facts(lines: DataFrame) -> DataFrame:
     """
     file = F.col("file_name")
 
-    def of(name: str, column: str | Column) -> Column:
-        value = F.col(column) if isinstance(column, str) else column
+    def of(name: str, value: Column) -> Column:
         return F.max(F.when(file == name, value))
 
-    def whole_of(name: str, column: str) -> Column:
-        return of(name, _whole(F.col(column)))
+    def first(name: str, slot: int) -> Column:
+        return of(name, _whole(F.col(f"first_n{slot}")))
 
     def flag(condition: Column) -> Column:
         return F.coalesce(F.max(condition), F.lit(False))
 
+    def metric_of(name: str, *metrics: str) -> Column:
+        return of(name, F.coalesce(*metrics, F.lit(0.0)))
+
     dump = METRIC_FILES["storage"]
     backlog = _whole(F.col("storage_received_total")) - _whole(F.col("storage_persisted_total"))
+    services = METRIC_FILES.items()
+    alerts = of("analytics.log", F.col("sum_n1")).cast("bigint")
     gathered = file_facts(lines).groupBy("run_id").agg(
-        *(flag(file == name).alias(f"has_{service}") for service, name in METRIC_FILES.items()),
-        whole_of("ingestion.log", "final_emitted").alias("final_emitted"),
-        whole_of("ingestion.log", "final_dropped").alias("final_dropped"),
-        whole_of("ingestion.log", "mode_emitted").alias("mode_emitted"),
-        F.coalesce(whole_of("analytics.log", "alerts"), F.lit(0)).alias("alerts"),
-        of("analytics.log", "last_mean").alias("last_mean"),
-        whole_of("timing.log", "recovery_s").alias("recovery_s"),
-        whole_of("timing.log", "e2e_latency_s").alias("e2e_latency_s"),
-        flag((file == "timing.log") & F.col("no_recovery")).alias("no_recovery"),
-        *(whole_of("storage.log", name).alias(f"log_{name}") for name in ("batches", "received", "persisted")),
-        *(whole_of(dump, f"storage_{name}").alias(f"dump_{name}") for name in COUNTERS),
-        *(of(dump, f"storage_{name}").alias(f"storage_{name}") for name in GAUGES),
+        *(flag(file == name).alias(f"has_{service}") for service, name in services),
+        first("ingestion.log", 1).alias("final_emitted"),
+        first("ingestion.log", 2).alias("final_dropped"),
+        first("ingestion.log", 3).alias("mode_emitted"),
+        F.coalesce(alerts, F.lit(0)).alias("alerts"),
+        of("analytics.log", F.col("last_n2")).alias("last_mean"),
+        first("timing.log", 1).alias("recovery_s"),
+        flag((file == "timing.log") & F.col("first_n2").isNotNull()).alias("no_recovery"),
+        first("timing.log", 3).alias("e2e_latency_s"),
+        first("storage.log", 1).alias("log_batches"),
+        first("storage.log", 2).alias("log_received"),
+        first("storage.log", 3).alias("log_persisted"),
+        *(of(dump, _whole(F.col(f"storage_{name}"))).alias(f"dump_{name}") for name in COUNTERS),
+        *(of(dump, F.col(f"storage_{name}")).alias(f"storage_{name}") for name in GAUGES),
         *(
-            of(name, F.coalesce("ingest_emitted_total", "storage_received_total", F.lit(0.0))).alias(f"{service}_emitted")
-            for service, name in METRIC_FILES.items()
+            metric_of(name, "ingest_emitted_total", "storage_received_total").alias(
+                f"{service}_emitted"
+            )
+            for service, name in services
         ),
         *(
-            of(name, F.coalesce("ingest_throughput_msg_per_sec", F.lit(0.0))).alias(f"{service}_throughput")
-            for service, name in METRIC_FILES.items()
+            metric_of(name, "ingest_throughput_msg_per_sec").alias(f"{service}_throughput")
+            for service, name in services
         ),
         F.max(F.when(file.rlike(SNAPSHOT), backlog)).alias("peak_backlog"),
     )

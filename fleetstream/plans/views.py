@@ -18,13 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table with fewer files than cores spread over all cores.
+
+    For text-heavy views of the small test tables; a large table has many files and is
+    left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def telemetry_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as telemetry with the tyre cell still text.
 
     Emission is the arrival time moved back by up to 40 minutes, so that hourly
     windows see late events.
     """
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     arrival = epoch_ms(F.col("ts"))
     k = F.get_json_object("props", "$.k").cast("bigint")
     tyres = F.concat_ws(
@@ -118,7 +128,7 @@ def as_messages(texts: DataFrame) -> DataFrame:
 
 def run_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One measurement run per order, its counters from integer arithmetic."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     scenario = F.substring(F.lit("ABCD"), (k % 4 + 1).cast("int"), F.lit(1))
     broker = F.when(c % 2 == 1, "kafka").otherwise("mqtt")
@@ -255,7 +265,7 @@ def run_samples_of(runs: DataFrame) -> DataFrame:
 
 def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Container samples rendered from ``lineitem``, in 500 runs and all memory units."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"))
     names = ["iots-proj2-broker", "iots-proj2-storage", "iots-proj2-analytics", "other", "iots-proj2-ingestion"]
     units = ["GiB", "MiB", "KiB", "B"]
     cpu = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit(".503712%"))

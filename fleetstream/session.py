@@ -25,6 +25,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
+    """A session on this machine for tests, checks and benchmarks."""
+    builder = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("fleetstream")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture costs several JVM calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
+    for name, value in RUNTIME_CONF.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, named by ``spark.checkpoint.dir``.
 
