@@ -15,7 +15,8 @@ ALERT_MARK = "ALERT window_start="
 INJECT_MARK = "INJECT_HIGH_TEMP"
 EMITTED_DROPPED = r"emitted=(\d+)\s+dropped=(\d+)"
 EMITTED_AT_END = r"mode završen:\s+emitted=(\d+)"
-MEAN_ENGINE = r".*mean_engine_temp=([\d.]+)"
+# Anchored: an open start would retry the leading part at every position.
+MEAN_ENGINE = r"^.*mean_engine_temp=([\d.]+)"
 RECOVERED = r"Recovery detected at \+(\d+)s"
 NO_RECOVERY = "No recovery within 60s"
 E2E_SECONDS = r"E2E latency \([^)]+\):\s+(-?\d+)s"
@@ -44,14 +45,16 @@ def captured(line: Column, pattern: str, group: int = 1) -> Column:
 
 
 def captured_long(line: Column, pattern: str, group: int = 1) -> Column:
+    """Captured digits as a number; null when the line does not match."""
     return captured_number(line, pattern, group, "bigint")
 
 
 def captured_number(
     line: Column, pattern: str, group: int = 1, type_name: str = "double"
 ) -> Column:
-    """Captured text as a number; null when the line does not match."""
-    return F.regexp_extract(line, pattern, group).try_cast(type_name)
+    # Casting the empty text of a line without a match would raise and catch an exception
+    # for every such row, so only captured text reaches the cast.
+    return captured(line, pattern, group).try_cast(type_name)
 
 
 def counter_line(line: Column, name: str) -> Column:

@@ -12,6 +12,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON field takes its last value instead of failing the row.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The JVM never compiles methods above 8000 bytes; a stage that large runs faster as
+    # separately generated projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
