@@ -26,8 +26,7 @@ def index_percentile(
 
     Equal values are counted before the shuffle.  Bucket counts then locate the bucket
     that holds the wanted rank, and only that bucket's distinct values are ordered.
-    ``extra`` adds aggregates written over (distinct value, its count).  Nulls are left
-    out; without groups an empty input gives no row.
+    ``extra`` adds aggregates written over (distinct value, its count).  Nulls are left out.
     """
     group = list(group)
     counts = (
@@ -58,12 +57,14 @@ def index_percentile(
         .orderBy("__v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # A grouped result has no empty groups; without groups an empty input gives 0.
+    lowest = F.min("__v") if group else F.coalesce(F.min("__v"), F.lit(0))
     picked = (
         counts.join(located, [*group, "__b"])
         .withColumn("__seen", F.sum("__n").over(in_bucket))
         .where(F.col("__seen") > F.col("__rest"))
         .groupBy(*group)
-        .agg(F.min("__v").alias(name))
+        .agg(lowest.alias(name))
     )
     if not extra:
         return picked
@@ -72,4 +73,4 @@ def index_percentile(
     if group:
         return summary.join(picked, group)
     # One row each: attach the percentile as a scalar.
-    return summary.withColumn(name, picked.scalar()).where(F.col(name).isNotNull())
+    return summary.withColumn(name, picked.scalar())

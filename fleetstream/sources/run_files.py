@@ -21,16 +21,29 @@ def _placed(df: DataFrame) -> DataFrame:
 
 
 def run_files(spark: SparkSession, root: str) -> DataFrame:
-    """``run_id`` and ``file_name`` of every file; contents are not read."""
+    """``run_id`` and ``file_name`` of every file that is not empty; contents are not read."""
     listed = spark.read.format("binaryFile").load(f"{root}/*/*").select("path")
     return _placed(listed).select("run_id", "file_name")
 
 
+def dump_files(spark: SparkSession, root: str) -> DataFrame:
+    """``run_id`` and ``file_name`` of every metric dump, empty ones included.
+
+    A failed scrape leaves an empty dump, which means zeros and not "no dump".  Scans skip
+    empty files, so the names come from the scan's file index, which the driver holds for
+    planning anyway.
+    """
+    dumps = spark.read.format("binaryFile").option("pathGlobFilter", "*_metrics.txt")
+    names = dumps.load(f"{root}/*/*").inputFiles()
+    listed = spark.createDataFrame([(name,) for name in names], "path string")
+    return _placed(listed).select("run_id", "file_name")
+
+
 def run_lines(spark: SparkSession, root: str) -> DataFrame:
     """Lines of the logs and metric dumps, with a position that orders a file's lines.
 
-    Each file also contributes one row without text, so an empty file still counts as
-    present.
+    Files also contribute rows without text: a run counts from its files, and a dump is
+    present even when it is empty.
     """
     text = spark.read.option("pathGlobFilter", "*.{log,txt}").text(f"{root}/*/*")
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -44,7 +57,8 @@ def run_lines(spark: SparkSession, root: str) -> DataFrame:
             F.col("_metadata.file_path").alias("path"), position.alias("line_no"), "value"
         )
     ).select("run_id", "file_name", "line_no", "value")
-    present = run_files(spark, root).where(F.col("file_name").rlike(r"\.(log|txt)$"))
+    logs = run_files(spark, root).where(F.col("file_name").rlike(r"\.(log|txt)$"))
+    present = logs.unionByName(dump_files(spark, root))
     return placed.unionByName(
         present.withColumns(
             {
