@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetstream.operators.lookup import Index
 from fleetstream.operators.scan import Running, row_rank, running
 
 BATCH_SIZE = 500
@@ -16,6 +17,12 @@ LAG_HISTORY = 1000
 BLOCK = 8192
 
 
+def ticked(events: DataFrame, tick_ms: int, t0_ms: int | None) -> DataFrame:
+    start = F.lit(t0_ms) if t0_ms is not None else events.agg(F.min("arrival_ms")).scalar()
+    started = events.withColumn("tick_start_ms", start.cast("bigint"))
+    return started.withColumn("tick", F.expr(f"(arrival_ms - tick_start_ms) div {int(tick_ms)}L"))
+
+
 def assign_flush_batches(
     events: DataFrame,
     *,
@@ -29,38 +36,45 @@ def assign_flush_batches(
     a size flush does not move the tick.  ``seq`` orders the events.  Ticks start at
     ``t0_ms``, by default the first arrival.
     """
-    start = F.lit(t0_ms) if t0_ms is not None else events.agg(F.min("arrival_ms")).scalar()
-    started = events.withColumn("tick_start_ms", start.cast("bigint"))
-    ticked = started.withColumn("tick", F.expr(f"(arrival_ms - tick_start_ms) div {int(tick_ms)}L"))
-    ranked = row_rank(ticked, "seq", ["tick"], "rank_in_tick")
+    ranked = row_rank(ticked(events, tick_ms, t0_ms), "seq", ["tick"], "rank_in_tick")
     return ranked.withColumn(
         "batch_in_tick", F.expr(f"rank_in_tick div {int(batch_size)}L")
     ).drop("rank_in_tick")
 
 
 def flush_batches(
-    assigned: DataFrame, *, tick_ms: int = TICK_MS, batch_size: int = BATCH_SIZE
+    events: DataFrame,
+    *,
+    tick_ms: int = TICK_MS,
+    batch_size: int = BATCH_SIZE,
+    t0_ms: int | None = None,
 ) -> DataFrame:
     """One row per batch: ``batch_seq``, size, flush time and lag of its last event."""
-    batches = (
-        assigned.groupBy("tick", "batch_in_tick")
-        .agg(
-            F.count(F.lit(1)).alias("size"),
-            F.min("arrival_ms").alias("first_arrival_ms"),
-            F.max("arrival_ms").alias("last_arrival_ms"),
-            F.max_by("t_emit", "seq").alias("last_t_emit"),
-            F.min("tick_start_ms").alias("tick_start_ms"),
-        )
+    # Batches before a tick follow from the event counts per tick alone.
+    per_tick = (
+        ticked(events, tick_ms, t0_ms)
+        .groupBy("tick")
+        .agg(F.ceil(F.count(F.lit(1)) / batch_size).cast("bigint").alias("batches"))
+    )
+    ticks = Index.of(per_tick, "tick", "batches")
+    earlier = Running("earlier", "sum", "batches")
+    numbered = running(ticks.df, "tick", [earlier], levels=0 if ticks.is_small else 2)
+    starts = ticks.replaced(numbered.withColumn("earlier", F.coalesce("earlier", F.lit(0))))
+
+    assigned = assign_flush_batches(
+        events, tick_ms=tick_ms, batch_size=batch_size, t0_ms=t0_ms
+    )
+    batches = assigned.groupBy("tick", "batch_in_tick").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min("arrival_ms").alias("first_arrival_ms"),
+        F.max("arrival_ms").alias("last_arrival_ms"),
+        F.max_by("t_emit", "seq").alias("last_t_emit"),
+        F.min("tick_start_ms").alias("tick_start_ms"),
     )
     tick_end = F.col("tick_start_ms") + (F.col("tick") + 1) * tick_ms
     flushed = F.when(F.col("size") >= batch_size, F.col("last_arrival_ms")).otherwise(tick_end)
-    ticks = batches.groupBy("tick").agg(F.count(F.lit(1)).alias("batches"))
-    before = running(ticks, "tick", [Running("earlier", "sum", "batches")]).select(
-        "tick", F.coalesce("earlier", F.lit(0)).alias("earlier")
-    )
     return (
-        batches.withColumn("flush_ms", flushed)
-        .join(before, "tick")
+        starts.join(batches.withColumn("flush_ms", flushed), ["earlier"])
         .select(
             (F.col("earlier") + F.col("batch_in_tick")).alias("batch_seq"),
             "tick",

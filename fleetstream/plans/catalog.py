@@ -280,17 +280,18 @@ def persist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def assigned_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = telemetry(spark, sf_dir).select("seq", "arrival_ms", "t_emit")
-    return batches.assign_flush_batches(
-        events, tick_ms=TICK_MS, batch_size=BATCH_ROWS, t0_ms=T0_MS
-    )
+    return batches.flush_batches(events, tick_ms=TICK_MS, batch_size=BATCH_ROWS, t0_ms=T0_MS)
 
 
-def flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.flush_batches(
-        assigned_batches(spark, sf_dir), tick_ms=TICK_MS, batch_size=BATCH_ROWS
+@query
+def event_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = telemetry(spark, sf_dir).select("seq", "arrival_ms", "t_emit")
+    assigned = batches.assign_flush_batches(
+        events, tick_ms=TICK_MS, batch_size=BATCH_ROWS, t0_ms=T0_MS
     )
+    return assigned.select("seq", "tick", "batch_in_tick")
 
 
 @query

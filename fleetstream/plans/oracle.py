@@ -283,6 +283,7 @@ ORACLES: dict[str, str] = {
     "mask_url": """SELECT page_id, regexp_replace(replace(url, '://', concat('://iot:pw', page_id, '@')),
         ':[^:@]+@', ':***@') AS url FROM pages""",
     "persist_rows": f"{TEL} SELECT {PERSISTED} FROM tel WHERE {GOOD}",
+    "event_batches": f"{BATCHES} SELECT seq, tick, batch_in_tick FROM ranked",
     "flush_batches": f"{BATCHES} SELECT * FROM batch",
     "batch_p95": f"{BATCHES} SELECT {p95('list(lag_ms)')} AS p95_lag_ms FROM batch",
     "rolling_p95": f"""{BATCHES}, hist AS (SELECT batch_seq, lag_ms, list(lag_ms) OVER (
@@ -349,10 +350,11 @@ ORACLES: dict[str, str] = {
           l_suppkey % 5 AS name,
           CASE WHEN l_linenumber % 7 = 0 THEN CAST(0 AS DOUBLE)
                ELSE CAST(round(l_discount * 100) AS INTEGER) + CAST(0.503712 AS DOUBLE) END AS cpu,
-          CAST(l_quantity AS INTEGER) * CAST(([1024, 1, 0.001, 0.000001])[l_linenumber % 4 + 1] AS DOUBLE) AS mem
+          (CAST(l_quantity AS INTEGER) + CAST(0.503712 AS DOUBLE)) * CAST(([1024, 1, 0.001, 0.000001])[l_linenumber % 4 + 1] AS DOUBLE) AS mem
         FROM lineitem WHERE l_suppkey % 5 <> 3),
         means AS (SELECT run_id, name, avg(cpu) AS cpu, avg(mem) AS mem FROM used GROUP BY ALL)
-        SELECT run_id, round(sum(cpu), 2) AS total_cpu_avg, round(sum(mem), 2) AS total_mem_mb_avg
+        SELECT run_id, CAST(printf('%.2f', sum(cpu)) AS DOUBLE) AS total_cpu_avg,
+          CAST(printf('%.2f', sum(mem)) AS DOUBLE) AS total_mem_mb_avg
         FROM means GROUP BY run_id""",
     "peak_backlog": f"{FACTS} SELECT run_id, peak_backlog FROM facts WHERE has_dump",
     "run_facts": f"""{FACTS} SELECT alerts, analytics_emitted, analytics_throughput, batches, broker,

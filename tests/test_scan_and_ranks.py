@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fleetstream.operators import batches, ranks
+from fleetstream.operators import batches, lookup, ranks
 from fleetstream.operators.scan import Running, row_rank, running
 
 
@@ -62,20 +62,20 @@ def test_one_tick_is_cut_by_size(spark):
     events = spark.range(1200).select(
         F.col("id").alias("seq"), F.lit(5).cast("bigint").alias("arrival_ms"), F.lit(0).cast("bigint").alias("t_emit")
     )
-    found = batches.flush_batches(batches.assign_flush_batches(events)).orderBy("batch_seq").collect()
+    found = batches.flush_batches(events).orderBy("batch_seq").collect()
     assert [(r.batch_seq, r.size) for r in found] == [(0, 500), (1, 500), (2, 200)]
     assert [r.flush_ms for r in found] == [5, 5, 205]
 
 
-def test_batches_match_a_loop(spark):
+@pytest.mark.parametrize("limit", [500_000, 3])
+def test_batches_match_a_loop(spark, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "MAX_SMALL_ROWS", limit)
     rng = random.Random(5)
     arrivals = sorted(rng.randrange(3000) for _ in range(400))
     events = spark.createDataFrame(
         [(i, a, a - 7) for i, a in enumerate(arrivals)], "seq bigint, arrival_ms bigint, t_emit bigint"
     ).repartition(3)
-    found = batches.flush_batches(
-        batches.assign_flush_batches(events, batch_size=9, t0_ms=0), batch_size=9
-    ).orderBy("batch_seq").collect()
+    found = batches.flush_batches(events, batch_size=9, t0_ms=0).orderBy("batch_seq").collect()
     expected, current = [], []
     for i, a in enumerate(arrivals):
         if current and arrivals[current[0]] // 200 != a // 200:
