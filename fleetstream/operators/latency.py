@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstream.functions import loglines
-from fleetstream.functions.rows import computed_once
 from fleetstream.functions.scalars import clock_epoch_s
 
 RECOVERY_LIMIT_S = 60
@@ -59,15 +58,15 @@ def alert_latency(
     clock = clock_epoch_s(F.lit("19700101"), loglines.captured(value, loglines.CLOCK))
     injection = (file == "ingestion.log") & value.contains(loglines.INJECT_MARK)
     first_digits = loglines.captured_long(value, r"ALERT window_start=(\d+)")
-    read = computed_once(
-        lines.where(injection | ((file == "analytics.log") & value.contains(loglines.ALERT_MARK))),
-        {
-            "is_injection": injection,
-            "clock": F.when(injection, clock),
-            "start": F.when(~injection, first_digits),
-            "is_critical": ~injection & value.contains(f"max_engine_temp={critical_max}"),
-        },
-        keep=["run_id", "line_no"],
+    read = lines.where(
+        injection | ((file == "analytics.log") & value.contains(loglines.ALERT_MARK))
+    ).select(
+        "run_id",
+        "line_no",
+        injection.alias("is_injection"),
+        F.when(injection, clock).alias("clock"),
+        F.when(~injection, first_digits).alias("start"),
+        (~injection & value.contains(f"max_engine_temp={critical_max}")).alias("is_critical"),
     )
     position, start = F.col("line_no"), F.col("start")
     found = read.groupBy("run_id").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fleetstream.functions.scalars import device_id
 from fleetstream.operators.lookup import MAX_SMALL_ROWS, Index
 from fleetstream.operators.scan import Running, running
+from fleetstream.session import materialise
 
 PILOTS = 20
 MAX_GAP_MS = 1000
@@ -182,7 +183,10 @@ def device_replay(
 
     Adds the device columns, ``elapsed_ms`` since the start of the replay and ``t_emit``.
     """
-    timeline = replay_timeline(rows, session=[session], order=order, time_scale=time_scale)
+    # Read by several small aggregations and once per device: ordered a single time.
+    timeline = materialise(
+        replay_timeline(rows, session=[session], order=order, time_scale=time_scale)
+    )
     kept = until_duration(timeline, duration_ms=duration_ms, session=session, order=order)
     lengths = Index.of(
         kept.groupBy(session).agg(

@@ -85,11 +85,8 @@ def line_fields(lines: DataFrame) -> DataFrame:
     for file_name, columns in numbers.items():
         for slot, column in enumerate(columns):
             slots[slot] = F.when(file == file_name, column).otherwise(slots[slot])
-    return computed_once(
-        lines,
-        {"metric": known} | {f"n{i}": slot for i, slot in enumerate(slots, 1)},
-        keep=["run_id", "file_name", "line_no"],
-    )
+    numbered = (slot.alias(f"n{i}") for i, slot in enumerate(slots, 1))
+    return lines.select("run_id", "file_name", "line_no", known.alias("metric"), *numbered)
 
 
 def file_facts(lines: DataFrame) -> DataFrame:
