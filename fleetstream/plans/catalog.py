@@ -463,6 +463,14 @@ def storage_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report.log_facts(logs).select("run_id", "batches", "received", "persisted")
 
 
+@query
+def last_alert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, lines = runs_and_lines(spark, sf_dir)
+    return run_report.matching_lines(lines, "analytics.log", loglines.ALERT_MARK, 2).select(
+        "run_id", "line_no"
+    )
+
+
 @query
 def container_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report.container_usage(views.lineitem_samples(spark, sf_dir))

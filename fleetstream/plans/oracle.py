@@ -345,6 +345,8 @@ ORACLES: dict[str, str] = {
         FROM facts WHERE scenario IN ('B', 'D')""",
     "storage_log_parse": f"""{FACTS} SELECT run_id, batches, received, persisted FROM facts
         WHERE NOT has_dump""",
+    "last_alert_lines": f"""{RUNS}, alerts AS (SELECT run_id, c, unnest(range(1, c % 4 + 1)) AS line_no
+        FROM runs) SELECT run_id, line_no FROM alerts WHERE line_no > c % 4 - 2""",
     "container_usage": """WITH used AS (
         SELECT concat('scenario-C-kafka-20260101-', lpad(CAST(l_orderkey % 500 AS VARCHAR), 6, '0')) AS run_id,
           l_suppkey % 5 AS name,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetstream.functions import loglines
@@ -15,8 +15,11 @@ from fleetstream.functions.scalars import (
     whole_number_text,
 )
 from fleetstream.schemas import RUN_FACT_FIELDS
+from fleetstream.session import materialise
+from fleetstream.sources.run_files import container_samples, run_lines
 
-PROJECT_PREFIX = "iots-proj2-"
+# Name prefix of the containers that count; pass the prefix of the measured project.
+PROJECT_PREFIX = "fleet-"
 # Configured seconds of a run per scenario (fixed values).
 SCENARIO_SECONDS = {"A": 30, "B": 120, "C": 180, "D": 180}
 RECOVERY_LIMIT_S = 60
@@ -307,12 +310,14 @@ def validated(facts: DataFrame) -> DataFrame:
     )
 
 
-def run_facts(lines: DataFrame, samples: DataFrame) -> DataFrame:
+def run_facts(
+    lines: DataFrame, samples: DataFrame, prefix: str = PROJECT_PREFIX
+) -> DataFrame:
     """One validated fact row per run with all report columns."""
     run_id = F.col("run_id")
     facts = (
         log_facts(lines)
-        .join(container_usage(samples), "run_id", "left")
+        .join(container_usage(samples, prefix), "run_id", "left")
         .withColumns(
             {
                 part: F.coalesce(loglines.run_id_part(run_id, part), F.lit(""))
@@ -330,6 +335,24 @@ def run_facts(lines: DataFrame, samples: DataFrame) -> DataFrame:
     return checked.select(*(F.col(n).cast(t).alias(n) for n, t in RUN_FACT_FIELDS.items()))
 
 
+def matching_lines(
+    lines: DataFrame, file_name: str, pattern: str, n: int, *, last: bool = True
+) -> DataFrame:
+    """The last (or first) ``n`` lines of each run's file that match a pattern.
+
+    The rank limit is applied in every task before the shuffle, so a run with very many
+    matching lines sends at most ``n`` of them per task.
+    """
+    position = F.col("line_no")
+    order = Window.partitionBy("run_id").orderBy(position.desc() if last else position.asc())
+    return (
+        lines.where((F.col("file_name") == file_name) & F.col("value").rlike(pattern))
+        .withColumn("__rank", F.row_number().over(order))
+        .where(F.col("__rank") <= n)
+        .drop("__rank")
+    )
+
+
 def union_facts(*parts: DataFrame) -> DataFrame:
     """Facts with different columns as one table, columns sorted, missing ones null."""
     whole = parts[0]
@@ -409,3 +432,14 @@ def comparison_tables(latest: DataFrame) -> dict[str, DataFrame]:
         )
         for scenario, columns in cells.items()
     }
+
+
+def report(
+    spark: SparkSession, root: str, path: str, prefix: str = PROJECT_PREFIX
+) -> dict[str, DataFrame]:
+    """Read all runs below ``root``, write their facts to ``path``, return the comparison."""
+    lines, samples = run_lines(spark, root), container_samples(spark, root)
+    # One row per run, used by the written tables and by the comparison.
+    facts = materialise(run_facts(lines, samples, prefix))
+    write_facts(facts, path)
+    return comparison_tables(latest_valid(facts))

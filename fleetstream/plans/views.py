@@ -253,7 +253,7 @@ def run_lines_of(runs: DataFrame) -> DataFrame:
 def run_samples_of(runs: DataFrame) -> DataFrame:
     """Container samples of ``run_orders`` rows: four per run, one foreign container."""
     k, c = F.col("k"), F.col("c")
-    names = F.array(*map(F.lit, ["iots-proj2-broker", "iots-proj2-storage", "iots-proj2-broker", "other"]))
+    names = F.array(*map(F.lit, ["fleet-broker", "fleet-storage", "fleet-broker", "other"]))
     sampled = runs.select("run_id", k, c, F.posexplode(names).alias("number", "name"))
     n = F.col("number")
     return sampled.select(
@@ -267,7 +267,7 @@ def run_samples_of(runs: DataFrame) -> DataFrame:
 def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Container samples rendered from ``lineitem``, in 500 runs and all memory units."""
     items = spread(table(spark, sf_dir, "lineitem"))
-    names = ["iots-proj2-broker", "iots-proj2-storage", "iots-proj2-analytics", "other", "iots-proj2-ingestion"]
+    names = ["fleet-broker", "fleet-storage", "fleet-analytics", "other", "fleet-ingestion"]
     units = ["GiB", "MiB", "KiB", "B"]
     cpu = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit(".503712%"))
     return items.select(

@@ -1,6 +1,5 @@
 import pytest
 
-from fleetstream.functions.scalars import rounded_even  # noqa: F401
 from fleetstream.plans import run_report
 from fleetstream.schemas import RUN_FACT_FIELDS
 from fleetstream.sources import run_files
@@ -55,7 +54,7 @@ def raw(tmp_path):
         "storage.log": "received = 77\n",
         "ingest_metrics.txt": "ingest_emitted_total 3000\n",
         "analytics_metrics.txt": "",
-        "stats.csv": "Name,CPUPerc,MemUsage,NetIO,BlockIO\niots-proj2-kafka,80.00%,1GiB / 4GiB,a,b\niots-proj2-kafka,60.00%,512MiB / 4GiB,a,b\niots-proj2-storage,10.25%,100MiB / 4GiB,a,b\nother,99%,9GiB / 9GiB,a,b\n",
+        "stats.csv": "Name,CPUPerc,MemUsage,NetIO,BlockIO\nfleet-kafka,80.00%,1GiB / 4GiB,a,b\nfleet-kafka,60.00%,512MiB / 4GiB,a,b\nfleet-storage,10.25%,100MiB / 4GiB,a,b\nother,99%,9GiB / 9GiB,a,b\n",
     })
     write_run(root, "scenario-B-mqtt-20260614-200255", {
         "ingestion.log": "Realtime mode završen: emitted=500\n",
@@ -92,6 +91,22 @@ def test_report_from_files(spark, raw, tmp_path):
     assert written.columns == sorted(set(RUN_FACT_FIELDS) - {"scenario"}) and written.count() == 1
 
 
+def test_whole_report(spark, raw, tmp_path):
+    tables = run_report.report(spark, raw, str(tmp_path / "report"))
+    assert [tuple(r) for r in tables["A"].collect()] == [("kafka", "1000", "acksall", "100.0", "0.33", "80.25", "868.0")]
+    assert [r.recovery_s for r in tables["C"].sparkSession.read.option("header", True).csv(str(tmp_path / "report")).where("scenario = 'B'").collect()] == ["23"]
+    assert tables["C"].first().peak_backlog == "40" and tables["D"].count() == 0
+
+
+def test_matching_lines(spark, raw):
+    lines = run_files.run_lines(spark, raw)
+    tail = run_report.matching_lines(lines, "ingestion.log", "emitted=", 2)
+    found = sorted(r.value for r in tail.where("run_id LIKE 'scenario-A%'").collect())
+    assert found == ["[10:00:00 INF] Ingestion završen. emitted=3000 dropped=2", "x emitted=1 dropped=1"]
+    head = run_report.matching_lines(lines, "ingestion.log", "emitted=", 1, last=False)
+    assert {r.value for r in head.collect()} == {"Rate mode završen: emitted=3000/3000", "Realtime mode završen: emitted=500"}
+
+
 def test_metric_values_keep_the_last(spark, raw):
     lines = run_files.run_lines(spark, raw).where("run_id LIKE 'scenario-A%' AND file_name = 'storage_metrics.txt'")
     found = {r.metric: r.amount for r in run_report.metric_values(lines).collect()}
