@@ -19,6 +19,8 @@ from fleetstream.session import materialise
 PILOTS = 20
 MAX_GAP_MS = 1000
 CRITICAL_EVENTS = 100
+# Largest array of device numbers one row is expanded through.
+CHUNK = 100_000
 CRITICAL_TEMPERATURE = 1500.0
 
 
@@ -52,13 +54,31 @@ def with_device(df: DataFrame, number: Column, fleet: Column) -> DataFrame:
     )
 
 
-def fan_out(df: DataFrame, fleet: Column, number: str = "device_number") -> DataFrame:
-    """One row per device of each row's fleet; a fleet below one device is an error."""
-    size = F.when(fleet >= 1, fleet.cast("bigint")).otherwise(
+def fan_out(df: DataFrame, fleet: Column | int, number: str = "device_number") -> DataFrame:
+    """One row per device of each row's fleet; a fleet below one device is an error.
+
+    A fleet of more than ``CHUNK`` devices is first cut into chunks that are spread over
+    the cluster, so that no row becomes a huge array and no task writes a whole fleet.
+    """
+    if isinstance(fleet, int):
+        if fleet < 1:
+            raise ValueError("a fleet needs at least one device")
+        largest, size = fleet, F.lit(fleet)
+    else:
+        largest, size = df.agg(F.max(fleet)).first()[0] or 0, fleet
+    zero, size = F.lit(0).cast("bigint"), size.cast("bigint")
+    checked = F.when(size >= 1, size).otherwise(
         F.raise_error(F.lit("a fleet needs at least one device")).cast("bigint")
     )
-    numbered = df.withColumn(number, F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1)))
-    return with_device(numbered, F.col(number), fleet)
+    if largest <= CHUNK:
+        numbers = F.sequence(zero, checked - 1)
+        return with_device(df.withColumn(number, F.explode(numbers)), F.col(number), size)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = F.sequence(zero, checked - 1, F.lit(CHUNK).cast("bigint"))
+    chunks = df.withColumn("__start", F.explode(starts)).repartition(tasks)
+    end = F.least(F.col("__start") + CHUNK, size) - 1
+    numbered = chunks.withColumn(number, F.explode(F.sequence("__start", end))).drop("__start")
+    return with_device(numbered, F.col(number), size)
 
 
 def devices(spark: SparkSession, count: int) -> DataFrame:
@@ -195,7 +215,7 @@ def device_replay(
         session,
         "__n",
     )
-    replayed = fan_out(lengths.join(kept, ["__length"]), F.lit(devices))
+    replayed = fan_out(lengths.join(kept, ["__length"]), devices)
     elapsed = F.col("device_number") * F.col("__length") + F.col("offset_ms")
     return replayed.withColumn("elapsed_ms", elapsed).withColumn(
         "t_emit", F.lit(t0_ms) + F.col("elapsed_ms")

@@ -18,10 +18,21 @@ def test_fleet(spark, n):
 def test_empty_fleet_is_an_error(spark):
     with pytest.raises(ValueError):
         replay.devices(spark, 0)
+    with pytest.raises(ValueError):
+        replay.fan_out(spark.range(1), 0)
     with pytest.raises(Exception, match="at least one device"):
         replay.fan_out(spark.range(1), F.lit(0)).collect()
 
 
+def test_large_fleets_are_expanded_in_chunks(spark, monkeypatch):
+    fleets = spark.createDataFrame([("a", 45), ("b", 3), ("c", 30)], "f string, n int")
+    whole = sorted(map(tuple, replay.fan_out(fleets, F.col("n")).collect()))
+    monkeypatch.setattr(replay, "CHUNK", 7)
+    assert sorted(map(tuple, replay.fan_out(fleets, F.col("n")).collect())) == whole
+    assert len(whole) == 78
+    assert replay.fan_out(spark.range(2), 20).count() == 40
+
+
 def rows(spark, times):
     return spark.createDataFrame(
         [(i, "s", float(t), 50.0 + i) for i, t in enumerate(times)],
@@ -60,7 +71,7 @@ def test_cyclic_expansion(spark, monkeypatch, limit):
     assert len(found) == 30
     for i, row in enumerate(found):
         assert (row.emission, row.row_index, row.t_emit) == (i, i % 7, i * 3333 // 1000)
-    assert found[24].device_id == found[-1].device_id.replace(found[-1].device_id, found[24].device_id)
+    assert [r.device_id for r in found[25:]] == [r.device_id for r in found[:5]]
     assert [r.pilot_index for r in found[:6]] == [0, 0, 1, 1, 2, 2]
 
 
