@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import check
+from fleetstream.plans import catalog, oracle
 
 DIRECTORY = "/root/testdata/sf0.001"
 
@@ -12,13 +13,13 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.ORACLES)
 
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, connection, name):
     assert check.compare(spark, connection, DIRECTORY, name) == ""
