@@ -14,6 +14,7 @@ from fleetstream.llm import (
     reputation,
     rules,
     secrets,
+    sigtree,
     tokencache,
     wrapper,
 )
@@ -40,6 +41,10 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.joined(table(spark, sf_dir, "documents"))
+
+
 def op6_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extracted(table(spark, sf_dir, "pages"))
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_repeats": op3_repeats,
     "op4_rules": op4_rules,
+    "op5_jaccard": op5_jaccard,
     "op6_wrapper": op6_wrapper,
     "op7_tokens": op7_tokens,
     "op8_reputation": op8_reputation,
