@@ -34,7 +34,10 @@ from fleetstream.llm.common import words, written
 from fleetstream.llm.rules import STOP_WORDS, SYMBOLS, WORD_LINE
 
 MOST_ROWS = 20_000
+# Quantile bins per measure (fewer if there are few rows) and further edges in the tails.
 BINS = 16
+TAILS = (0.02, 0.05, 0.95, 0.98)
+RIDGE = 0.01
 STEPS = 400
 THRESHOLD = 0.3
 UNKNOWN = 0.5
@@ -149,18 +152,39 @@ def _descend(gradient, size: int) -> np.ndarray:
     return w
 
 
-def estimated_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """Share of positives among the unlabelled rows."""
-    p1, u1 = (np.concatenate([z, np.ones((len(z), 1), np.float32)], axis=1) for z in (p, u))
+def _decay(rows: int, size: int) -> np.ndarray:
+    """Penalty on every weight but the bias, weaker the more rows there are."""
+    decay = np.full(size, RIDGE / rows)
+    decay[-1] = 0
+    return decay
 
-    def gradient(w):
-        gp, gu = _loss(p1 @ w)[1] / len(p), -_loss(-(u1 @ w))[1] / len(u)
-        return p1.T @ gp + u1.T @ gu + 1e-3 * w
 
-    w = _descend(gradient, p1.shape[1])
-    sp, su = p1 @ w, u1 @ w
-    cuts = np.quantile(sp, np.linspace(0.05, 0.5, 10))
-    ratios = [(su >= c).mean() / max((sp >= c).mean(), 1e-9) for c in cuts]
+def estimated_prior(p: np.ndarray, u: np.ndarray) -> float:
+    """Share of positives among the unlabelled rows.
+
+    Each half of the rows is judged by a classifier of positive against unlabelled that was
+    fitted on the other half.
+    """
+    scores: list[tuple[np.ndarray, np.ndarray]] = []
+    for half in (0, 1):
+        fit_p, fit_u, on_p, on_u = p[half::2], u[half::2], p[1 - half :: 2], u[1 - half :: 2]
+        if not len(on_p) or not len(on_u):
+            continue
+        decay = _decay(len(fit_p), p.shape[1])
+
+        def gradient(w, fit_p=fit_p, fit_u=fit_u, decay=decay):
+            gp, gu = _loss(fit_p @ w)[1] / len(fit_p), -_loss(-(fit_u @ w))[1] / len(fit_u)
+            return fit_p.T @ gp + fit_u.T @ gu + decay * w
+
+        w = _descend(gradient, p.shape[1])
+        scores.append((on_p @ w, on_u @ w))
+    if not scores:
+        return UNKNOWN
+    ratios = []
+    for level in (0.03, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5):
+        # Mass above the same share of positives in both halves.
+        parts = [(np.mean(sp >= (c := np.quantile(sp, level))), np.mean(su >= c)) for sp, su in scores]
+        ratios.append(np.mean([x[1] for x in parts]) / np.mean([x[0] for x in parts]))
     return float(np.clip(min(ratios), 0.05, 0.98))
 
 
@@ -169,13 +193,15 @@ def fitted(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     edges = []
     for i in range(unlabelled.shape[1]):
         both = np.concatenate([positives[:, i], unlabelled[:, i]])
-        cuts = np.quantile(both, np.concatenate([np.linspace(0, 1, BINS + 1)[1:-1], [0.005, 0.02, 0.98, 0.995]]))
+        bins = int(np.clip(len(positives) // 40, 4, BINS))
+        cuts = np.quantile(both, np.concatenate([np.linspace(0, 1, bins + 1)[1:-1], TAILS]))
         edges.append([float(c) for c in np.unique(cuts) if c > both.min()])
-    p, u = _one_hot(positives, edges), _one_hot(unlabelled, edges)
+    p, u = (
+        np.concatenate([_one_hot(z, edges), np.ones((len(z), 1), np.float32)], axis=1)
+        for z in (positives, unlabelled)
+    )
     prior = estimated_prior(p, u)
-    p, u = (np.concatenate([z, np.ones((len(z), 1), np.float32)], axis=1) for z in (p, u))
-    decay = np.full(p.shape[1], 1e-4)
-    decay[-1] = 0
+    decay = _decay(len(p), p.shape[1])
 
     def gradient(w):
         fp, fu = p @ w, u @ w
