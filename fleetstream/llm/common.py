@@ -36,3 +36,8 @@ def words(text: Column) -> Column:
 def row_key(doc_id: Column, text: Column) -> Column:
     """A key on which equal rows agree, also where the id is null or used twice."""
     return F.xxhash64(doc_id, doc_id.isNull(), text, F.length(text))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and all columns as ``_row``, so that no name can clash."""
+    return docs.select("doc_id", "text", F.struct("*").alias("_row"))

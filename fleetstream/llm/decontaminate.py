@@ -26,10 +26,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetstream.llm.common import packed
+
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 6 << 20
@@ -348,13 +350,18 @@ def marked(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("doc_id
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents with every removal span cut out of the text and n_chars counted again."""
-    found = marked(docs, benchmark, docs.columns, cut=True)
+    found = marked(packed(docs), benchmark, ["_row"], cut=True)
     changed = F.size("spans") > 0
-    made = {
-        "text": F.when(changed, F.col("clean")).otherwise(F.col("text")),
-        "n_chars": F.when(changed, F.length("clean")).otherwise(F.col("n_chars")).cast("bigint"),
-    }
-    return found.select(*(made.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+    def column(name: str) -> Column:
+        old = F.col("_row")[name]
+        if name == "text":
+            return F.when(changed, F.col("clean")).otherwise(old).alias(name)
+        if name == "n_chars":
+            return F.when(changed, F.length("clean").cast("bigint")).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return found.select(*map(column, docs.columns))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

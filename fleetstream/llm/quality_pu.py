@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetstream.functions.rows import computed_once
-from fleetstream.llm.common import words, written
+from fleetstream.llm.common import packed, words, written
 from fleetstream.llm.rules import STOP_WORDS, SYMBOLS, WORD_LINE
 
 MOST_ROWS = 20_000
@@ -239,14 +239,18 @@ def learnt(measures: DataFrame, labels: DataFrame) -> Model | None:
 
 def scored(docs: DataFrame, labels: DataFrame, keep=("doc_id",)) -> DataFrame:
     """``keep``, held_out, score and predicted for every document."""
-    kept = list(dict.fromkeys(["doc_id", *keep]))
-    measures = written(measured(docs, kept), "quality-measures")
+    measures = written(measured(docs, list(dict.fromkeys(["doc_id", *keep]))), "quality-measures")
     model = learnt(measures.select("doc_id", "x"), labels)
     score = model.score(F.col("x")) if model else F.lit(UNKNOWN)
-    once = computed_once(measures, {"score": score}, [*keep, "doc_id"] if "doc_id" not in keep else list(keep))
+    once = computed_once(measures, {"score": score}, list(dict.fromkeys(["doc_id", *keep])))
     return once.select(
         *keep,
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the classifier does not reject, with their columns."""
+    return scored(packed(docs), labels, ["_row"]).where("predicted = 1").select("_row.*")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetstream.functions.rows import computed_once
-from fleetstream.llm.common import row_key
+from fleetstream.llm.common import packed, row_key
 
 GRAM = 3
 # Alternatives of one sub-expression beyond which it counts as unknown text.
@@ -229,9 +229,8 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: Sequence[
     """``keep``, and ``found``: array of start, ord, kind, end by start and order of rules."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     names = sorted({g for q in queries.values() for clause in q for alt in clause for g in alt})
-    kept = list(dict.fromkeys([*keep, "text"]))
     rows = docs.select(
-        F.struct(*kept).alias("_row"),
+        F.struct(*keep).alias("_kept"),
         F.coalesce("text", F.lit("")).alias("_text"),
         row_key(F.col("doc_id"), F.col("text")).alias("key"),
     )
@@ -247,8 +246,8 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: Sequence[
         return F.when(wanted, spans_of(text, rule, order)).otherwise(empty)
 
     every = F.array_sort(F.concat(*(scanned(r, i) for i, r in enumerate(rules))))
-    spread = computed_once(joined, {"found": every}, ["_row"])
-    return spread.select(*(F.col("_row")[c].alias(c) for c in keep), "found")
+    spread = computed_once(joined, {"found": every}, ["_kept"])
+    return spread.select(*(F.col("_kept")[c].alias(c) for c in keep), "found")
 
 
 def rendered(found: Column) -> Column:
@@ -281,24 +280,31 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """The documents with every found span replaced by ``mark``; other columns stay."""
-    columns = docs.columns
-    found = secret_spans(docs, keep=columns)
-    # Overlapping spans become one; the text between them is kept.
-    text = F.coalesce("text", F.lit(""))
-    state = "struct<at:int,out:string>"
-    begin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out")).cast(state)
+    """The documents with every found span replaced by ``mark`` and n_chars counted again."""
+    found = secret_spans(packed(docs), keep=["_row"])
+    text = F.coalesce(F.col("_row")["text"], F.lit(""))
+    begin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
     def add(s, x):
-        gap = F.greatest(x["start"] + 1 - s["at"], F.lit(0))
-        fresh = x["start"] + 1 >= s["at"]
-        out = F.concat(
-            s["out"], F.substring(text, s["at"], gap), F.when(fresh, F.lit(mark)).otherwise(F.lit(""))
-        )
+        # Overlapping spans become one; the text between spans is kept.
+        start = x["start"] + 1
+        gap = F.substring(text, s["at"], F.greatest(start - s["at"], F.lit(0)))
+        out = F.concat(s["out"], gap, F.when(start >= s["at"], F.lit(mark)).otherwise(F.lit("")))
         return F.struct(F.greatest(s["at"], x["end"] + 1).alias("at"), out.alias("out"))
 
     def finish(s):
         return F.concat(s["out"], F.substring(text, s["at"], F.lit(2**31 - 1)))
 
-    clean = F.when(F.size("found") > 0, F.aggregate("found", begin, add, finish)).otherwise(F.col("text"))
-    return found.select(*(clean.alias(c) if c == "text" else F.col(c) for c in columns))
+    clean = F.when(F.size("found") > 0, F.aggregate("found", begin, add, finish))
+    made = computed_once(found, {"_clean": clean}, ["_row"])
+    changed = F.col("_clean").isNotNull()
+
+    def column(name: str) -> Column:
+        old = F.col("_row")[name]
+        if name == "text":
+            return F.coalesce("_clean", old).alias(name)
+        if name == "n_chars":
+            return F.when(changed, F.length("_clean").cast("bigint")).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return made.select(*map(column, docs.columns))
