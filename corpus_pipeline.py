@@ -1,28 +1,36 @@
 """A corpus from raw documents to a mix: filter, deduplicate, decontaminate, mask, mix.
 
 ``STAGES`` are functions of (spark, docs, sf_dir); each gets what its predecessor kept,
-written as Parquet and read again.
+written as Parquet and read again.  All but the last return the columns of ``documents``;
+the last returns how many words of each document the mix takes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from fleetstream.llm import mixing, quality_pu, secrets
+from fleetstream.llm import decontaminate, mixing, quality_pu, secrets, sigtree
 from fleetstream.llm.common import table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scored = quality_pu.scored(docs, table(spark, sf_dir, "labels"), docs.columns)
-    return scored.where("predicted = 1").select(docs.columns)
+    return quality_pu.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group of near copies."""
+    return sigtree.one_of_each(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of the benchmark."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked and ``n_chars`` counted again."""
-    clean = secrets.masked(docs)
-    return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+    """All documents, with secrets masked."""
+    return secrets.masked(docs)
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,6 +40,8 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES = [
     ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_leaks", benchmark_leaks),
     ("secrets", secret_masking),
     ("mixing", mixing_to_weights),
 ]
