@@ -168,7 +168,7 @@ def estimated_prior(p: np.ndarray, u: np.ndarray) -> float:
     scores: list[tuple[np.ndarray, np.ndarray]] = []
     for half in (0, 1):
         fit_p, fit_u, on_p, on_u = p[half::2], u[half::2], p[1 - half :: 2], u[1 - half :: 2]
-        if not len(on_p) or not len(on_u):
+        if not min(map(len, (fit_p, fit_u, on_p, on_u))):
             continue
         decay = _decay(len(fit_p), p.shape[1])
 

@@ -19,6 +19,9 @@ from fleetstream.llm import (
     wrapper,
 )
 from fleetstream.llm.common import table
+from fleetstream.llm.oracle import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -80,4 +83,3 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
-ORACLES: dict[str, str] = {}
