@@ -23,6 +23,7 @@ E2E_SECONDS = r"E2E latency \([^)]+\):\s+(-?\d+)s"
 CLOCK = r"^\[([0-9:]+) [^\]]+\]"
 RUN_ID = r"^scenario-([A-D])-(mqtt|kafka)(?:-(\d{8}-\d{6}))?(?:-(\d+))?(?:-([a-zA-Z0-9]+))?"
 
+# The alert text and its fields in order.
 ALERT_FORMAT = (
     "ALERT window_start=%d window_end=%d count=%d mean_engine_temp=%s mean_tyre_temp=%s "
     "max_engine_temp=%d max_tyre_temp=%d e2e_latency_ms=%d"
@@ -104,6 +105,7 @@ def normalise_level(broker: Column, raw: Column) -> Column:
 
     Blank means "not given" and stays blank.
     """
+    # The names of the levels.
     level = F.lower(raw)
     mqtt = broker == "mqtt"
     kafka = broker == "kafka"

@@ -33,7 +33,8 @@ def assign_flush_batches(
     """Events with ``tick`` and ``batch_in_tick``, assuming writes take no time.
 
     The buffer is flushed on a fixed tick and whenever it holds ``batch_size`` events;
-    a size flush does not move the tick.  ``seq`` orders the events.  Ticks start at
+    a size flush does not move the tick.  ``seq`` orders the events: an integer, or the
+    struct that ``with_arrival`` makes.  Ticks start at
     ``t0_ms``, by default the first arrival.
     """
     ranked = row_rank(ticked(events, tick_ms, t0_ms), "seq", ["tick"], "rank_in_tick")
@@ -58,7 +59,7 @@ def flush_batches(
     )
     ticks = Index.of(per_tick, "tick", "batches")
     earlier = Running("earlier", "sum", "batches")
-    numbered = running(ticks.df, "tick", [earlier], levels=0 if ticks.is_small else 2)
+    numbered = running(ticks.df, "tick", [earlier])
     starts = ticks.replaced(numbered.withColumn("earlier", F.coalesce("earlier", F.lit(0))))
 
     assigned = assign_flush_batches(

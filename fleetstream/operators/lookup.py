@@ -8,10 +8,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetstream.functions.rows import null_safe_join
 from fleetstream.session import materialise
 
-# An index up to this many fixed-width rows (tens of MB) is broadcast.
-MAX_SMALL_ROWS = 500_000
+# An index up to this size is broadcast; a row counts its key and ROW_BYTES.
+MAX_SMALL_BYTES = 48 << 20
+ROW_BYTES = 96
 # Beyond it, keys above this share of all rows are joined separately.  At most
 # 1 / HOT_SHARE keys can be that large, so broadcasting those is always safe.
 HOT_SHARE = 0.001
@@ -19,7 +21,7 @@ HOT_SHARE = 0.001
 
 @dataclass(frozen=True)
 class Index:
-    """A materialised table with one row per ``key`` and its measured size.
+    """A materialised table with one row per ``key`` (null is a key) and its size in bytes.
 
     ``count`` names the column holding the number of rows behind each key.
     """
@@ -33,12 +35,13 @@ class Index:
     @classmethod
     def of(cls, df: DataFrame, key: str, count: str) -> Index:
         table = materialise(df)
-        size, total = table.agg(F.count(F.lit(1)), F.sum(count)).first()
-        return cls(table, key, count, size, total or 0)
+        key_bytes = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))
+        size, total = table.agg(F.sum(key_bytes + ROW_BYTES), F.sum(count)).first()
+        return cls(table, key, count, size or 0, total or 0)
 
     @property
     def is_small(self) -> bool:
-        return self.size <= MAX_SMALL_ROWS
+        return self.size <= MAX_SMALL_BYTES
 
     def replaced(self, df: DataFrame) -> Index:
         """The same index with columns added or rows removed."""
@@ -53,10 +56,10 @@ class Index:
         """
         wanted = [self.key, *columns]
         if self.is_small:
-            return rows.join(F.broadcast(self.df.select(wanted)), self.key)
+            return null_safe_join(rows, F.broadcast(self.df.select(wanted)), [self.key])
         is_hot = F.col(self.count) > F.lit(self.total * HOT_SHARE)
         hot = self.df.where(is_hot).select(wanted)
         cold = self.df.where(~is_hot).select(wanted)
-        in_hot = rows.join(F.broadcast(hot), self.key)
-        not_hot = rows.join(F.broadcast(hot.select(self.key)), self.key, "left_anti")
-        return in_hot.unionByName(not_hot.join(cold, self.key))
+        in_hot = null_safe_join(rows, F.broadcast(hot), [self.key])
+        not_hot = null_safe_join(rows, F.broadcast(hot.select(self.key)), [self.key], "left_anti")
+        return in_hot.unionByName(null_safe_join(not_hot, cold, [self.key]))

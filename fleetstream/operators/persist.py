@@ -12,6 +12,7 @@ from fleetstream.operators.ranks import index_percentile
 from fleetstream.schemas import PERSISTED_FIELDS
 
 EVENT_DATE = "event_date"
+BATCH_ID = "batch_id"
 
 
 def persisted_rows(events: DataFrame, t_persist: datetime | Column) -> DataFrame:
@@ -21,20 +22,25 @@ def persisted_rows(events: DataFrame, t_persist: datetime | Column) -> DataFrame
         events.withColumn("t_emit", F.col("ts"))
         .withColumn("t_persist", stamp.cast("timestamp"))
         .withColumn("replica", F.coalesce("replica", F.lit(0)))
-        .select(PERSISTED_FIELDS)
+        .select(*PERSISTED_FIELDS)
     )
 
 
-def append_batch(rows: DataFrame, path: str) -> None:
-    """Write one micro-batch, partitioned by emission date and sorted for range reads.
+def append_batch(rows: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Add one micro-batch to the table at ``path``: by emission date, then batch.
 
-    Overwrites ``path``, so writing the same batch again replaces it.
+    A date's rows are brought together first, large dates split, so a batch adds one file
+    per date unless the date is large.  Only the batch's own directories are overwritten:
+    writing it again replaces it.  A reader of some dates lists those dates only.
     """
     (
         rows.withColumn(EVENT_DATE, F.to_date("t_emit"))
+        .withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+        .hint("rebalance", EVENT_DATE)
         .sortWithinPartitions(EVENT_DATE, "device_id", "t_emit")
         .write.mode("overwrite")
-        .partitionBy(EVENT_DATE)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(EVENT_DATE, BATCH_ID)
         .parquet(path)
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EVENT_KEY = ("device_id", "frameIdentifier", "t_emit")
-STAGES = ("expected", "emitted", "received", "persisted", "analysed", "observed")
+STAGES = ("expected", "emitted", "dropped", "received", "persisted", "analysed")
 
 
 def key_counts(events: DataFrame, key: Sequence[str] = EVENT_KEY) -> DataFrame:
@@ -41,27 +41,53 @@ def distinct_keys(events: DataFrame, key: Sequence[str] = EVENT_KEY) -> DataFram
     return events.select(*key).distinct()
 
 
-def key_head_tail(events: DataFrame, key: str, head: int = 10, tail: int = 10) -> DataFrame:
-    """The first ``head`` and last ``tail`` values of a key, as a report of both ends."""
-    first = events.select(key).orderBy(F.col(key).asc()).limit(head)
-    last = events.select(key).orderBy(F.col(key).desc()).limit(tail)
+def key_head_tail(
+    events: DataFrame, key: str, head: int = 10, tail: int = 10, order: str | None = None
+) -> DataFrame:
+    """The first ``head`` and last ``tail`` values of a key, as a report of both ends.
+
+    In key order, or in that of the column ``order``, such as the arrival.
+    """
+    by = F.col(order or key)
+    first = events.orderBy(by.asc()).limit(head).select(key)
+    last = events.orderBy(by.desc()).limit(tail).select(key)
     return first.withColumn("part", F.lit("first")).unionByName(
         last.withColumn("part", F.lit("last"))
     )
 
 
-def stage_counts(stages: Mapping[str, DataFrame], run: str = "run_id") -> DataFrame:
-    """Rows per run and stage; a column per stage, null where a stage saw nothing.
+def stage_counts(
+    stages: Mapping[str, DataFrame],
+    observed: DataFrame | None = None,
+    *,
+    run: str = "run_id",
+    key: Sequence[str] = EVENT_KEY,
+) -> DataFrame:
+    """Rows per run and stage, and total, distinct and repeated keys of what was observed.
 
-    Every stage is counted before the one shuffle that puts the stages side by side.
+    Null where a stage saw nothing of a run.  The observed rows are counted by key first,
+    so a key that is delivered again and again is one row by the time the stages meet; all
+    stages then meet in one grouped sum.
     """
-    counted = None
-    for stage, events in stages.items():
-        part = events.groupBy(run).agg(F.count(F.lit(1)).alias("n"))
-        part = part.withColumn("stage", F.lit(stage))
-        counted = part if counted is None else counted.unionByName(part)
-    return counted.groupBy(run).agg(
-        *(F.sum(F.when(F.col("stage") == stage, F.col("n"))).alias(stage) for stage in STAGES)
+    none = F.lit(None).cast("bigint")
+    parts = [
+        events.select(run, F.lit(stage).alias("stage"), F.lit(1).cast("bigint").alias("n"), none.alias("keys"))
+        for stage, events in stages.items()
+    ]
+    if observed is not None:
+        copies = observed.groupBy(run, *key).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(copies.select(run, F.lit("observed").alias("stage"), "n", F.lit(1).cast("bigint").alias("keys")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    stage = F.col("stage")
+    total = F.sum(F.when(stage == "observed", F.col("n")))
+    distinct = F.sum("keys")
+    return whole.groupBy(run).agg(
+        *(F.sum(F.when(stage == name, F.col("n"))).alias(name) for name in STAGES),
+        total.alias("observed_total"),
+        distinct.alias("observed"),
+        (total - distinct).alias("observed_duplicates"),
     )
 
 
@@ -70,7 +96,10 @@ def ratio(count: str, base: str = "expected") -> Column:
 
 
 def delivery_report(counts: DataFrame) -> DataFrame:
-    """Stage counts with their ratios to ``expected`` and a verdict on ``observed``."""
+    """Stage counts with their ratios to ``expected`` and a verdict on the distinct keys observed.
+
+    A repeated delivery of a key is a duplicate and does not change the verdict.
+    """
     observed, expected = F.col("observed"), F.col("expected")
     verdict = (
         F.when(observed.isNull() | (observed == 0), "no observation")
@@ -78,7 +107,8 @@ def delivery_report(counts: DataFrame) -> DataFrame:
         .when(observed == expected * 2, "delivered twice")
         .otherwise("unexpected")
     )
-    ratios = {f"{stage}_ratio": ratio(stage) for stage in STAGES if stage != "expected"}
+    rated = [stage for stage in STAGES if stage not in ("expected", "dropped")]
+    ratios = {f"{stage}_ratio": ratio(stage) for stage in (*rated, "observed")}
     return counts.withColumns(
         ratios | {"observed_per_emitted": ratio("observed", "emitted"), "verdict": verdict}
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetstream.functions.rows import null_safe_join
 from fleetstream.operators.scan import Running, running
 
 # Values per bucket: the most distinct values one task ever orders for one group.
@@ -26,7 +27,8 @@ def index_percentile(
 
     Equal values are counted before the shuffle.  Bucket counts then locate the bucket
     that holds the wanted rank, and only that bucket's distinct values are ordered.
-    ``extra`` adds aggregates written over (distinct value, its count).  Nulls are left out.
+    ``extra`` adds aggregates written over (distinct value, its count).  Null values are left
+    out; a null group is a group like any other.
     """
     group = list(group)
     counts = (
@@ -45,7 +47,7 @@ def index_percentile(
     rank = F.least(F.floor(F.col("__total") * F.lit(p)), F.col("__total") - 1)
     ranked = totals.select(*group, rank.alias("__rank"))
     if group:
-        placed = before.join(ranked, group)
+        placed = null_safe_join(before, ranked, group)
     else:
         placed = before.withColumn("__rank", ranked.scalar())
     located = placed.where(
@@ -60,7 +62,7 @@ def index_percentile(
     # A grouped result has no empty groups; without groups an empty input gives 0.
     lowest = F.min("__v") if group else F.coalesce(F.min("__v"), F.lit(0))
     picked = (
-        counts.join(located, [*group, "__b"])
+        null_safe_join(counts, located, [*group, "__b"])
         .withColumn("__seen", F.sum("__n").over(in_bucket))
         .where(F.col("__seen") > F.col("__rest"))
         .groupBy(*group)
@@ -71,6 +73,6 @@ def index_percentile(
     v, n = F.col("__v"), F.col("__n")
     summary = counts.groupBy(*group).agg(*(f(v, n).alias(alias) for alias, f in extra.items()))
     if group:
-        return summary.join(picked, group)
+        return null_safe_join(summary, picked, group)
     # One row each: attach the percentile as a scalar.
     return summary.withColumn(name, picked.scalar())

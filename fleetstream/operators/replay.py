@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetstream.functions.scalars import device_id
-from fleetstream.operators.lookup import MAX_SMALL_ROWS, Index
+from fleetstream.operators.lookup import Index
 from fleetstream.operators.scan import Running, running
 from fleetstream.session import materialise
 
@@ -57,28 +57,33 @@ def with_device(df: DataFrame, number: Column, fleet: Column) -> DataFrame:
 def fan_out(df: DataFrame, fleet: Column | int, number: str = "device_number") -> DataFrame:
     """One row per device of each row's fleet; a fleet below one device is an error.
 
-    A fleet of more than ``CHUNK`` devices is first cut into chunks that are spread over
-    the cluster, so that no row becomes a huge array and no task writes a whole fleet.
+    Fleets are cut into chunks of ``CHUNK`` devices, so that no row becomes a huge array;
+    the chunks are spread over the cluster before they are written out.
     """
     if isinstance(fleet, int):
         if fleet < 1:
             raise ValueError("a fleet needs at least one device")
-        largest, size = fleet, F.lit(fleet)
+        size = F.lit(fleet)
     else:
-        largest, size = df.agg(F.max(fleet)).first()[0] or 0, fleet
-    zero, size = F.lit(0).cast("bigint"), size.cast("bigint")
+        size = fleet
+    size = size.cast("bigint")
     checked = F.when(size >= 1, size).otherwise(
         F.raise_error(F.lit("a fleet needs at least one device")).cast("bigint")
     )
-    if largest <= CHUNK:
-        numbers = F.sequence(zero, checked - 1)
-        return with_device(df.withColumn(number, F.explode(numbers)), F.col(number), size)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    starts = F.sequence(zero, checked - 1, F.lit(CHUNK).cast("bigint"))
-    chunks = df.withColumn("__start", F.explode(starts)).repartition(tasks)
-    end = F.least(F.col("__start") + CHUNK, size) - 1
-    numbered = chunks.withColumn(number, F.explode(F.sequence("__start", end))).drop("__start")
-    return with_device(numbered, F.col(number), size)
+    spread = chunked(df, F.lit(0).cast("bigint"), checked - 1, F.lit(1).cast("bigint"), number)
+    return with_device(spread, F.col(number), size)
+
+
+def chunked(df: DataFrame, first: Column, last: Column, step: Column, name: str) -> DataFrame:
+    """One row per number from ``first`` to ``last`` by ``step``, in chunks of ``CHUNK``."""
+    wide = step * CHUNK
+    starts = df.withColumns({"__start": F.explode(F.sequence(first, last, wide)), "__step": step, "__last": last})
+    end = F.least(F.col("__start") + (F.col("__step") * (CHUNK - 1)), F.col("__last"))
+    return (
+        starts.hint("rebalance")
+        .withColumn(name, F.explode(F.sequence("__start", end, "__step")))
+        .select(*df.columns, name)
+    )
 
 
 def devices(spark: SparkSession, count: int) -> DataFrame:
@@ -101,27 +106,22 @@ def cyclic_expand(
     duration_ms: int,
     t0_ms: int,
     row_index: str = "row_index",
+    count: int | None = None,
 ) -> DataFrame:
     """Events of a fixed-rate replay: emission ``i`` uses row ``i mod R``, device ``i mod D``.
 
     ``rows`` are numbered densely from 0 in ``row_index``.  Adds ``emission``, the device
-    columns, ``elapsed_ms`` and ``t_emit``.
+    columns, ``elapsed_ms`` and ``t_emit``.  ``count`` is the number of rows, if known.
     """
     total = emission_total(rate, duration_ms)
     interval_us = 1_000_000 // rate
-    count = rows.count()
+    count = rows.count() if count is None else count
     if count == 0:
         raise ValueError("no rows to replay")
-    if count <= MAX_SMALL_ROWS:
-        emissions = rows.sparkSession.range(total).select(
-            F.col("id").alias("emission"), (F.col("id") % count).alias(row_index)
-        )
-        expanded = emissions.join(F.broadcast(rows), row_index)
-    else:
-        # Every row is used total / R times: emissions r, r + R, r + 2R, ...
-        first = F.col(row_index)
-        turns = F.sequence(first, F.lit(total - 1), F.lit(count))
-        expanded = rows.where(first < total).withColumn("emission", F.explode(turns))
+    # Row r is used in the emissions r, r + R, r + 2R, ...
+    first = F.col(row_index).cast("bigint")
+    last, step = F.lit(total - 1).cast("bigint"), F.lit(count).cast("bigint")
+    expanded = chunked(rows.where(first < total), first, last, step, "emission")
     elapsed = F.expr(f"emission * {interval_us}L div 1000L")
     return with_device(
         expanded, F.col("emission") % devices, F.lit(devices)

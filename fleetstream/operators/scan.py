@@ -16,6 +16,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetstream.functions.rows import null_safe_join
 
 
 @dataclass(frozen=True)
@@ -62,9 +65,10 @@ def running(
 ) -> DataFrame:
     """Add each measure, aggregated over the group's rows with a smaller ``order``.
 
-    ``reverse`` looks at larger order values instead.  ``order`` must be an integer
-    column, unique within the group; group columns must not be null.  A row with
-    nothing before it gets null.
+    ``reverse`` looks at larger order values instead.  ``order`` must be unique within the
+    group: an integer, or a struct whose first field is an integer, by which rows are then
+    bucketed.  A null group is a group like any other.  A row with nothing before it gets
+    null.
     """
     group = list(group)
     direction = F.col(order).desc() if reverse else F.col(order).asc()
@@ -80,7 +84,9 @@ def running(
         return df.withColumns({m.name: m.over(before(*group)) for m in measures})
 
     bucket = f"__bucket{levels}"
-    bucketed = df.withColumn(bucket, F.shiftright(F.col(order).cast("bigint"), bits))
+    kind = df.schema[order].dataType
+    leading = F.col(order)[kind[0].name] if isinstance(kind, T.StructType) else F.col(order)
+    bucketed = df.withColumn(bucket, F.shiftright(leading.cast("bigint"), bits))
     totals = bucketed.groupBy(*group, bucket).agg(
         *(m.total(order, reverse).alias(f"__total_{m.name}") for m in measures)
     )
@@ -97,7 +103,7 @@ def running(
     local = bucketed.withColumns(
         {f"__local_{m.name}": m.over(before(*group, bucket)) for m in measures}
     )
-    joined = local.join(carried, [*group, bucket], "left")
+    joined = null_safe_join(local, carried, [*group, bucket], "left")
     merged = joined.withColumns(
         {
             m.name: m.merge(F.col(f"__local_{m.name}"), F.col(f"__carry_{m.name}"))

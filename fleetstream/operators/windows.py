@@ -127,9 +127,7 @@ def close_index(firsts: DataFrame) -> Index:
     index = Index.of(firsts, KEY, "n")
     arrival = index.df.withColumn("__arrival", F.struct("first_seq", "first_arrival_ms"))
     closing = Running("__close", "min", "__arrival")
-    # An index of counted, small size is scanned in one task; a large one in buckets.
-    levels = 0 if index.is_small else 2
-    closed = running(arrival, KEY, [closing], reverse=True, levels=levels).select(
+    closed = running(arrival, KEY, [closing], reverse=True).select(
         *index.df.columns,
         F.col("__close.first_seq").alias("close_seq"),
         F.col("__close.first_arrival_ms").alias("closed_at_ms"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,8 @@ from fleetstream.plans import run_report, views
 from fleetstream.plans.views import HOUR_MS, table, telemetry
 from fleetstream.session import fresh_path, materialise
 from fleetstream.sources import messages as message_source
-from fleetstream.sources.telemetry_csv import read_telemetry_csv
+from fleetstream.sources.telemetry_csv import read_telemetry_csv, telemetry_csv_rejects
+from fleetstream.streaming import metrics as stream_metrics
 from fleetstream.streaming import persist as stream_persist
 from fleetstream.streaming import windows as stream_windows
 
@@ -174,6 +176,35 @@ def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and rejected, by the column at fault; a NaN speed is read."""
+    source = views.telemetry_source(spark, sf_dir)
+    kind = F.col("seq") % 10
+    wide = source.select(
+        "sessionTime",
+        F.when(kind == 0, F.concat("frameIdentifier", F.lit(".0")))
+        .otherwise(F.col("frameIdentifier").cast("string"))
+        .alias("frameIdentifier"),
+        "pilot_index",
+        "worldPositionX",
+        "worldPositionY",
+        "worldPositionZ",
+        F.when(kind == 3, "NaN").otherwise(F.col("speed").cast("string")).alias("speed"),
+        "engineTemperature",
+        F.when(kind == 7, "cold").otherwise(F.col("tyresText")).alias("tyresSurfaceTemperature"),
+    )
+    path = fresh_path(spark, "faulty-csv")
+    wide.write.option("header", True).csv(path)
+    read = read_telemetry_csv(spark, path).select(
+        F.when(F.isnan("speed"), "none, NaN speed").otherwise("none").alias("bad_column"), "pilot_index"
+    )
+    rejects = telemetry_csv_rejects(spark, path).select("bad_column", F.col("pilot_index").cast("int"))
+    return read.unionByName(rejects).groupBy("bad_column").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("pilot_index").alias("pilots")
+    )
+
+
 @query
 def multi_value_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = views.telemetry_source(spark, sf_dir)
@@ -299,6 +330,14 @@ def flush_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flushed(spark, sf_dir)
 
 
+@query
+def flush_batches_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flush batches of raw messages, in the order of their arrival at the broker."""
+    messages = views.as_messages(views.event_text(spark, sf_dir)).drop("seq", "arrival_ms")
+    events = decode.accepted(decode.classified(message_source.with_arrival(messages)))
+    return batches.flush_batches(events, tick_ms=TICK_MS, batch_size=BATCH_ROWS, t0_ms=T0_MS)
+
+
 @query
 def batch_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.index_percentile(flushed(spark, sf_dir), "lag_ms", name="p95_lag_ms")
@@ -315,7 +354,8 @@ def rolling_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = telemetry(spark, sf_dir)
     rows = events.select(
-        "pilot_index",
+        # A group may be missing.
+        F.when(F.col("seq") % 11 != 0, F.col("pilot_index")).alias("pilot_index"),
         F.timestamp_millis("t_emit").alias("t_emit"),
         F.timestamp_millis(F.col("arrival_ms") + F.col("seq") % 7).alias("t_persist"),
     )
@@ -345,7 +385,8 @@ def replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     clock = F.col("seq") * F.lit(0.25) + (F.col("seq") % 17) * F.lit(0.5)
     return events.select(
         "seq",
-        F.col("device_id").alias("session"),
+        # A session may be missing.
+        F.when(F.col("pilot_index") != 3, F.col("device_id")).alias("session"),
         (clock + 1).cast("float").alias("sessionTime"),
         "frameIdentifier",
         "engineTemperature",
@@ -355,12 +396,13 @@ def replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cyclic_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = row_rank(replay_rows(spark, sf_dir), "seq", name="row_index")
-    count = rows.count()
+    numbered = replay_rows(spark, sf_dir)
+    count = numbered.count()
+    rows = row_rank(numbered, "seq", name="row_index")
     # Two and a half passes over the rows at 300 events per second.
     duration_ms = (5 * count * 1000) // (2 * 300)
     expanded = replay.cyclic_expand(
-        rows, devices=45, rate=300, duration_ms=duration_ms, t0_ms=T0_MS
+        rows, devices=45, rate=300, duration_ms=duration_ms, t0_ms=T0_MS, count=count
     )
     return expanded.groupBy("device_id").agg(
         F.count(F.lit(1)).alias("events"),
@@ -508,10 +550,41 @@ def latest_valid_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("scenario", "broker", "run_id", "_valid", "emitted", "persisted")
 
 
+def compared(spark: SparkSession, sf_dir: str, scenario: str) -> DataFrame:
+    of_scenario = facts(spark, sf_dir).where(F.col("scenario") == scenario)
+    latest = run_report.latest_valid(materialise(of_scenario))
+    return run_report.comparison_tables(latest)[scenario]
+
+
+@query
+def comparison_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(spark, sf_dir, "A")
+
+
+@query
+def comparison_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(spark, sf_dir, "B")
+
+
 @query
 def comparison_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = run_report.latest_valid(materialise(facts(spark, sf_dir)))
-    return run_report.comparison_tables(latest)["C"]
+    return compared(spark, sf_dir, "C")
+
+
+@query
+def comparison_d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(spark, sf_dir, "D")
+
+
+@query
+def facts_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts as written to CSV per scenario and read again by header."""
+    path = fresh_path(spark, "facts-csv")
+    run_report.write_facts(facts(spark, sf_dir), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select(
+        "scenario", "run_id", F.col("emitted").cast("bigint"), F.col("_valid").cast("boolean"), F.col("broker")
+    )
 
 
 @query
@@ -561,20 +634,29 @@ def key_head_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.key_head_tail(repeated_events(spark, sf_dir), "t_emit", 10, 5)
 
 
+@query
+def key_arrival_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeated_events(spark, sf_dir).withColumn("arrival", F.col("seq") * 4 + F.col("copy"))
+    return quality.key_head_tail(rows, "t_emit", 10, 5, order="arrival")
+
+
 @query
 def delivery_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some devices are delivered again (same keys), some twice over (other keys)."""
     events = telemetry(spark, sf_dir).withColumn("run_id", F.col("device_id"))
     seq = F.col("seq")
-    doubled = events.where(F.col("pilot_index") % 3 == 0)
+    again = events.where(F.col("pilot_index") % 3 == 0)
+    other = events.where(F.col("pilot_index") % 5 == 1).withColumn("t_emit", F.col("t_emit") + 1)
     counts = quality.stage_counts(
         {
             "expected": events,
             "emitted": events.where(seq % 50 != 0),
+            "dropped": events.where(seq % 50 == 0),
             "received": events.where(seq % 20 != 0),
             "persisted": events.where(seq % 10 != 0),
             "analysed": events.where((seq % 10 != 0) & (F.col("pilot_index") != 5)),
-            "observed": events.where(F.col("pilot_index") != 7).unionByName(doubled),
-        }
+        },
+        events.where(F.col("pilot_index") != 7).unionByName(again).unionByName(other),
     )
     return quality.delivery_report(counts)
 
@@ -681,12 +763,13 @@ def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(path: str) -> None:
         source = spark.readStream.schema(events.schema).parquet(path)
         closed = stream_windows.native_windows(source, HOUR_MS)
-        drained(
-            closed.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", root)
-            .option("checkpointLocation", checkpoint)
-        )
+        with stream_windows.single_operator(spark):
+            drained(
+                closed.writeStream.format("parquet")
+                .outputMode("append")
+                .option("path", root)
+                .option("checkpointLocation", checkpoint)
+            )
 
     in_slices(spark, events, run)
     return window_columns(spark.read.parquet(root))
@@ -718,3 +801,110 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(
         *(F.sum(name).alias(name) for name in ("received", "accepted", "late"))
     )
+
+
+@query
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = exact_stream(spark, sf_dir)
+    return stream_windows.closed_alerts(spark, root, HOUR_MS).select("window_start", "line")
+
+
+@query
+def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window that the stream leaves open, closed at a given time."""
+    root = exact_stream(spark, sf_dir)
+    last = spark.read.parquet(f"{root}/{stream_windows.STATE}").agg(F.max("batch_id")).first()[0]
+    flushed = stream_windows.open_window(spark, root, last, T0_MS + 10**12, HOUR_MS)
+    return window_columns(flushed, "closed_at_ms", "e2e_latency_ms")
+
+
+@query
+def stream_message_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages to exact windows: strict decoding, arrival order, window state."""
+    messages = views.as_messages(views.strict_text(spark, sf_dir))
+    root, checkpoint = fresh_path(spark, "windows"), fresh_path(spark, "checkpoint")
+
+    def decoded(raw: DataFrame) -> DataFrame:
+        return decode.decode_strict(message_source.with_arrival(raw.drop("seq", "arrival_ms")))
+
+    write = stream_windows.exact_window_writer(root, HOUR_MS, decoded)
+
+    def run(path: str) -> None:
+        source = spark.readStream.schema(messages.schema).parquet(path)
+        drained(stream_windows.window_stream(source, checkpoint, write))
+
+    in_slices(spark, messages, run)
+    closed = stream_windows.closed_windows(spark, root, HOUR_MS)
+    return window_columns(closed, "closed_at_ms", "e2e_latency_ms")
+
+
+def landed_messages(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Raw messages landed as three files, without the columns of the test tables."""
+    messages = views.as_messages(views.event_text(spark, sf_dir)).drop("seq", "arrival_ms")
+    path = fresh_path(spark, "landed")
+    messages.repartition(3, "offset").write.parquet(path)
+    return path, messages
+
+
+@query
+def stream_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two readers of one source: one loses a batch after writing it, the other only counts."""
+    path, _ = landed_messages(spark, sf_dir)
+    root, counted = fresh_path(spark, "persisted"), fresh_path(spark, "counted")
+    good = stream_persist.table_writer(root)
+    state = {"fail": True}
+
+    def flaky(batch: DataFrame, batch_id: int) -> None:
+        good(batch, batch_id)
+        if state.pop("fail", False):
+            raise RuntimeError("lost after writing")
+
+    checkpoint = fresh_path(spark, "checkpoint")
+
+    def persisting() -> None:
+        source = message_source.message_files(spark, path, max_files_per_trigger=1)
+        drained(stream_persist.persist_stream(source, checkpoint, flaky))
+
+    try:
+        persisting()
+    except StreamingQueryException:
+        persisting()
+    source = message_source.message_files(spark, path)
+    counting = stream_persist.counting_writer(counted)
+    drained(stream_persist.persist_stream(source, fresh_path(spark, "checkpoint"), counting))
+    rows = stream_persist.read_table(spark, root, "telemetry")
+    tables = {
+        "persisted": rows.agg(F.count(F.lit(1)).alias("messages")),
+        "persisted, counted": stream_persist.read_table(spark, root, "counts").agg(F.sum("persisted").alias("messages")),
+        "batches": stream_persist.read_table(spark, root, "counts").agg(F.count(F.lit(1)).alias("messages")),
+        "received": stream_persist.read_table(spark, counted, "counts").agg(F.sum("received").alias("messages")),
+    }
+    parts = [table.select(F.lit(name).alias("reader"), "messages") for name, table in tables.items()]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and batches that the progress table tells of a stream of one file per batch."""
+    path, _ = landed_messages(spark, sf_dir)
+    listener = stream_metrics.ProgressTable(spark, fresh_path(spark, "progress"))
+    spark.streams.addListener(listener)
+    try:
+        source = message_source.message_files(spark, path, max_files_per_trigger=1)
+        counting = stream_persist.counting_writer(fresh_path(spark, "counted"))
+        started = (
+            stream_persist.persist_stream(source, fresh_path(spark, "checkpoint"), counting)
+            .trigger(availableNow=True)
+            .start()
+        )
+        started.awaitTermination()
+        # Listeners are told asynchronously.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+        listener.flush()
+    told = stream_metrics.read_progress(spark, listener.path)
+    return stream_metrics.batch_durations(told.where(F.col("query_id") == str(started.id))).select("batches", "rows")

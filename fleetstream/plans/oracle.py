@@ -93,6 +93,15 @@ batch AS (
 )
 
 
+# The same tables for messages: those that decode, strictly or not.
+TEL_GOOD = TEL.replace("FROM src)", f"FROM src WHERE {GOOD})")
+TEL_STRICT = TEL.replace("FROM src)", "FROM src WHERE seq % 7 IN (0, 1, 6))").replace(
+    "user_id, engine,", "user_id, CASE WHEN seq % 7 = 1 THEN 0 ELSE engine END AS engine,"
+)
+BATCHES_GOOD = BATCHES.replace(TEL, TEL_GOOD)
+EXACT_STRICT = EXACT.replace(TEL, TEL_STRICT)
+
+
 def p95(values: str) -> str:
     n = f"len({values})"
     return (
@@ -104,7 +113,7 @@ REPLAY = (
     TEL
     + """,
 clocked AS (
-  SELECT *, device_id AS session,
+  SELECT *, CASE WHEN pilot_index <> 3 THEN device_id END AS session,
          CAST(seq * 0.25 + (seq % 17) * 0.5 + 1 AS FLOAT) AS clock FROM tel),
 timed AS (
   SELECT *, CAST(trunc(CAST(clock * CAST(1000 AS FLOAT) AS DOUBLE) / CAST(100 AS DOUBLE)) AS BIGINT)
@@ -264,6 +273,9 @@ ORACLES: dict[str, str] = {
         CAST(-user_id AS DOUBLE) AS worldPositionY, CAST(seq % 1000 AS DOUBLE) AS worldPositionZ,
         CAST(speed AS DOUBLE) AS speed, round(CAST(engine AS DOUBLE), 3) AS engineTemperature,
         tyre AS tyresSurfaceTemperature FROM tel""",
+    "csv_rejects": f"""{TEL} SELECT CASE seq % 10 WHEN 0 THEN 'frameIdentifier'
+        WHEN 7 THEN 'tyresSurfaceTemperature' WHEN 3 THEN 'none, NaN speed' ELSE 'none' END AS bad_column,
+        count(*) AS rows, CAST(sum(pilot_index) AS BIGINT) AS pilots FROM tel GROUP BY ALL""",
     "multi_value_cells": f"""{TEL} SELECT seq, CAST(CASE seq % 5 WHEN 0 THEN tyre WHEN 1 THEN seq % 97
         WHEN 4 THEN NULL ELSE 0 END AS DOUBLE) AS value FROM tel""",
     "decode_accept": f"""{TEL} SELECT seq, device_id, pilot_index, replica,
@@ -285,11 +297,13 @@ ORACLES: dict[str, str] = {
     "persist_rows": f"{TEL} SELECT {PERSISTED} FROM tel WHERE {GOOD}",
     "event_batches": f"{BATCHES} SELECT seq, tick, batch_in_tick FROM ranked",
     "flush_batches": f"{BATCHES} SELECT * FROM batch",
+    "flush_batches_messages": f"{BATCHES_GOOD} SELECT * FROM batch",
     "batch_p95": f"{BATCHES} SELECT {p95('list(lag_ms)')} AS p95_lag_ms FROM batch",
     "rolling_p95": f"""{BATCHES}, hist AS (SELECT batch_seq, lag_ms, list(lag_ms) OVER (
         ORDER BY batch_seq ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS h FROM batch)
         SELECT batch_seq, lag_ms, {p95('h')} AS p95_lag_ms FROM hist""",
-    "row_lag": f"""{TEL}, lags AS (SELECT pilot_index, arrival_ms + seq % 7 - t_emit AS lag FROM tel)
+    "row_lag": f"""{TEL}, lags AS (
+        SELECT CASE WHEN seq % 11 <> 0 THEN pilot_index END AS pilot_index, arrival_ms + seq % 7 - t_emit AS lag FROM tel)
         SELECT pilot_index, count(*) AS rows, round(avg(lag), 4) AS mean_lag_ms,
         max(lag) AS max_lag_ms, {p95('list(lag)')} AS p95_lag_ms FROM lags GROUP BY pilot_index""",
     "device_fanout": f"""WITH sizes AS (SELECT c_nationkey AS id, count(*) AS n FROM customer
@@ -309,15 +323,16 @@ ORACLES: dict[str, str] = {
     "device_replay": f"""{REPLAY}, sizes AS (SELECT 0 AS id, 25 AS n), {fleet('sizes')},
         starts AS (SELECT session, arg_min(session_ms, seq) AS start_ms FROM line
           WHERE session_ms >= 0 GROUP BY session),
-        ends AS (SELECT session, min(seq) AS last FROM line JOIN starts USING (session)
-          WHERE start_ms > 0 AND session_ms - start_ms >= 15000 GROUP BY session),
-        kept AS (SELECT l.* FROM line l LEFT JOIN ends e USING (session)
+        ends AS (SELECT line.session, min(seq) AS last FROM line JOIN starts ON line.session IS NOT DISTINCT FROM starts.session
+          WHERE start_ms > 0 AND session_ms - start_ms >= 15000 GROUP BY line.session),
+        kept AS (SELECT l.* FROM line l LEFT JOIN ends e ON l.session IS NOT DISTINCT FROM e.session
           WHERE e.last IS NULL OR l.seq <= e.last),
         total AS (SELECT session, max(offset_ms) AS length FROM kept GROUP BY session)
-        SELECT session, d.device_id, count(*) AS events, CAST(sum(seq) AS BIGINT) AS seq_sum,
+        SELECT kept.session, d.device_id, count(*) AS events, CAST(sum(seq) AS BIGINT) AS seq_sum,
           max(device_number * length + offset_ms) AS last_elapsed_ms,
           max({T0} + device_number * length + offset_ms) AS last_t_emit
-        FROM kept JOIN total USING (session), devices d GROUP BY session, d.device_id""",
+        FROM kept JOIN total ON kept.session IS NOT DISTINCT FROM total.session, devices d
+        GROUP BY kept.session, d.device_id""",
     "critical_overlay": f"""{TEL}, pick AS (SELECT * FROM tel WHERE arrival_ms - {T0} >= {240 * HOUR}
           ORDER BY seq LIMIT 1),
         overlay AS (SELECT engine, tyre, t_emit FROM tel UNION ALL
@@ -372,6 +387,26 @@ ORACLES: dict[str, str] = {
         CASE WHEN scenario = 'A' THEN throughput_msg_per_sec END AS throughput_msg_per_sec FROM facts""",
     "latest_valid_run": f"""{FACTS} SELECT scenario, broker, run_id, _valid, emitted, persisted
         FROM latest""",
+    "comparison_a": f"""{FACTS} SELECT broker, coalesce(num_devices, 'n/a') AS num_devices,
+        coalesce(level, 'n/a') AS level,
+        coalesce(CAST(CAST(throughput_msg_per_sec AS DECIMAL(38, 1)) AS VARCHAR), 'n/a') AS throughput,
+        coalesce(CAST(loss_pct AS VARCHAR), 'n/a') AS loss_pct,
+        CAST(total_cpu_avg AS VARCHAR) AS cpu_avg, CAST(total_mem_mb_avg AS VARCHAR) AS mem_mb_avg
+        FROM latest WHERE scenario = 'A'""",
+    "comparison_b": f"""{FACTS} SELECT broker, 'n/a' AS num_devices,
+        coalesce(CAST(duration_s AS VARCHAR), 'n/a') AS duration_s,
+        CASE WHEN recovery_timeout THEN 'timeout' ELSE coalesce(CAST(recovery_s AS VARCHAR), 'n/a') END
+          AS recovery_s,
+        coalesce(CAST(e2e_latency_s AS VARCHAR), 'n/a') AS e2e_s, 'n/a' AS alert_after_reconnect,
+        CAST(total_cpu_avg AS VARCHAR) AS cpu_avg, CAST(total_mem_mb_avg AS VARCHAR) AS mem_mb_avg
+        FROM latest WHERE scenario = 'B'""",
+    "comparison_d": f"""{FACTS} SELECT broker, CAST(alerts AS VARCHAR) AS alerts,
+        coalesce(CAST(CAST(last_mean AS DOUBLE) AS VARCHAR), 'n/a') AS last_mean,
+        coalesce(CAST(e2e_latency_s AS VARCHAR), 'n/a') AS e2e_s,
+        CAST(total_cpu_avg AS VARCHAR) AS cpu_avg, CAST(total_mem_mb_avg AS VARCHAR) AS mem_mb_avg
+        FROM latest WHERE scenario = 'D'""",
+    "facts_csv": f"""{FACTS} SELECT scenario, run_id, emitted, _invalid_reason = '' AS _valid, broker
+        FROM facts""",
     "comparison_table": f"""{FACTS} SELECT broker, 'n/a' AS num_devices,
         coalesce(CAST(duration_s AS VARCHAR), 'n/a') AS duration_s,
         CAST(CAST(storage_lag_ms AS BIGINT) AS VARCHAR) AS lag_ms,
@@ -394,13 +429,23 @@ ORACLES: dict[str, str] = {
     "key_head_tail": f"""{REPEATED} SELECT t_emit, 'first' AS part FROM
         (SELECT t_emit FROM rep ORDER BY t_emit LIMIT 10)
         UNION ALL SELECT t_emit, 'last' FROM (SELECT t_emit FROM rep ORDER BY t_emit DESC LIMIT 5)""",
-    "delivery_reconcile": f"""{TEL}, counts AS (SELECT device_id AS run_id, count(*) AS expected,
-          count(*) FILTER (seq % 50 <> 0) AS emitted, count(*) FILTER (seq % 20 <> 0) AS received,
+    "key_arrival_ends": f"""{REPEATED} SELECT t_emit, 'first' AS part FROM
+        (SELECT t_emit FROM rep ORDER BY seq, copy LIMIT 10)
+        UNION ALL SELECT t_emit, 'last' FROM (SELECT t_emit FROM rep ORDER BY seq DESC, copy DESC LIMIT 5)""",
+    "delivery_reconcile": f"""{TEL}, seen AS (
+          SELECT device_id, frame, t_emit FROM tel WHERE pilot_index <> 7
+          UNION ALL SELECT device_id, frame, t_emit FROM tel WHERE pilot_index % 3 = 0
+          UNION ALL SELECT device_id, frame, t_emit + 1 FROM tel WHERE pilot_index % 5 = 1),
+        obs AS (SELECT device_id, count(*) AS observed_total, count(DISTINCT (frame, t_emit)) AS observed
+          FROM seen GROUP BY device_id),
+        staged AS (SELECT device_id AS run_id, count(*) AS expected,
+          count(*) FILTER (seq % 50 <> 0) AS emitted, nullif(count(*) FILTER (seq % 50 = 0), 0) AS dropped,
+          count(*) FILTER (seq % 20 <> 0) AS received,
           count(*) FILTER (seq % 10 <> 0) AS persisted,
-          nullif(count(*) FILTER (seq % 10 <> 0 AND pilot_index <> 5), 0) AS analysed,
-          CASE WHEN any_value(pilot_index) = 7 THEN NULL
-               WHEN any_value(pilot_index) % 3 = 0 THEN 2 * count(*) ELSE count(*) END AS observed
-        FROM tel GROUP BY device_id)
+          nullif(count(*) FILTER (seq % 10 <> 0 AND pilot_index <> 5), 0) AS analysed
+        FROM tel GROUP BY device_id),
+        counts AS (SELECT staged.*, observed_total, observed, observed_total - observed AS observed_duplicates
+          FROM staged LEFT JOIN obs ON obs.device_id = staged.run_id)
         SELECT *, round(CAST(emitted AS DOUBLE) / expected, 4) AS emitted_ratio,
           round(CAST(received AS DOUBLE) / expected, 4) AS received_ratio,
           round(CAST(persisted AS DOUBLE) / expected, 4) AS persisted_ratio,
@@ -438,4 +483,15 @@ ORACLES: dict[str, str] = {
     "stream_window_exact": f"{EXACT} SELECT {WINDOW_NAMES}, closed_at_ms, e2e_latency_ms FROM exact",
     "stream_window_counts": f"""{LATE} SELECT count(*) AS received,
         count(*) FILTER (NOT late) AS accepted, count(*) FILTER (late) AS late FROM lat""",
+    "stream_alerts": f"""{EXACT} SELECT window_start, printf('{ALERT_TEXT}', window_start, window_end,
+        count, raw_engine, raw_tyre, max_engine_temp, max_tyre_temp, e2e_latency_ms) AS line
+        FROM exact WHERE raw_engine > 50""",
+    "stream_flush": f"""{EXACT} SELECT {WINDOW}, {T0 + 10**12} AS closed_at_ms,
+        {T0 + 10**12} - min(t_emit) AS e2e_latency_ms
+        FROM acc WHERE key = (SELECT max(key) FROM acc) GROUP BY key""",
+    "stream_message_windows": f"{EXACT_STRICT} SELECT {WINDOW_NAMES}, closed_at_ms, e2e_latency_ms FROM exact",
+    "stream_readers": f"""{TEL}, c AS (SELECT count(*) AS n, count(*) FILTER ({GOOD}) AS good FROM tel)
+        SELECT unnest(['persisted', 'persisted, counted', 'batches', 'received']) AS reader,
+          unnest([good, good, 3, n]) AS messages FROM c""",
+    "stream_progress": f"{TEL} SELECT CAST(3 AS BIGINT) AS batches, count(*) AS rows FROM tel",
 }

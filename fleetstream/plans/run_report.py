@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetstream.functions import loglines
-from fleetstream.functions.rows import computed_once
+from fleetstream.functions.rows import computed_once, null_safe_join
 from fleetstream.functions.scalars import (
     memory_mb,
     or_na,
@@ -31,16 +31,26 @@ METRIC_FILES = {
 }
 
 
-SNAPSHOT = r"^storage_metrics.*\.txt$"
 COUNTERS = ("received_total", "persisted_total", "dropped_total", "batches_total")
 GAUGES = ("lag_ms", "p95_lag_ms")
+# Names in the metric dumps.
 DUMP_FIELDS = [
-    *(f"storage_{name}" for name in COUNTERS + GAUGES),
+    "storage_received_total",
+    "storage_persisted_total",
+    "storage_dropped_total",
+    "storage_batches_total",
+    "storage_lag_ms",
+    "storage_p95_lag_ms",
     "ingest_emitted_total",
     "ingest_throughput_msg_per_sec",
 ]
 
 
+def is_snapshot(file_name: Column) -> Column:
+    """Dumps of the storage service, those taken during a run included."""
+    return file_name.startswith("storage_metrics") & file_name.endswith(".txt")
+
+
 def _whole(value: Column) -> Column:
     """Truncated to a whole number; null for NaN and infinities."""
     finite = F.abs(value) < F.lit(9.2e18)
@@ -56,40 +66,48 @@ def line_fields(lines: DataFrame) -> DataFrame:
     a dump the value of ``metric``.
     """
     file, value = F.col("file_name"), F.col("value")
-    is_dump = file.rlike(SNAPSHOT) | file.isin(*METRIC_FILES.values())
-    name = loglines.metric_name(value)
-    known = F.when(is_dump & name.isin(*DUMP_FIELDS), name)
+    is_dump = is_snapshot(file) | file.isin(*METRIC_FILES.values())
+    # The name is asked of dump lines only, and parsed once for all its uses.
+    name = F.when(is_dump, loglines.metric_name(value))
+    named = computed_once(
+        lines, {"metric": F.when(name.isin(*DUMP_FIELDS), name)}, ["run_id", "file_name", "line_no", "value"]
+    )
+
+    def number(mark: str, pattern: str, group: int = 1) -> Column:
+        # A search for a fixed text is far cheaper than the expression it guards.
+        return F.when(value.contains(mark), loglines.captured_number(value, pattern, group))
 
-    def number(pattern: str, group: int = 1) -> Column:
-        return loglines.captured_number(value, pattern, group)
+    def counter(name: str) -> Column:
+        return F.when(value.startswith(name), loglines.counter_line(value, name).cast("double"))
 
     numbers = {
         "ingestion.log": [
-            number(loglines.EMITTED_DROPPED),
-            number(loglines.EMITTED_DROPPED, 2),
-            number(loglines.EMITTED_AT_END),
+            number("dropped=", loglines.EMITTED_DROPPED),
+            number("dropped=", loglines.EMITTED_DROPPED, 2),
+            number("mode završen:", loglines.EMITTED_AT_END),
         ],
         "analytics.log": [
-            F.regexp_count(value, F.lit(loglines.ALERT_MARK)).cast("double"),
-            number(loglines.MEAN_ENGINE),
+            F.when(
+                value.contains(loglines.ALERT_MARK), F.regexp_count(value, F.lit(loglines.ALERT_MARK))
+            )
+            .otherwise(F.when(value.isNotNull(), 0))
+            .cast("double"),
+            number("mean_engine_temp=", loglines.MEAN_ENGINE),
         ],
         "timing.log": [
-            number(loglines.RECOVERED),
+            number("Recovery detected", loglines.RECOVERED),
             F.when(value.contains(loglines.NO_RECOVERY), 1.0),
-            number(loglines.E2E_SECONDS),
-        ],
-        "storage.log": [
-            loglines.counter_line(value, counter).cast("double")
-            for counter in ("batches", "received", "persisted")
+            number("E2E latency", loglines.E2E_SECONDS),
         ],
+        "storage.log": [counter("batches"), counter("received"), counter("persisted")],
     }
-    slots = [F.when(known.isNotNull(), loglines.metric_value(value)), F.when(F.lit(False), 0.0)]
+    slots = [F.when(F.col("metric").isNotNull(), loglines.metric_value(value)), F.when(F.lit(False), 0.0)]
     slots.append(slots[1])
     for file_name, columns in numbers.items():
         for slot, column in enumerate(columns):
             slots[slot] = F.when(file == file_name, column).otherwise(slots[slot])
     numbered = (slot.alias(f"n{i}") for i, slot in enumerate(slots, 1))
-    return lines.select("run_id", "file_name", "line_no", known.alias("metric"), *numbered)
+    return named.select("run_id", "file_name", "line_no", "metric", *numbered)
 
 
 def file_facts(lines: DataFrame) -> DataFrame:
@@ -170,7 +188,7 @@ def log_facts(lines: DataFrame) -> DataFrame:
             metric_of(name, "ingest_throughput_msg_per_sec").alias(f"{service}_throughput")
             for service, name in services
         ),
-        F.max(F.when(file.rlike(SNAPSHOT), backlog)).alias("peak_backlog"),
+        F.max(F.when(is_snapshot(file), backlog)).alias("peak_backlog"),
     )
 
     def from_dump(counter: str, log_value: Column) -> Column:
@@ -216,7 +234,7 @@ def metric_values(lines: DataFrame) -> DataFrame:
 
 def peak_backlog(lines: DataFrame) -> DataFrame:
     """Largest received minus persisted over the run's snapshots that have both."""
-    facts = log_facts(lines.where(F.col("file_name").rlike(SNAPSHOT)))
+    facts = log_facts(lines.where(is_snapshot(F.col("file_name"))))
     return facts.where(F.col("peak_backlog").isNotNull()).select("run_id", "peak_backlog")
 
 
@@ -372,20 +390,15 @@ def write_facts(facts: DataFrame, path: str) -> None:
 def latest_valid(facts: DataFrame) -> DataFrame:
     """Per scenario and broker the valid run with the largest id, else the largest id.
 
-    The ids are aggregated before the shuffle and the facts are then filtered by at most
-    one id per scenario and broker of the naming scheme, so no broker's runs are sorted
-    together.
+    The ids are aggregated before the shuffle and the facts are then filtered by one id per
+    scenario and broker, so no broker's runs are sorted together.
     """
     chosen = facts.groupBy("scenario", "broker").agg(
         F.coalesce(
             F.max(F.when(F.coalesce("_valid", F.lit(True)), F.col("run_id"))), F.max("run_id")
         ).alias("run_id")
     )
-    # Four scenarios and two brokers: at most eight rows.
-    known = chosen.where(
-        F.col("scenario").isin(*SCENARIO_SECONDS) & F.col("broker").isin("mqtt", "kafka")
-    )
-    return facts.join(F.broadcast(known), ["scenario", "broker", "run_id"], "left_semi")
+    return null_safe_join(facts, chosen, ["scenario", "broker", "run_id"], "left_semi")
 
 
 def comparison_tables(latest: DataFrame) -> dict[str, DataFrame]:

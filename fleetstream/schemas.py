@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Columns read from the wide telemetry CSV, in event order.  The tyre cell is
-# text holding one value per tyre.
+# Columns read from the wide telemetry CSV, in event order.  The tyre cell
+# is text holding one value per tyre.
 CSV_FIELDS: dict[str, str] = {
     "sessionTime": "float",
     "frameIdentifier": "int",
@@ -46,25 +46,25 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
-# Persisted telemetry row.
-PERSISTED_FIELDS = [
-    "device_id",
-    "pilot_index",
-    "replica",
-    "sessionTime",
-    "frameIdentifier",
-    "speed",
-    "engineTemperature",
-    "tyresSurfaceTemperature",
-    "worldPositionX",
-    "worldPositionY",
-    "worldPositionZ",
-    "t_emit",
-    "t_persist",
-    "payload",
-]
+# Columns of a persisted telemetry row.
+PERSISTED_FIELDS: dict[str, str] = {
+    "device_id": "string",
+    "pilot_index": "int",
+    "replica": "int",
+    "sessionTime": "float",
+    "frameIdentifier": "int",
+    "speed": "float",
+    "engineTemperature": "float",
+    "tyresSurfaceTemperature": "float",
+    "worldPositionX": "float",
+    "worldPositionY": "float",
+    "worldPositionZ": "float",
+    "t_emit": "timestamp",
+    "t_persist": "timestamp",
+    "payload": "string",
+}
 
-# Run fact columns and types; a scenario that lacks a column reports it as null.
+# Run fact columns and types; a scenario that lacks a column reports it as null.
 RUN_FACT_FIELDS: dict[str, str] = {
     "_invalid_reason": "string",
     "_valid": "boolean",

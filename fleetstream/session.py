@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,11 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Checkpoints go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Small test files are split over the cores too.
+        .config("spark.sql.files.maxPartitionBytes", "1m")
+        .config("spark.sql.files.openCostInBytes", "64k")
         # Call-site capture costs several JVM calls per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -47,26 +54,49 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="fleetstream-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder visible to every executor, named by ``spark.checkpoint.dir``.
+    """Folder visible to every executor.
 
-    Only a local master may fall back to a folder of its own; a cluster session
-    without the setting is an error, because a machine-local path would vanish
-    with the machine.
+    It is the one ``spark.checkpoint.dir`` names, else the one given to
+    ``SparkContext.setCheckpointDir``.  The setting is only read: a running session cannot
+    change it.  Only a local master may fall back to a folder of its own; on a cluster a
+    machine-local path would vanish with the machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    given = spark.sparkContext.getCheckpointDir()
+    if given:
+        return given
+    master = spark.sparkContext.master
+    if not re.match(r"local($|\[)", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="fleetstream-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return _local_dir()
+
+
+def own_dir(spark: SparkSession) -> str:
+    """Where this application keeps its tables below the shared folder."""
+    return f"{shared_dir(spark)}/fleetstream/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/fleetstream/{name}-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_own_tables(spark: SparkSession) -> None:
+    """Delete what this application has written below the shared folder.
+
+    For the end of a job: tables derived from them cannot be read afterwards.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -59,16 +59,10 @@ def subscribed(messages: DataFrame, topic_filter: str) -> DataFrame:
 def with_arrival(messages: DataFrame) -> DataFrame:
     """Add ``seq`` and ``arrival_ms``: order by broker time, then partition, then offset.
 
-    ``seq`` packs the three into one decimal, which aggregates without sorting.
+    ``seq`` is a struct of the three, which compares and aggregates without sorting.
     """
-    packed = F.concat(
-        F.unix_micros("timestamp").cast("string"),
-        F.lpad(F.col("partition").cast("string"), 5, "0"),
-        F.lpad(F.col("offset").cast("string"), 17, "0"),
-    )
-    return messages.withColumns(
-        {"seq": packed.cast("decimal(38,0)"), "arrival_ms": F.unix_millis("timestamp")}
-    )
+    arrival = F.struct(F.unix_micros("timestamp").alias("at_us"), "partition", "offset")
+    return messages.withColumns({"seq": arrival, "arrival_ms": F.unix_millis("timestamp")})
 
 
 def keyed_messages(events: DataFrame, topic: str = DEFAULT_TOPIC) -> DataFrame:

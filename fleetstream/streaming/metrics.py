@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,24 +36,41 @@ def progress_row(progress) -> tuple:
 
 
 class ProgressTable(StreamingQueryListener):
-    """Appends the progress of every micro-batch to a JSON table."""
+    """Appends the progress of micro-batches to a JSON table.
 
-    def __init__(self, spark: SparkSession, path: str):
+    Rows are kept until there are ``rows`` of them or a query ends, so that the callback
+    writes one file for many micro-batches.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows: int = 500):
         self.spark = spark
         self.path = path
+        self.rows = rows
+        self.waiting: list[tuple] = []
+        self.lock = Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        row = self.spark.createDataFrame([progress_row(event.progress)], PROGRESS_SCHEMA)
-        row.coalesce(1).write.mode("append").json(self.path)
+        with self.lock:
+            self.waiting.append(progress_row(event.progress))
+            full = len(self.waiting) >= self.rows
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
+
+    def flush(self) -> None:
+        """Write what is waiting."""
+        with self.lock:
+            rows, self.waiting = self.waiting, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(self.path)
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:

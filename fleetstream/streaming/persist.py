@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetstream.operators.decode import accepted, classified, rejected
-from fleetstream.operators.persist import append_batch, persisted_rows
+from fleetstream.operators.persist import BATCH_ID, EVENT_DATE, append_batch, persisted_rows
+from fleetstream.schemas import PERSISTED_FIELDS
+
+TELEMETRY_SCHEMA = (
+    ", ".join(f"{name} {PERSISTED_FIELDS[name]}" for name in PERSISTED_FIELDS)
+    + f", {EVENT_DATE} date, {BATCH_ID} bigint"
+)
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -32,7 +38,7 @@ def table_writer(root: str) -> BatchWriter:
         batch = classified(messages).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = persisted_rows(accepted(batch), t_persist)
-            append_batch(rows, batch_path(root, "telemetry", batch_id))
+            append_batch(rows, f"{root}/telemetry", batch_id)
             refused = rejected(batch)
             refused.write.mode("overwrite").parquet(batch_path(root, "rejects", batch_id))
             is_rejected = F.col("reject_reason").isNotNull()
@@ -89,4 +95,16 @@ def persist_stream(messages: DataFrame, checkpoint: str, write: BatchWriter) ->
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+    """One of the tables below ``root``; ``telemetry`` is empty while no row was accepted."""
+    path = f"{root}/{table}"
+    if table != "telemetry":
+        return spark.read.option("basePath", path).parquet(path)
+    if not _exists(spark, path):
+        return spark.createDataFrame([], TELEMETRY_SCHEMA)
+    return spark.read.schema(TELEMETRY_SCHEMA).option("basePath", path).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)

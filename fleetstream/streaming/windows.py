@@ -8,17 +8,20 @@ aggregates are the whole state: one row, written with the batch and read by the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetstream.operators.windows import (
     KEY,
     WINDOW_MS,
     accepted_buffers,
+    alert_lines,
     close_index,
     finish_windows,
     first_arrivals,
@@ -43,15 +46,28 @@ STATE = "windows"
 COUNTS = "counts"
 
 
+@contextmanager
+def single_operator(spark: SparkSession) -> Iterator[None]:
+    """Start a query as one with a single stateful operator; the setting is put back after."""
+    name = "spark.sql.streaming.statefulOperator.allowMultiple"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def native_windows(events: DataFrame, size_ms: int = WINDOW_MS) -> DataFrame:
     """Closed windows of an event stream under a watermark without delay.
 
-    With one stateful operator the current watermark also filters late rows, which drops
-    events of windows closed by an earlier micro-batch.  Equal to the exact operator for
-    events that arrive in order.
+    Started inside ``single_operator``, the current watermark also filters late rows, which
+    drops events of windows closed by an earlier micro-batch.  Equal to the exact operator
+    for events that arrive in order.
     """
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
     stamped = events.withColumn("ts", F.timestamp_millis("t_emit"))
     buffers = (
         stamped.withWatermark("ts", "0 seconds")
@@ -99,6 +115,13 @@ def exact_window_writer(
     return write
 
 
+def _before_all(kind: T.DataType) -> Column:
+    """An arrival that is earlier than every real one, of the type of ``seq``."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*(_before_all(f.dataType).alias(f.name) for f in kind.fields)).cast(kind)
+    return F.lit(-1).cast(kind)
+
+
 def _advance(events: DataFrame, carry: DataFrame | None, size_ms: int) -> DataFrame:
     """Window rows after a micro-batch, given the open window before it."""
     # At most one row by construction; none before the first event of the stream.
@@ -110,12 +133,11 @@ def _advance(events: DataFrame, carry: DataFrame | None, size_ms: int) -> DataFr
         open_key = open_row[KEY]
         fresh = events.where(window_key("t_emit", size_ms) >= open_key)
         firsts = first_arrivals(fresh, size_ms)
-        kinds = dict(firsts.dtypes)
         # The open window arrived before everything in this batch.
         seed = carry.select(
             KEY,
             F.lit(0).cast("bigint").alias("n"),
-            F.lit(-1).cast(kinds["first_seq"]).alias("first_seq"),
+            _before_all(firsts.schema["first_seq"].dataType).alias("first_seq"),
             F.lit(None).cast("bigint").alias("first_arrival_ms"),
         )
         firsts = (
@@ -160,6 +182,13 @@ def open_window(
     return with_latency(finish_windows(flushed, size_ms, ["closed_at_ms"]))
 
 
+def closed_alerts(spark: SparkSession, root: str, size_ms: int = WINDOW_MS) -> DataFrame:
+    """Alert lines of the windows closed so far, with the batch that closed each."""
+    rows = read_table(spark, root, STATE).where("closed")
+    closed = with_latency(finish_windows(rows, size_ms, ["closed_at_ms", "batch_id"]))
+    return alert_lines(closed)
+
+
 def window_counts(spark: SparkSession, root: str) -> DataFrame:
     """Received, accepted and late events per batch."""
     return read_table(spark, root, COUNTS)

@@ -12,7 +12,7 @@ from fleetstream.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(4, "4g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+    if session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()

@@ -17,12 +17,22 @@ def test_duplicates(spark):
 
 def test_delivery(spark):
     def stage(**counts):
-        return spark.createDataFrame([(r,) for r, n in counts.items() for _ in range(n)] or [("z",)], "run_id string")
+        return spark.createDataFrame([(r, i) for r, n in counts.items() for i in range(n)], "run_id string, id bigint")
 
-    counts = quality.stage_counts({"expected": stage(a=4, b=2, c=3), "emitted": stage(a=4, b=2, c=3), "observed": stage(a=4, b=4)})
+    expected = stage(a=4, b=2, c=3, d=5)
+    observed = stage(a=4, b=4, d=3).unionByName(stage(a=3)).unionByName(stage(a=1))
+    counts = quality.stage_counts({"expected": expected, "emitted": expected, "dropped": stage(d=2)}, observed, key=["id"])
     rows = {r.run_id: r for r in quality.delivery_report(counts).collect()}
-    assert [rows[k].verdict for k in "abc"] == ["delivered once", "delivered twice", "no observation"]
+    assert [rows[k].verdict for k in "abcd"] == ["delivered once", "delivered twice", "no observation", "unexpected"]
     assert (rows["b"].observed_ratio, rows["a"].received, rows["a"].emitted_ratio) == (2.0, None, 1.0)
+    assert (rows["a"].observed_total, rows["a"].observed, rows["a"].observed_duplicates) == (8, 4, 4)
+    assert (rows["c"].observed, rows["d"].dropped, rows["d"].observed_per_emitted) == (None, 2, 0.6)
+
+
+def test_first_and_last_keys_by_arrival(spark):
+    df = spark.createDataFrame([(9, 1), (3, 2), (7, 3), (1, 4)], "id bigint, arrival bigint")
+    ends = quality.key_head_tail(df, "id", 2, 1, order="arrival").collect()
+    assert sorted((r.part, r.id) for r in ends) == [("first", 3), ("first", 9), ("last", 1)]
 
 
 def test_recovery(spark):

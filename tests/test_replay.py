@@ -63,9 +63,9 @@ def test_devices_replay_one_after_the_other(spark):
     ]
 
 
-@pytest.mark.parametrize("limit", [500_000, 2])
-def test_cyclic_expansion(spark, monkeypatch, limit):
-    monkeypatch.setattr(replay, "MAX_SMALL_ROWS", limit)
+@pytest.mark.parametrize("chunk", [100_000, 2])
+def test_cyclic_expansion(spark, monkeypatch, chunk):
+    monkeypatch.setattr(replay, "CHUNK", chunk)
     indexed = row_rank(rows(spark, range(7)).drop("row_index").withColumn("o", F.col("sessionTime").cast("bigint")), "o", name="row_index")
     found = replay.cyclic_expand(indexed, devices=25, rate=300, duration_ms=100, t0_ms=0).orderBy("emission").collect()
     assert len(found) == 30
@@ -92,6 +92,6 @@ def test_critical_overlay(spark):
 def test_large_index_joins_equal_small_ones(spark, monkeypatch):
     source = rows(spark, [1, 2, 4, 3, 9] * 20)
     small = {tuple(r) for r in replay.device_replay(source, devices=2, duration_ms=3000, t0_ms=0, session="session").collect()}
-    monkeypatch.setattr(lookup, "MAX_SMALL_ROWS", 0)
+    monkeypatch.setattr(lookup, "MAX_SMALL_BYTES", 0)
     large = {tuple(r) for r in replay.device_replay(source, devices=2, duration_ms=3000, t0_ms=0, session="session").collect()}
     assert small == large and small

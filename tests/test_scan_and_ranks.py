@@ -69,7 +69,7 @@ def test_one_tick_is_cut_by_size(spark):
 
 @pytest.mark.parametrize("limit", [500_000, 3])
 def test_batches_match_a_loop(spark, monkeypatch, limit):
-    monkeypatch.setattr(lookup, "MAX_SMALL_ROWS", limit)
+    monkeypatch.setattr(lookup, "MAX_SMALL_BYTES", limit * 100)
     rng = random.Random(5)
     arrivals = sorted(rng.randrange(3000) for _ in range(400))
     events = spark.createDataFrame(
@@ -100,3 +100,33 @@ def test_rolling_percentile_across_blocks(spark):
     for i, row in enumerate(found):
         history = sorted(lags[max(0, i - 39) : i + 1])
         assert row.p95_lag_ms == history[min(math.floor(len(history) * 0.95), len(history) - 1)]
+
+
+def test_null_groups_are_groups(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", None]), i, rng.randrange(100)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    found = {r.g: r.percentile for r in ranks.index_percentile(df, "v", ["g"]).collect()}
+    for group in ("a", None):
+        ordered = sorted(v for g, _, v in rows if g == group)
+        assert found[group] == ordered[min(math.floor(len(ordered) * 0.95), len(ordered) - 1)]
+    summed = running(df, "o", [Running("s", "sum", "v")], ["g"], bits=4).collect()
+    for r in summed:
+        before = [v for g, o, v in rows if g == r.g and o < r.o]
+        assert r.s == (sum(before) if before else None)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_index_joins_null_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "MAX_SMALL_BYTES", limit)
+    monkeypatch.setattr(lookup, "HOT_SHARE", 0.3)
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "k string, v bigint")
+    counts = df.groupBy("k").count().withColumnRenamed("count", "n").withColumn("m", F.col("n") + 1)
+    joined = lookup.Index.of(counts, "k", "n").join(df, ["m"])
+    assert sorted((r.v, r.m) for r in joined.collect()) == [(1, 3), (2, 3), (3, 2), (4, 2)]
+
+
+def test_ranks_by_a_struct(spark):
+    df = spark.createDataFrame([(i // 3, i % 3, i) for i in range(60)], "a bigint, b int, want bigint")
+    ranked = row_rank(df.withColumn("o", F.struct("a", "b")), "o", bits=2)
+    assert all(r.row_rank == r.want for r in ranked.collect())

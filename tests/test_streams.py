@@ -83,7 +83,8 @@ def test_native_stream_equals_batch_in_order(spark, tmp_path):
     for low, high in ((0, 100), (100, 240)):
         land(df, path, low, high)
         closed = stream_windows.native_windows(spark.readStream.schema(SCHEMA).parquet(path))
-        drain(closed.writeStream.format("parquet").option("path", root).option("checkpointLocation", str(tmp_path / "cp")))
+        with stream_windows.single_operator(spark):
+            drain(closed.writeStream.format("parquet").option("path", root).option("checkpointLocation", str(tmp_path / "cp")))
     assert as_set(spark.read.parquet(root)) == as_set(windows.windows(df))
 
 
@@ -95,7 +96,9 @@ def test_native_stream_drops_late_batches(spark, tmp_path):
         rows = [(0, 0, t, 60.0, 60.0) for t in part]
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
         closed = stream_windows.native_windows(spark.readStream.schema(SCHEMA).parquet(path))
-        drain(closed.writeStream.format("parquet").option("path", root).option("checkpointLocation", str(tmp_path / "cp")))
+        with stream_windows.single_operator(spark):
+            drain(closed.writeStream.format("parquet").option("path", root).option("checkpointLocation", str(tmp_path / "cp")))
+    assert spark.conf.get("spark.sql.streaming.statefulOperator.allowMultiple") == "true"
     found = sorted((r.window_start, r["count"]) for r in spark.read.parquet(root).collect())
     assert found == [(0, 2), (10000, 2), (20000, 1)]
 
@@ -130,6 +133,49 @@ def test_persist_stream_with_two_readers_and_metrics(spark, tmp_path):
     assert (counts.received, counts.persisted, counts.rejected) == (n, good_rows, n - good_rows)
     assert persist.read_table(spark, root, "rejects").count() == n - good_rows
     assert persist.read_table(spark, str(tmp_path / "count"), "counts").first().received == n
+    listener.flush()
+    told = metrics.read_progress(spark, str(tmp_path / "progress"))
+    assert told.where(F.col("query_id") == str(query.id)).agg(F.sum("input_rows")).first()[0] == n
     rows = [metrics.progress_row(p) for p in query.recentProgress]
     progress = spark.createDataFrame(rows, metrics.PROGRESS_SCHEMA)
     assert metrics.batch_durations(progress).first().rows == n
+
+
+def test_table_without_accepted_rows(spark, tmp_path):
+    bad = views.as_messages(views.event_text(spark, "/root/testdata/sf0.001")).where("seq % 6 = 5")
+    root = str(tmp_path / "out")
+    write = persist.table_writer(root)
+    write(bad, 0)
+    assert persist.read_table(spark, root, "telemetry").count() == 0
+    assert persist.read_table(spark, root, "rejects").count() == bad.count()
+
+
+def test_table_is_laid_out_by_date(spark, tmp_path):
+    rows = views.as_messages(views.event_text(spark, "/root/testdata/sf0.001"))
+    root = str(tmp_path / "out")
+    write = persist.table_writer(root)
+    for batch in (0, 1, 1):
+        write(rows.where(F.col("seq") % 2 == batch), batch)
+    table = persist.read_table(spark, root, "telemetry")
+    assert table.count() == rows.where("seq % 6 < 3").count()
+    dates = {p.name for p in (tmp_path / "out" / "telemetry").iterdir() if p.is_dir()}
+    assert dates and all(name.startswith("event_date=") for name in dates)
+    files = [len(list(p.glob("*.parquet"))) for p in (tmp_path / "out" / "telemetry").glob("*/batch_id=*")]
+    assert set(files) == {1}
+
+
+def test_alerts_of_closed_windows(spark, tmp_path):
+    df = arrivals(spark, 1)
+    path, root = str(tmp_path / "in"), str(tmp_path / "out")
+    write = stream_windows.exact_window_writer(root)
+    for low, high in ((0, 90), (90, 240)):
+        land(df, path, low, high)
+        drain(stream_windows.window_stream(spark.readStream.schema(SCHEMA).parquet(path), str(tmp_path / "cp"), write))
+    found = {r.line for r in stream_windows.closed_alerts(spark, root).collect()}
+    assert found and found == {r.line for r in windows.alert_lines(windows.exact_windows(df)).collect()}
+
+
+def test_struct_order_equals_integer_order(spark):
+    df = arrivals(spark, 4)
+    packed = df.withColumn("seq", F.struct(F.col("arrival_ms").alias("at_us"), F.lit(0).alias("partition"), F.col("seq").alias("offset")))
+    assert as_set(windows.exact_windows(packed)) == as_set(windows.exact_windows(df))

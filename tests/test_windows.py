@@ -44,7 +44,7 @@ def test_known_arrivals(spark):
 @pytest.mark.parametrize("limit", [500_000, 5])
 def test_against_event_by_event_model(spark, monkeypatch, seed, limit):
     # A limit of 5 keys takes the path for an index too large to broadcast.
-    monkeypatch.setattr(lookup, "MAX_SMALL_ROWS", limit)
+    monkeypatch.setattr(lookup, "MAX_SMALL_BYTES", limit * 100)
     monkeypatch.setattr(lookup, "HOT_SHARE", 0.05)
     rng = random.Random(seed)
     # A third of the events fall into one window.
