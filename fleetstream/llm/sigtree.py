@@ -1,9 +1,11 @@
 """Exact Jaccard join of shingle sets with signature trees, and its components.
 
-Documents with equal sets are one class.  Two linked sets share a shingle among the first
-``n - ceil(t n) + 1`` of each in any common order; the order is by digest, with shingles
-that a bounded sketch found frequent last.  The classes that share such a shingle form a
-cluster, named after its least class, so the clusters of a group of near copies coincide.
+Documents with equal sets are one class.  Two linked sets share at least ``k`` shingles among
+the first ``n - ceil(t n) + k`` of each in any common order; the order is by digest, with
+shingles that a bounded sketch found frequent last, and ``k`` grows with the size, so that a
+passage in common is not enough.  The classes that share such a shingle form a cluster, named
+after its least class, so the clusters of a group of near copies coincide; classes with fewer
+shared shingles than any partner would give them are dropped.
 
 In a cluster the classes are leaves of a signature tree: leaves in order of size, nodes
 with the OR of their token bitmaps, the range of sizes and the largest number of tokens
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -34,6 +36,8 @@ from fleetstream.llm.common import written
 
 SHINGLE = 5
 PERCENT = 80
+# A prefix is longer by one in so many shingles, and as many more have to be shared.
+SHARED_PART = 10
 CLUSTER_TOKENS = 1_500_000
 FANOUT = 16
 # Sketch of shingle counts: buckets, the most frequent ones that a task reports, and the
@@ -81,8 +85,18 @@ def class_of(found: np.ndarray) -> int:
     return xxh3_64_intdigest(found.tobytes()) - (1 << 63)
 
 
+def asked(n):
+    """Shingles that a set of size ``n`` has to share in its prefix, for the prefix's length."""
+    return 1 + n // SHARED_PART
+
+
 def prefix_size(n: int) -> int:
-    return n - -(-PERCENT * n // 100) + 1
+    return n - -(-PERCENT * n // 100) + asked(n)
+
+
+def least_shared(n: Column) -> Column:
+    """Shingles that a set surely shares with a partner: what the smallest partner is asked."""
+    return 1 + F.floor(F.ceil(n * PERCENT / 100) / SHARED_PART)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -148,6 +162,7 @@ def _prefixes(frequent):
                 order = np.where(last[_bucket(found)], rest | _TOP, rest)
                 if k < len(order):
                     order = np.partition(order, k - 1)[:k]
+                k = len(order)
                 tokens.append(order)
                 classes.append(np.full(k, c, dtype=np.int64))
                 sizes.append(np.full(k, len(found), dtype=np.int32))
@@ -165,8 +180,9 @@ def _prefixes(frequent):
 
 
 def _clusters(batches):
-    """From rows sorted by token, size and class to distinct ``cluster, class, size``.
+    """From rows sorted by token, size and class to ``cluster, class, size, shared``.
 
+    ``shared`` is the number of shingles by which the class is in the cluster.
     A token's classes are cut where one is too small for the next larger one.  Rows of a
     token that goes on in the next batch are carried.
     """
@@ -183,9 +199,14 @@ def _clusters(batches):
         least = np.minimum.reduceat(cls, start)[group]
         most = np.maximum.reduceat(cls, start)[group]
         keep = least != most
-        rows = np.unique(np.stack([least[keep], cls[keep], size[keep].astype(np.int64)], axis=1), axis=0)
+        # A class that several tasks sent is there more than once for a token.
+        keep &= np.concatenate([[True], (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])])
+        rows, shared = np.unique(
+            np.stack([least[keep], cls[keep], size[keep].astype(np.int64)], axis=1), axis=0, return_counts=True
+        )
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)], ["cluster", "class", "size"]
+            [*(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)), pa.array(shared.astype(np.int64))],
+            ["cluster", "class", "size", "shared"],
         )
 
     for batch in batches:
@@ -370,19 +391,29 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     frequent = spark.sparkContext.broadcast(np.array([r["bucket"] for r in top.collect()], dtype=np.int64))
     prefixes = texts.mapInArrow(_prefixes(frequent), "token bigint, class bigint, size int")
     dealt = prefixes.repartition("token").sortWithinPartitions("token", "size", "class")
-    clusters = written(
-        dealt.mapInArrow(_clusters, "cluster bigint, class bigint, size bigint").distinct(), "clusters"
+    shared = written(
+        dealt.mapInArrow(_clusters, "cluster bigint, class bigint, size bigint, shared bigint")
+        .groupBy("cluster", "class", "size")
+        .agg(F.sum("shared").alias("shared")),
+        "clusters",
+    )
+    enough = (
+        shared.groupBy("class", "size")
+        .agg(F.sum("shared").alias("shared"))
+        .where(F.col("shared") >= least_shared(F.col("size")))
     )
+    clusters = shared.drop("shared").join(enough.select("class"), "class", "left_semi")
     # Large clusters are cut into blocks; a class goes to every pair that has its block.
     blocks = (
         clusters.groupBy("cluster")
-        .agg(F.ceil(F.sum("size") / CLUSTER_TOKENS).cast("int").alias("n"))
-        .where("n > 1")
+        .agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("size") / CLUSTER_TOKENS).cast("int").alias("n"))
+        .where("members > 1")
+        .drop("members")
     )
-    placed = clusters.join(blocks, "cluster", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    placed = clusters.join(blocks, "cluster")
     own = F.pmod(F.xxhash64("class"), F.col("n")).cast("int")
     spread = placed.select("cluster", "class", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("x"))
-    asked = spread.select(
+    wanted = spread.select(
         "cluster",
         "class",
         F.least("own", "x").alias("i"),
@@ -391,7 +422,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("own") <= F.col("x"), F.lit(0)).otherwise(F.lit(1)).alias("side"),
     )
     with_class = texts.mapInArrow(_with_class, "class bigint, text binary")
-    cluster_rows = asked.join(with_class, "class")
+    cluster_rows = wanted.join(with_class, "class")
     ready = cluster_rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     stars = ready.mapInArrow(_joined, "root bigint, class bigint")
     return sets, written(stars.select(F.col("root").alias("a"), F.col("class").alias("b")), "stars")
