@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetstream.llm import repeats, reputation, sigtree, wrapper
+from fleetstream.llm import repeats, reputation, secrets, sigtree, wrapper
 from tests.llm.conftest import odd_rows, prose
 
 # --- repeats
@@ -289,6 +289,69 @@ def test_pipeline(spark):
     assert out.select("doc_id").distinct().count() == out.count()
 
 
+def brute_clean(text, items):
+    """The text without benchmark passages and with masked secrets."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def fold(t):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+    found = [(m.start(), m.end(), m.group()) for m in word.finditer(fold(text))]
+    hit = set()
+    for item in items:
+        v = word.findall(fold(item))
+        n = min(10, len(v))
+        windows = {tuple(v[i : i + n]) for i in range(len(v) - n + 1)} if v else set()
+        for i in range(len(found) - n + 1):
+            if n and tuple(x[2] for x in found[i : i + n]) in windows:
+                hit.update(range(i, i + n))
+    out, at, i = [], 0, 0
+    while i < len(found):
+        if i in hit:
+            j = i
+            while j + 1 in hit:
+                j += 1
+            out.append(text[at : found[i][0]])
+            at, i = found[j][1], j
+        i += 1
+    text = "".join([*out, text[at:]])
+    spans = sorted(
+        m.span()
+        for rule in secrets.RULES
+        for m in re.finditer(rule.pattern, text)
+        if len(m.group(rule.group)) >= rule.least
+    )
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], "[secret]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def test_pipeline_equals_brute_force(spark):
+    """All stages but the fitted first one, by plain loops over what that one keeps."""
+    sf_dir = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = stages["quality"](spark, docs, sf_dir).collect()
+    first = [r for r, c in zip(sorted(kept, key=lambda r: repr(r["doc_id"])), brute_components([(r["doc_id"], r["text"]) for r in kept]), strict=True) if r["doc_id"] == c[2]]
+    items = [r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    sizes = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", brute_clean(r["text"], items))) for r in first}
+    source = {r["doc_id"]: r["source"] for r in first}
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r["doc_id"]: r["size"] for r in got} == sizes
+    total, taken = collections.Counter(), collections.Counter()
+    for r in got:
+        total[source[r["doc_id"]]] += r["size"]
+        taken[source[r["doc_id"]]] += r["taken"]
+        assert r["taken"] % max(r["size"], 1) == 0 and r["taken"] <= 3 * r["size"]
+    for r in got:
+        s = source[r["doc_id"]]
+        assert r["source_size"] == total[s]
+        assert abs(taken[s] - r["target"]) <= 0.05 * total[s] + 2
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_on_odd_rows(spark, odd, none, name, stage):
     kept = stage(spark, odd, "/root/testdata/sf0.001")
