@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetstream.functions.rows import null_safe_join
 from fleetstream.functions.scalars import device_id
 from fleetstream.operators.lookup import Index
-from fleetstream.operators.scan import Running, running
 from fleetstream.session import materialise
 
 PILOTS = 20
@@ -21,6 +21,8 @@ MAX_GAP_MS = 1000
 CRITICAL_EVENTS = 100
 # Largest array of device numbers one row is expanded through.
 CHUNK = 100_000
+# Order values per bucket of a timeline: the rows of a session that one task orders.
+BUCKET_BITS = 20
 CRITICAL_TEMPERATURE = 1500.0
 
 
@@ -146,15 +148,45 @@ def replay_timeline(
     The wait is the positive gap to the row before (to 0 for the first), at most one
     second.
     """
-    timed = rows.withColumn("session_ms", session_ms(F.col("sessionTime"), time_scale))
-    gapped = running(timed, order, [Running("__prev", "last", "session_ms")], session)
-    gap = F.col("session_ms") - F.coalesce(F.col("__prev"), F.lit(0))
-    waits = gapped.withColumn(
-        "wait_ms", F.least(F.greatest(gap, F.lit(0)), F.lit(MAX_GAP_MS))
-    ).drop("__prev")
-    summed = running(waits, order, [Running("__before", "sum", "wait_ms")], session)
-    offset = F.coalesce(F.col("__before"), F.lit(0)) + F.col("wait_ms")
-    return summed.withColumn("offset_ms", offset).drop("__before")
+    keys = [*session, "__bucket"]
+    timed = rows.withColumn("session_ms", session_ms(F.col("sessionTime"), time_scale)).withColumn(
+        "__bucket", F.shiftright(F.col(order).cast("bigint"), BUCKET_BITS)
+    )
+    ordered = Window.partitionBy(*keys).orderBy(order)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    time = F.col("session_ms")
+
+    def gap(earlier: Column) -> Column:
+        return F.least(F.greatest(time - earlier, F.lit(0)), F.lit(MAX_GAP_MS))
+
+    # One exchange by session and bucket serves the rows and the totals of the buckets.
+    inside = (
+        timed.repartition(*keys)
+        .withColumn("__prev", F.last(time, ignorenulls=True).over(before))
+        .withColumn("__gap", F.when(F.col("__prev").isNotNull(), gap(F.col("__prev"))))
+        .withColumn("__sum", F.coalesce(F.sum("__gap").over(upto), F.lit(0)))
+    )
+    known = F.when(time.isNotNull(), F.col(order))
+    totals = inside.groupBy(*keys).agg(
+        F.min_by("session_ms", known).alias("session_ms"),
+        F.max_by("session_ms", known).alias("__last"),
+        F.coalesce(F.sum("__gap"), F.lit(0)).alias("__inner"),
+    )
+    earlier = Window.partitionBy(*session).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        totals.withColumn("__before", F.coalesce(F.last("__last", ignorenulls=True).over(earlier), F.lit(0)))
+        .withColumn("__entry", F.when(time.isNotNull(), gap(F.col("__before"))).otherwise(F.lit(0)))
+        .withColumn("__carry", F.coalesce(F.sum(F.col("__entry") + F.col("__inner")).over(earlier), F.lit(0)))
+        .select(*keys, "__entry", "__carry")
+    )
+    # The wait into a bucket belongs to its first row with a time.
+    entered = F.coalesce("__prev", time).isNotNull()
+    wait = F.coalesce("__gap", F.when(entered, F.col("__entry")), F.lit(0))
+    offset = F.col("__carry") + F.when(entered, F.col("__entry")).otherwise(F.lit(0)) + F.col("__sum")
+    return null_safe_join(inside, carried, keys).select(
+        *rows.columns, "session_ms", wait.alias("wait_ms"), offset.alias("offset_ms")
+    )
 
 
 def until_duration(

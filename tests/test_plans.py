@@ -31,9 +31,9 @@ def test_no_cross_join_and_no_python(spark, name):
 def test_late_test_neither_sorts_nor_shuffles_events(spark):
     text = plan(windows.mark_late(views.telemetry(spark, DIRECTORY), HOUR_MS))
     assert "BroadcastHashJoin" in text
-    # What is exchanged is the scan of the index, in buckets of keys, and nothing else.
-    assert all(key.startswith("__bucket") for key in re.findall(r"hashpartitioning\((\w+)", text))
-    assert "SortMergeJoin" not in text
+    # Only the index, a row per window, is exchanged or sorted for its own scan.
+    moved = re.findall(r"\) (?:Exchange|Sort)\nInput \[\d+\]: \[(.*?)\]", text)
+    assert moved and not any("t_emit" in columns or "seq#" in columns for columns in moved)
 
 
 def test_window_scan_reads_needed_columns(spark):
@@ -55,3 +55,12 @@ def test_aggregations_combine_before_the_shuffle(spark):
 def test_top_keys_do_not_sort_everything(spark):
     text = plan(catalog.first_duplicates(spark, DIRECTORY))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_timeline_orders_the_rows_once(spark):
+    df = catalog.replay_timeline(spark, DIRECTORY)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    # The rows by session and bucket, and the totals of the buckets by session.
+    assert len(re.findall(r"Exchange hashpartitioning", final)) - final.count("ReusedExchange") <= 4

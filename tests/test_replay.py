@@ -95,3 +95,23 @@ def test_large_index_joins_equal_small_ones(spark, monkeypatch):
     monkeypatch.setattr(lookup, "MAX_SMALL_BYTES", 0)
     large = {tuple(r) for r in replay.device_replay(source, devices=2, duration_ms=3000, t0_ms=0, session="session").collect()}
     assert small == large and small
+
+
+def test_timeline_over_buckets_equals_a_loop(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(replay, "BUCKET_BITS", 2)
+    rng = random.Random(9)
+    data = [
+        (i, rng.choice(["a", "b", None]), None if rng.random() < 0.2 else rng.randrange(0, 60) / 10)
+        for i in rng.sample(range(500), 150)
+    ]
+    df = spark.createDataFrame(data, "row_index bigint, session string, sessionTime float")
+    found = {r.row_index: r for r in replay.replay_timeline(df, session=["session"]).collect()}
+    last, total = {}, {}
+    for i, s, _ in sorted(data, key=lambda r: r[0]):
+        time = found[i].session_ms
+        wait = 0 if time is None else min(max(time - last.get(s, 0), 0), 1000)
+        total[s] = total.get(s, 0) + wait
+        last[s] = last.get(s, 0) if time is None else time
+        assert (found[i].wait_ms, found[i].offset_ms) == (wait, total[s])
