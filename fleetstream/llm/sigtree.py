@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from fleetstream.llm.common import written
+from fleetstream.llm.common import row_key, words, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -115,7 +115,7 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 def _sets(batches):
     """A row per document, and the task's most frequent shingle buckets."""
     counts = np.zeros(BUCKETS, dtype=np.int64)
-    names = ["doc_id", "size", "class", "bucket", "count"]
+    names = ["doc_id", "key", "size", "class", "bucket", "count"]
     kind = None
     for batch in batches:
         kind = batch.schema.field("doc_id").type
@@ -126,6 +126,7 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("key"),
                 pa.array([len(s) for s in found], pa.int64()),
                 pa.array([class_of(s) if len(s) else None for s in found], pa.int64()),
                 pa.nulls(n, pa.int32()),
@@ -138,7 +139,7 @@ def _sets(batches):
     if len(top):
         n = len(top)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(top, pa.int32()), pa.array(counts[top])],
+            [pa.nulls(n, kind), *(pa.nulls(n, pa.int64()) for _ in range(3)), pa.array(top, pa.int32()), pa.array(counts[top])],
             names,
         )
 
@@ -373,14 +374,19 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per document its class and size, and the stars that connect classes."""
+    """Per document its row key, class and size, and the stars that connect classes."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = docs.select(
+        "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("binary").alias("text")
+    )
     measured = written(
-        texts.mapInArrow(_sets, f"doc_id {id_type}, size bigint, class bigint, bucket int, count bigint"), "sets"
+        texts.mapInArrow(
+            _sets, f"doc_id {id_type}, key bigint, size bigint, class bigint, bucket int, count bigint"
+        ),
+        "sets",
     )
-    sets = measured.where("bucket is null").select("doc_id", "size", "class")
+    sets = measured.where("bucket is null").select("doc_id", "key", "size", "class")
     top = (
         measured.where("bucket is not null")
         .groupBy("bucket")
@@ -442,15 +448,20 @@ def _with_class(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.binary())], ["class", "text"])
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """``doc_id, key, size, part``: the part is the least class of the component, or null."""
     sets, stars = classes(docs)
     parts = components(stars)
-    labelled = sets.join(parts, "class", "left").select(
-        "doc_id", "size", F.coalesce("part", "class").alias("part")
+    return sets.join(parts, "class", "left").select(
+        "doc_id", "key", "size", F.coalesce("part", "class").alias("part")
     )
-    least = labelled.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(least, "part", "left").select(
+
+
+def joined(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document."""
+    rows = labelled(docs)
+    least = rows.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "part", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -458,10 +469,18 @@ def joined(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the first of their component; equal ids keep one row.
+    """One row of every component: the least id, rows without one last, one of equal rows.
 
-    Rows without an id are kept if nothing with an id is connected to them.
+    Rows without words are linked with nothing and all stay.
     """
-    found = joined(docs).where("component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = (
+        labelled(docs)
+        .where("part is not null")
+        .groupBy("part")
+        .agg(F.min(order).alias("first"))
+        .select(F.col("first.key").alias("key"))
+    )
+    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct("*").alias("_row"))
+    chosen = rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("_row.*")
+    return chosen.unionByName(docs.where(F.size(words(F.col("text"))) == 0))

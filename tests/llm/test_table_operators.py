@@ -183,6 +183,8 @@ def test_jaccard_defined_cases(odd, none):
     assert kept.columns == odd.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert 7 not in ids and 6 in ids and {1, 2, 3, 5, 8, 9, 10} <= set(ids)
+    # One of equal rows without an id; two different texts with one id.
+    assert ids.count(None) == 1 and ids.count(4) == 2
 
 
 # --- pages
