@@ -41,6 +41,8 @@ from fleetstream.llm.common import row_key, written
 LENGTH = 200
 ANCHOR = 32
 TILE = 1 << 17
+# Contexts a task remembers having sent; beyond it starts anew, which only sends more.
+SENT_KNOWN = 500_000
 # Contexts of one anchor beyond which they are split, and the places of a block then.
 MANY_CONTEXTS = 64
 BLOCK = 16
@@ -154,7 +156,7 @@ def _anchors(length: int):
             key = keys[number].astype(np.int64)
             # What the task has sent twice is known to repeat and need not be compared.
             known = np.zeros(len(h), dtype=bool)
-            if len(sent) > 2_000_000:
+            if len(sent) > SENT_KNOWN:
                 sent.clear()
             get = sent.get
             for i, x in enumerate((h ^ d).tolist()):
