@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -33,8 +33,11 @@ class Index:
     total: int
 
     @classmethod
-    def of(cls, df: DataFrame, key: str, count: str) -> Index:
-        table = materialise(df)
+    def of(
+        cls, df: DataFrame, key: str, count: str, hold: Callable[[DataFrame], DataFrame] = materialise
+    ) -> Index:
+        """``hold`` keeps the table between its uses: a checkpoint, or a cache for a short time."""
+        table = hold(df)
         key_bytes = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))
         size, total = table.agg(F.sum(key_bytes + ROW_BYTES), F.sum(count)).first()
         return cls(table, key, count, size or 0, total or 0)

@@ -13,7 +13,7 @@ window closes, and every event is compared with the closing moment of its own wi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,9 +122,11 @@ def window_index(events: DataFrame, size_ms: int = WINDOW_MS) -> Index:
     return close_index(first_arrivals(events, size_ms))
 
 
-def close_index(firsts: DataFrame) -> Index:
+def close_index(
+    firsts: DataFrame, hold: Callable[[DataFrame], DataFrame] = materialise
+) -> Index:
     """Add the closing arrival to a table of first arrivals per key."""
-    index = Index.of(firsts, KEY, "n")
+    index = Index.of(firsts, KEY, "n", hold)
     arrival = index.df.withColumn("__arrival", F.struct("first_seq", "first_arrival_ms"))
     closing = Running("__close", "min", "__arrival")
     closed = running(arrival, KEY, [closing], reverse=True).select(
@@ -132,7 +134,7 @@ def close_index(firsts: DataFrame) -> Index:
         F.col("__close.first_seq").alias("close_seq"),
         F.col("__close.first_arrival_ms").alias("closed_at_ms"),
     )
-    return index.replaced(closed if index.is_small else materialise(closed))
+    return index.replaced(closed if index.is_small else hold(closed))
 
 
 def on_time(index: Index) -> Index:

@@ -94,13 +94,20 @@ def exact_window_writer(
     def write(source: DataFrame, batch_id: int) -> None:
         spark = source.sparkSession
         events = (decode(source) if decode else source).select(EVENT_COLUMNS)
-        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        held: list[DataFrame] = []
+
+        def hold(df: DataFrame) -> DataFrame:
+            # Needed for this micro-batch only: a cache, which is computed again if lost.
+            held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return held[-1]
+
+        events = hold(events)
         try:
             carry = None
             if batch_id > 0:
                 before = spark.read.parquet(batch_path(root, STATE, batch_id - 1))
                 carry = before.where(~F.col("closed"))
-            merged = _advance(events, carry, size_ms)
+            merged = _advance(events, carry, size_ms, hold)
             merged.write.mode("overwrite").parquet(batch_path(root, STATE, batch_id))
             written = spark.read.parquet(batch_path(root, STATE, batch_id))
             counts = events.agg(F.count(F.lit(1)).alias("received")).withColumn(
@@ -110,7 +117,8 @@ def exact_window_writer(
                 "overwrite"
             ).parquet(batch_path(root, COUNTS, batch_id))
         finally:
-            events.unpersist()
+            for df in held:
+                df.unpersist()
 
     return write
 
@@ -122,7 +130,12 @@ def _before_all(kind: T.DataType) -> Column:
     return F.lit(-1).cast(kind)
 
 
-def _advance(events: DataFrame, carry: DataFrame | None, size_ms: int) -> DataFrame:
+def _advance(
+    events: DataFrame,
+    carry: DataFrame | None,
+    size_ms: int,
+    hold: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     """Window rows after a micro-batch, given the open window before it."""
     # At most one row by construction; none before the first event of the stream.
     open_row = carry.first() if carry is not None else None
@@ -149,7 +162,7 @@ def _advance(events: DataFrame, carry: DataFrame | None, size_ms: int) -> DataFr
                 F.min("first_arrival_ms").alias("first_arrival_ms"),
             )
         )
-    index = close_index(firsts)
+    index = close_index(firsts, hold)
     buffers = accepted_buffers(fresh, index, size_ms).drop("closed_at_ms")
     parts = buffers.withColumn("accepted", F.col("count"))
     if open_row is not None:
