@@ -10,7 +10,8 @@ text), without elements that are boilerplate by their meaning.
 
 Every task aligns the pages it reads into one template per host; only templates are
 shuffled, and those of a host are merged by the same matching in two levels, so a host
-with a third of all pages meets in one task as a few small trees.
+with a third of all pages meets in one task as a few small trees.  Pages get their host's
+template where they are read, or by a shuffle without the hot hosts.
 
 Defined cases: null and empty html give an empty text; null urls share one host; null and
 repeated ids are kept as rows; broken markup is read as browsers do where it matters here
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetstream.llm.common import written
+
 # A node is constant if so many pages have it, and this share of them the same text.
 LEAST_PAGES = 20
 CONSTANT_SHARE = 0.9
@@ -41,6 +44,9 @@ TEXTS = 4
 MOST_NODES = 4096
 RARE = 0.01
 MERGE_WAYS = 32
+# Bytes of templates that are broadcast, and the share of pages that makes a host hot.
+MOST_BROADCAST = 16 << 20
+HOT_SHARE = 0.001
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -424,17 +430,38 @@ def _merged_templates(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _constant_templates(frame: pd.DataFrame) -> pd.DataFrame:
     merged = _merged_templates(frame)
-    nodes = Template.load(merged["template"].iloc[0]).constants()
-    return pd.DataFrame({"host": merged["host"], "template": [json.dumps(nodes) if nodes else None]})
+    whole = Template.load(merged["template"].iloc[0])
+    nodes = whole.constants()
+    return pd.DataFrame(
+        {"host": merged["host"], "template": [json.dumps(nodes) if nodes else None], "pages": [whole.pages]}
+    )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, template``: the induced template, reduced to what tells constant nodes."""
+    """``host, template, pages``: the template, reduced to what tells constant nodes, or null."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html")
     schema = "host string, template string"
     partial = rows.mapInArrow(_page_templates, "host string, way int, template string")
     halfway = partial.groupBy("host", "way").applyInPandas(_merged_templates, schema)
-    return halfway.groupBy("host").applyInPandas(_constant_templates, schema)
+    return halfway.groupBy("host").applyInPandas(_constant_templates, schema + ", pages bigint")
+
+
+def with_template(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with the template of their host, whose pages are never brought together.
+
+    Templates of a measured size are broadcast.  Beyond that, those of hosts with more than
+    ``HOT_SHARE`` of all pages are, of which there are at most ``1 / HOT_SHARE``; the others
+    are joined by a shuffle that then has no hot host.
+    """
+    told = known.where("template is not null")
+    size, total = known.agg(F.sum(F.octet_length("template")), F.sum("pages")).first()
+    if (size or 0) <= MOST_BROADCAST:
+        return rows.join(F.broadcast(told.drop("pages")), "host", "left")
+    hot = F.col("pages") > F.lit(HOT_SHARE * total)
+    hot_hosts = known.where(hot).select("host", "template")
+    in_hot = rows.join(F.broadcast(hot_hosts), "host")
+    rest = rows.join(F.broadcast(hot_hosts.select("host")), "host", "left_anti")
+    return in_hot.unionByName(rest.join(told.where(~hot).select("host", "template"), "host", "left"))
 
 
 def _extracted(batches):
@@ -457,9 +484,9 @@ def _extracted(batches):
 
 def extracted(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
-    known = templates(pages).where("template is not null")
+    known = written(templates(pages), "page-templates")
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "template")
+    joined = with_template(rows, known).select("page_id", "url", "html", "template")
     schema = joined.select("page_id", "url", F.lit("").alias("text")).schema
     return joined.mapInArrow(_extracted, schema).select(
         "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")

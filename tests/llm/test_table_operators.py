@@ -225,7 +225,10 @@ def test_matching_keeps_order_and_labels():
     assert n == 2 and pairs == [(1, 0), (2, 2)]
 
 
-def test_constant_blocks_become_template(spark):
+@pytest.mark.parametrize("most", [16 << 20, 0])
+def test_constant_blocks_become_template(spark, monkeypatch, most):
+    monkeypatch.setattr(wrapper, "MOST_BROADCAST", most)
+    monkeypatch.setattr(wrapper, "HOT_SHARE", 0.99 if most else 0.5)
     rows = [
         (i, f"http://h.example.com/{i}", f"<html><body><div class='x'>Same on all pages of this host.</div><div class='y'><p>{prose(i, 30)}</p></div></body></html>")
         for i in range(60)
