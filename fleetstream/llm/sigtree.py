@@ -9,11 +9,12 @@ shared shingles than any partner would give them are dropped.
 
 In a cluster the classes are leaves of a signature tree: leaves in order of size, nodes
 with the OR of their token bitmaps, the range of sizes and the largest number of tokens
-hidden by equal bits.  Two trees are traversed together: a pair of nodes is dropped if no
-pair of sets below it can overlap enough.  Leaf pairs that remain are compared exactly,
+hidden by equal bits.  Two trees are traversed together, depth first and a bounded number of
+pairs at a time: a pair of nodes is dropped if no pair of sets below it can overlap enough, or
+if all sets below both are connected already.  Leaf pairs that remain are compared exactly,
 unless their classes are connected already; what leaves the task is one star per connected
-part, never a pair list.  Clusters with more than ``CLUSTER_TOKENS`` shingles are cut into
-blocks, and every pair of blocks is joined.
+part, never a pair list.  Clusters with more than ``CLUSTER_TOKENS`` shingles or
+``CLUSTER_MEMBERS`` classes are cut into blocks, and every pair of blocks is joined.
 
 Components come from alternating large-star and small-star steps over the stars, each
 step a grouped minimum, with the lineage cut after every round.
@@ -39,7 +40,10 @@ PERCENT = 80
 # A prefix is longer by one in so many shingles, and as many more have to be shared.
 SHARED_PART = 10
 CLUSTER_TOKENS = 1_500_000
+CLUSTER_MEMBERS = 8192
 FANOUT = 16
+# Pairs of nodes, and of sets, that a traversal takes at a time.
+NODE_PAIRS, LEAF_PAIRS = 256, 4096
 # Sketch of shingle counts: buckets, the most frequent ones that a task reports, and the
 # most frequent ones of all that are ordered last.
 BUCKETS, REPORTED, FREQUENT = 1 << 20, 2048, 4096
@@ -271,24 +275,51 @@ class SignatureTree:
         """
         part = np.arange(len(self.sets))
         top = len(self.levels) - 1
-        n = len(self.levels[top][0])
-        a, b = np.triu_indices(n)
-        for level in range(top, 0, -1):
+        a, b = np.triu_indices(len(self.levels[top][0]))
+        # Depth first, a bounded chunk at a time; pairs of a node with itself come first, so
+        # that most of what is connected is known when other pairs are reached.
+        todo = self._chunks(top, a, b)
+        uniform = self._uniform(part)
+        while todo:
+            level, a, b = todo.pop()
+            if uniform is None:
+                uniform = self._uniform(part)
+            one = uniform[level]
+            apart = (one[a] != one[b]) | (one[a] < 0)
+            if not level:
+                apart &= a != b
+                if join is not None:
+                    apart &= join[a] != join[b]
+            a, b = a[apart], b[apart]
             good = self.possible(level, a, b)
-            a, b = self._below(level - 1, a[good], b[good])
-        for i in range(0, len(a), 1 << 16):
-            x, y = a[i : i + (1 << 16)], b[i : i + (1 << 16)]
-            apart = (x != y) & (part[x] != part[y])
-            if join is not None:
-                apart &= join[x] != join[y]
-            x, y = x[apart], y[apart]
-            good = self.possible(0, x, y)
-            for p, q in zip(x[good].tolist(), y[good].tolist(), strict=True):
+            a, b = a[good], b[good]
+            if level:
+                todo += self._chunks(level - 1, *self._below(level - 1, a, b))
+                continue
+            for p, q in zip(a.tolist(), b.tolist(), strict=True):
                 if part[p] != part[q] and linked(self.sets[p], self.sets[q]):
                     low, high = sorted((part[p], part[q]))
                     part[part == high] = low
+                    uniform = None
         return part
 
+    def _uniform(self, part: np.ndarray) -> list[np.ndarray]:
+        """Per level and node the part that all sets below it are in, or -1."""
+        low = high = part
+        out = [part]
+        for _ in self.levels[1:]:
+            start = np.arange(0, len(low), FANOUT)
+            low, high = np.minimum.reduceat(low, start), np.maximum.reduceat(high, start)
+            out.append(np.where(low == high, low, -1))
+        return out
+
+    def _chunks(self, level: int, a: np.ndarray, b: np.ndarray) -> list:
+        """The pairs as chunks, the one to take first last."""
+        order = np.argsort(b - a, kind="stable")
+        a, b = a[order], b[order]
+        size = LEAF_PAIRS if not level else NODE_PAIRS
+        return [(level, a[i : i + size], b[i : i + size]) for i in range(0, len(a), size)][::-1]
+
     def _below(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of children of pairs of nodes."""
         n = len(self.levels[level][0])
@@ -412,7 +443,12 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Large clusters are cut into blocks; a class goes to every pair that has its block.
     blocks = (
         clusters.groupBy("cluster")
-        .agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("size") / CLUSTER_TOKENS).cast("int").alias("n"))
+        .agg(
+            F.count(F.lit(1)).alias("members"),
+            F.greatest(
+                F.ceil(F.sum("size") / CLUSTER_TOKENS), F.ceil(F.count(F.lit(1)) / CLUSTER_MEMBERS)
+            ).cast("int").alias("n"),
+        )
         .where("members > 1")
         .drop("members")
     )

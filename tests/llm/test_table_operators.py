@@ -168,6 +168,45 @@ def test_tree_prunes_no_linked_pair():
     assert part.tolist() == want
 
 
+def test_tree_over_one_group_expands_few_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2**63, 80).astype(np.uint64))
+    sets = [np.sort(rng.permutation(base)[: rng.integers(74, 79)]) for _ in range(2000)]
+    sets.sort(key=len)
+    made = []
+    below = sigtree.SignatureTree._below
+
+    def counted(self, level, a, b):
+        out = below(self, level, a, b)
+        made.append(len(out[0]))
+        return out
+
+    monkeypatch.setattr(sigtree.SignatureTree, "_below", counted)
+    for sides in (None, np.arange(2000) % 2):
+        made.clear()
+        assert set(sigtree.SignatureTree(sets).parts(sides).tolist()) == {0}
+        assert max(made) <= sigtree.NODE_PAIRS * sigtree.FANOUT**2
+        assert sum(made) < 2000 * 2000 / 8
+
+
+def test_blocks_are_bounded_in_members(spark, monkeypatch):
+    monkeypatch.setattr(sigtree, "CLUSTER_MEMBERS", 3, raising=False)
+    sent = []
+    repartition = type(spark.range(0)).repartition
+
+    def seen(self, *by):
+        if by == ("cluster", "i", "j"):
+            sent.append(self.select(*by, "side").groupBy(*by, "side").count().where("side = 0").agg({"count": "max"}).first()[0])
+        return repartition(self, *by)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartition", seen)
+    text = prose(5, 60).split()
+    rows = [(i, " ".join([*text, f"end{i}"])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["component_id"] for r in sigtree.joined(docs).collect()} == {0}
+    assert sent[0] < 12
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = dict(map(tuple, sigtree.components(links).collect()))
