@@ -17,8 +17,10 @@ All such strings (windows) of all documents are judged, exactly:
 
 A task drops from the exchange by anchor what it has already sent twice (such contexts are
 known to repeat), so copies in any number meet as at most two rows per task.  Anchors with
-many different contexts are split by the bytes that all windows of a small block of places
-share.  Matching needs no pairs and no components.
+many different contexts are crowded: their windows are told apart singly, by anchor and
+digest, and again a task sends a window twice at most.  A task that has sent so many contexts
+of an anchor knows that it is crowded and keeps the others of it from the exchange by anchor.
+Matching needs no pairs and no components.
 
 Defined cases: null and empty texts, and texts shorter than ``length``, are kept whole;
 null ids are kept; equal rows repeat each other; other columns are ignored; an empty table
@@ -32,6 +34,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -43,9 +46,8 @@ ANCHOR = 32
 TILE = 1 << 17
 # Contexts a task remembers having sent; beyond it starts anew, which only sends more.
 SENT_KNOWN = 500_000
-# Contexts of one anchor beyond which they are split, and the places of a block then.
+# Contexts of one anchor beyond which their windows are judged singly.
 MANY_CONTEXTS = 64
-BLOCK = 16
 # Bytes of contexts in one index.
 INDEX_BYTES = 1 << 20
 SEPARATOR = 0xFF  # in no UTF-8 text
@@ -141,12 +143,13 @@ def _tiles(texts: list[bytes | None], length: int):
         yield tile()
 
 
-_ANCHOR_SCHEMA = "deal bigint, h bigint, d bigint, key bigint, first bigint, last bigint, known boolean"
+_ANCHOR_SCHEMA = "deal bigint, h bigint, d bigint, key bigint, first bigint, last bigint, known boolean, crowded boolean"
 
 
-def _anchors(length: int):
+def _anchors(length: int, many: int):
     def run(batches):
         sent: dict[int, int] = {}
+        of_anchor: dict[int, int] = {}
         for batch in batches:
             keys, texts = batch.column("key").to_numpy(), batch.column("text").to_pylist()
             found = contexts(texts, length)
@@ -156,19 +159,26 @@ def _anchors(length: int):
             key = keys[number].astype(np.int64)
             # What the task has sent twice is known to repeat and need not be compared.
             known = np.zeros(len(h), dtype=bool)
+            # Contexts beyond those that show the exchange that their anchor is crowded.
+            crowded = np.zeros(len(h), dtype=bool)
             if len(sent) > SENT_KNOWN:
                 sent.clear()
-            get = sent.get
-            for i, x in enumerate((h ^ d).tolist()):
+                of_anchor.clear()
+            get, kinds = sent.get, of_anchor.get
+            for i, (x, a) in enumerate(zip((h ^ d).tolist(), h.tolist(), strict=True)):
                 n = get(x, 0)
-                if n < 2:
-                    sent[x] = n + 1
-                else:
+                if n >= 2:
                     known[i] = True
-            deal = np.where(known, first * 7919 + key, h)
+                elif n:
+                    sent[x] = 2
+                elif (k := kinds(a, 0)) <= many:
+                    sent[x], of_anchor[a] = 1, k + 1
+                else:
+                    crowded[i] = True
+            deal = np.where(known | crowded, first * 7919 + key, h)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (deal, h, d, key, first, last, known)],
-                ["deal", "h", "d", "key", "first", "last", "known"],
+                [pa.array(x) for x in (deal, h, d, key, first, last, known, crowded)],
+                ["deal", "h", "d", "key", "first", "last", "known", "crowded"],
             )
 
     return run
@@ -180,13 +190,22 @@ def _anchors(length: int):
 _FLAG_SCHEMA = "key bigint, first bigint, last bigint, kind int, h bigint, many boolean"
 
 
-def _flagged(batches):
+def _flagged(many: int):
     """Rows sorted by anchor and context: which contexts repeat, which have to be compared.
 
-    Works on a stream of batches; the rows of an anchor that spans batches are carried, and
-    if there are many of them only one row per context is.
+    Works on a stream of batches; the rows of an anchor that spans batches are carried: of a
+    task's rows at most two for each of ``many`` and one contexts.  Contexts beyond
+    those are asked for as they are.
     """
 
+    def beyond(t: dict):
+        n = len(t["h"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(t[c]) for c in ("key", "first", "last")]
+            + [pa.array(np.full(n, ASK, dtype=np.int32)), pa.array(t["h"]), pa.array(np.ones(n, dtype=bool))],
+            ["key", "first", "last", "kind", "h", "many"],
+        )
+
     def judged(t: dict):
         h, d, known = t["h"], t["d"], t["known"]
         n = len(h)
@@ -205,30 +224,40 @@ def _flagged(batches):
         kind = np.repeat([SURE, ASK, TEXT_ONLY], [same.sum(), alone.sum(), text.sum()]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array(t[c][pick]) for c in ("key", "first", "last")]
-            + [pa.array(kind), pa.array(h[pick]), pa.array(kinds[pick] > MANY_CONTEXTS)],
+            + [pa.array(kind), pa.array(h[pick]), pa.array(kinds[pick] > many)],
             ["key", "first", "last", "kind", "h", "many"],
         )
 
     names = ("h", "d", "key", "first", "last", "known")
-    held = None
-    for batch in batches:
-        t = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-        if held:
-            t = {c: np.concatenate([held[c], t[c]]) for c in names}
-        # The last anchor may go on in the next batch.
-        cut = int(np.searchsorted(t["h"], t["h"][-1], side="left")) if len(t["h"]) else 0
-        done, held = {c: t[c][:cut] for c in names}, {c: t[c][cut:] for c in names}
-        if (out := judged(done)) is not None and out.num_rows:
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            crowded = batch.column("crowded").to_numpy(zero_copy_only=False)
+            if crowded.any():
+                yield beyond({c: t[c][crowded] for c in names})
+                t = {c: t[c][~crowded] for c in names}
+            if held:
+                t = {c: np.concatenate([held[c], t[c]]) for c in names}
+            # The last anchor may go on in the next batch.
+            cut = int(np.searchsorted(t["h"], t["h"][-1], side="left")) if len(t["h"]) else 0
+            done, held = {c: t[c][:cut] for c in names}, {c: t[c][cut:] for c in names}
+            if (out := judged(done)) is not None and out.num_rows:
+                yield out
+        if held and (out := judged(held)) is not None and out.num_rows:
             yield out
-    if held and (out := judged(held)) is not None and out.num_rows:
-        yield out
+
+    return run
 
 
 def flags(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Contexts that repeat, that have to be compared, or that others are compared with."""
-    found = texts.where(F.octet_length("text") >= length).mapInArrow(_anchors(length), _ANCHOR_SCHEMA)
+    # Passed on, so that all tasks agree on which anchors are crowded.
+    many = MANY_CONTEXTS
+    found = texts.where(F.octet_length("text") >= length).mapInArrow(_anchors(length, many), _ANCHOR_SCHEMA)
     dealt = found.repartition("deal").sortWithinPartitions("h", "d")
-    return dealt.drop("deal").mapInArrow(_flagged, _FLAG_SCHEMA)
+    return dealt.drop("deal").mapInArrow(_flagged(many), _FLAG_SCHEMA)
 
 
 # --- the index
@@ -367,7 +396,19 @@ def _compared(length: int):
     def run(batches):
         rows: list = []
         size, group = 0, None
+        held = None
         for batch in batches:
+            single = pc.is_null(batch.column("bytes"))
+            windows = pa.Table.from_batches([batch]).filter(single)
+            batch = pa.Table.from_batches([batch]).filter(pc.invert(single))
+            if windows.num_rows:
+                t = {c: windows.column(c).to_numpy() for c in ("g", "h", "key", "first", "last", "ask", "known")}
+                if held:
+                    t = {c: np.concatenate([held[c], t[c]]) for c in t}
+                # The last window may have rows in the next batch: it is carried.
+                cut = _window_start(t)
+                yield _repeated_windows({c: x[:cut] for c, x in t.items()}, length)
+                held = {c: x[cut:] for c, x in t.items()}
             out = []
             for g, *row in zip(*(batch.column(c).to_pylist() for c in ("g", "key", "first", "bytes", "ask")), strict=True):
                 if g != group and size > INDEX_BYTES:
@@ -379,10 +420,31 @@ def _compared(length: int):
             yield _span_batch(out)
         if rows:
             yield _span_batch(answer(rows))
+        if held:
+            yield _repeated_windows(held, length)
 
     return run
 
 
+def _window_start(t: dict) -> int:
+    """Where the rows of the last window begin, in rows sorted by digest and anchor."""
+    same = (t["g"] == t["g"][-1]) & (t["h"] == t["h"][-1])
+    return len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+
+
+def _repeated_windows(t: dict, length: int) -> pa.RecordBatch:
+    """Spans of the asked windows that are known to repeat or are there twice."""
+    g, h = t["g"], t["h"]
+    if not len(g):
+        return _span_batch([])
+    of = np.cumsum(np.concatenate([[True], (g[1:] != g[:-1]) | (h[1:] != h[:-1])])) - 1
+    hit = t["ask"] & (t["known"] | (np.bincount(of)[of] >= 2))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(t["key"][hit]), pa.array(t["first"][hit]), pa.array(t["last"][hit] + length)],
+        ["key", "start", "end"],
+    )
+
+
 def _span_batch(spans: list) -> pa.RecordBatch:
     columns = list(zip(*spans, strict=True)) or [[], [], []]
     return pa.RecordBatch.from_arrays(
@@ -390,40 +452,50 @@ def _span_batch(spans: list) -> pa.RecordBatch:
     )
 
 
+_CUT_SCHEMA = "g bigint, h bigint, key bigint, first bigint, last bigint, bytes binary, ask boolean, known boolean"
+
+
 def _cut_contexts(length: int):
-    """The bytes of flagged contexts, those of crowded anchors by blocks of places."""
+    """The bytes of flagged contexts; of crowded anchors the digests of their windows.
+
+    What the task has sent twice of these is known to repeat, and its runs need no exchange.
+    """
 
     def run(batches):
+        sent: dict[int, int] = {}
         for batch in batches:
             out = []
+            if len(sent) > SENT_KNOWN:
+                sent.clear()
+            get = sent.get
             for key, text, found in zip(
                 *(batch.column(c).to_pylist() for c in ("key", "text", "found")), strict=True
             ):
                 for x in found:
-                    first, last, ask = x["first"], x["last"], x["kind"] == ASK
+                    h, first, last, ask = x["h"], x["first"], x["last"], x["kind"] == ASK
                     if not x["many"]:
-                        out.append((x["h"], key, first, text[first : last + length], ask))
+                        out.append((h, h, key, first, last, text[first : last + length], ask, False))
                         continue
-                    tile = text[first : last + length]
-                    at = first + int(anchor_runs(tile, length)[1][0])
-                    # Windows by the distance to their anchor, in blocks.
-                    for b in range((at - last) // BLOCK, (at - first) // BLOCK + 1):
-                        low, high = at - b * BLOCK - BLOCK + 1, at - b * BLOCK
-                        begin, end = max(low, first), min(high, last)
-                        # All windows of the block share these bytes.
-                        core = text[high : low + length]
-                        g = np.uint64(xxh3_64_intdigest(core, seed=b + 1)).astype(np.int64)
-                        out.append((int(g), key, begin, text[begin : end + length], ask))
-            g, key, first, body, ask = zip(*out, strict=True) if out else ([],) * 5
+                    run_start = None
+                    for at in range(first, last + 1):
+                        digest = xxh3_64_intdigest(text[at : at + length])
+                        n = get(digest ^ h, 0)
+                        if n >= 2:
+                            if run_start is None:
+                                run_start = at
+                            continue
+                        sent[digest ^ h] = n + 1
+                        if ask and run_start is not None:
+                            out.append((at * 7919 + key % 7907, h, key, run_start, at - 1, None, True, True))
+                        run_start = None
+                        out.append((digest - (1 << 63), h, key, at, at, None, ask, False))
+                    if ask and run_start is not None:
+                        out.append((last * 7919 + key % 7907, h, key, run_start, last, None, True, True))
+            columns = zip(*out, strict=True) if out else ([],) * 8
+            kinds = (*(pa.int64(),) * 5, pa.binary(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(g, pa.int64()),
-                    pa.array(key, pa.int64()),
-                    pa.array(first, pa.int64()),
-                    pa.array(body, pa.binary()),
-                    pa.array(ask, pa.bool_()),
-                ],
-                ["g", "key", "first", "bytes", "ask"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["g", "h", "key", "first", "last", "bytes", "ask", "known"],
             )
 
     return run
@@ -444,9 +516,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         .agg(F.collect_list(F.struct("first", "last", "kind", "h", "many")).alias("found"))
     )
     cut = texts.join(asked, "key").mapInArrow(
-        _cut_contexts(length), "g bigint, key bigint, first bigint, bytes binary, ask boolean"
+        _cut_contexts(length), _CUT_SCHEMA
     )
-    dealt = cut.repartition("g").sortWithinPartitions("g")
+    dealt = cut.repartition("g").sortWithinPartitions("g", "h")
     compared = dealt.mapInArrow(_compared(length), "key bigint, start bigint, end bigint")
     return (
         sure.unionByName(compared)

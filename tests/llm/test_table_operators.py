@@ -88,6 +88,26 @@ def test_repeats_equal_brute_force(spark, monkeypatch, many, tile):
     assert sorted(map(tuple, got), key=repr) == brute_repeats(rows, 200)
 
 
+def test_repeats_of_a_crowded_anchor_meet_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "MANY_CONTEXTS", 4)
+    passage = prose(77, 80)
+    rows = [(i, f"{prose(1000 + i, 30)} {passage} {prose(3000 + i, 30)}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    most = {}
+    repartition = type(spark.range(0)).repartition
+
+    def seen(self, *by):
+        if by in (("g",), ("deal",)):
+            most[by[0]] = self.groupBy(*by).count().agg({"count": "max"}).first()[0]
+        return repartition(self, *by)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartition", seen)
+    got = repeats.without_repeats(docs, with_text=False).drop("kept").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_repeats(rows, 200)
+    # Two rows per task, of each context that a task sends or of each window.
+    assert most["deal"] <= 2 * 2 * 5 and most["g"] <= 2 * 4
+
+
 def test_repeats_defined_cases(odd, none, spark):
     short = odd.where("doc_id is null or doc_id <> 5")
     want = brute_repeats([r[:2] for r in odd_rows() if r[0] != 5], 200)
