@@ -54,7 +54,8 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|[^<]+|<",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# Names with their values, one after the other, so that no value is searched for names.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _NAME = re.compile(r"[a-z]+")
 
 # Elements by what they mean.
@@ -105,7 +106,7 @@ def _kind(tag: str, attributes: str) -> tuple[str, bool, bool]:
             role = value
         elif key == "hidden":
             hidden = True
-        else:
+        elif key in ("class", "id"):
             names += _NAME.findall(value)
     whole = tag in ("html", "body", "article", "main")
     named = hidden or role in BOILERPLATE_ROLES or not BOILERPLATE_NAMES.isdisjoint(names)

@@ -276,6 +276,28 @@ def test_broken_markup():
     assert wrapper.main_text("<a href='x") != "boom"
 
 
+@pytest.mark.parametrize(
+    "attributes, kept",
+    [
+        ('style="overflow:hidden"', True),
+        ('href="/wiki/hidden_markov"', True),
+        ('aria-hidden="false"', True),
+        ('href="/view?id=comment-5"', True),
+        ("href=/view?id=comment-5", True),
+        ('data-id="share"', True),
+        ('title="a class=ad b"', True),
+        ("hidden", False),
+        ('HIDDEN=""', False),
+        ("title='x' id = comment-5", False),
+        ("data-x=1 class='big ad'", False),
+        ('role="Navigation"', False),
+    ],
+)
+def test_attributes_are_read_as_pairs(attributes, kept):
+    page = PAGE.format(body=f"<article><p>one <a {attributes}>two</a> three</p><div {attributes}>four</div></article>")
+    assert wrapper.main_text(page) == ("one two three four" if kept else "one three")
+
+
 def test_matching_keeps_order_and_labels():
     def leaf(label):
         return [label, "", [], []]
