@@ -8,13 +8,15 @@ are slots.  A page is aligned with its host's template again, and its text is th
 slots below the page's content root (article, main, or else the subtree with most slot
 text), without elements that are boilerplate by their meaning.
 
-Every task aligns the pages it reads into one template per host; only templates are
-shuffled, and those of a host are merged by the same matching in two levels, so a host
+Pages of a host whose content roots have the same text count as one page, so copies make no
+text constant: they meet by a digest of it, and one tree of each is kept.  Every task aligns
+the trees it reads into one template per host; those of a host are merged by the same matching in two levels, so a host
 with a third of all pages meets in one task as a few small trees.  Pages get their host's
 template where they are read, or by a shuffle without the hot hosts.
 
 Defined cases: null and empty html give an empty text; null urls share one host; null and
-repeated ids are kept as rows; broken markup is read as browsers do where it matters here
+repeated ids are kept as rows; copies of a page get the same text, and any number of them is
+one page of their host; broken markup is read as browsers do where it matters here
 (unclosed elements end with their parent); other columns are ignored; an empty table gives
 an empty result; pages of any length are read whole.
 """
@@ -35,9 +37,11 @@ from pyspark.sql import functions as F
 
 from fleetstream.llm.common import written
 
-# A node is constant if so many pages have it, and this share of them the same text.
+# A node is constant if so many different pages have it, this share of them the same text, and
+# those with it are this share of the host's different pages.
 LEAST_PAGES = 20
 CONSTANT_SHARE = 0.9
+HOST_SHARE = 0.25
 # Texts remembered per template node (any with a share above 1 / TEXTS is among them), and
 # nodes beyond which those on under RARE of the pages are dropped: they cannot be constant.
 TEXTS = 4
@@ -309,7 +313,8 @@ class Template:
             for label, texts, children, pages in nodes:
                 inner = reduced(children)
                 text, n = max(texts.items(), key=lambda x: x[1], default=("", 0))
-                fixed = text if text and pages >= LEAST_PAGES and n >= CONSTANT_SHARE * pages else None
+                enough = pages >= LEAST_PAGES and n >= max(CONSTANT_SHARE * pages, HOST_SHARE * self.pages)
+                fixed = text if text and enough else None
                 # Siblings stay even without a constant: the matching needs them.
                 out.append([label, fixed, inner])
             return out
@@ -380,8 +385,15 @@ def main_text(html: str | None, template: list | None = None) -> str:
     page = parsed(html)
     constant: set[int] = set()
     if template:
-        runs = collapsed([x for x in page.content if isinstance(x, Node)])
-        constant = set(constant_nodes(runs, template))
+        constant = set(constant_nodes(_runs(page), template))
+    return _text_below_roots(page, constant)
+
+
+def _runs(page: Node) -> list[list]:
+    return collapsed([x for x in page.content if isinstance(x, Node)])
+
+
+def _text_below_roots(page: Node, constant: set[int]) -> str:
     roots = list(_roots(page))
     articles = [r for r in roots if r.tag == "article"]
     # An article inside main is narrower than main itself.
@@ -398,14 +410,35 @@ def host_of(url: Column) -> Column:
     return F.lower(rest)
 
 
-def _page_templates(batches):
-    """One template per host of the pages that a task reads."""
-    found: dict[str, Template] = {}
+def _bare(runs: list) -> list:
+    return [[label, text, _bare(children)] for label, text, children, _ in runs]
+
+
+def _page_trees(batches):
+    """Per page its host, a digest that copies share, and its tree."""
     for batch in batches:
+        hosts, digests, trees = [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             if html:
-                runs = collapsed([x for x in parsed(html).content if isinstance(x, Node)])
-                found.setdefault(host, Template()).add(Template(1, [_as_template(r) for r in runs]))
+                page = parsed(html)
+                tree = json.dumps(_bare(_runs(page)))
+                hosts.append(host)
+                # Pages without text are told apart by their trees.
+                told = _text_below_roots(page, set()) or tree
+                digests.append(blake2b(told.encode(), digest_size=16).digest())
+                trees.append(tree)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(trees, pa.string())],
+            ["host", "digest", "tree"],
+        )
+
+
+def _page_templates(batches):
+    """One template per host of the trees that a task reads."""
+    found: dict[str, Template] = {}
+    for batch in batches:
+        for host, tree in zip(batch.column("host").to_pylist(), batch.column("tree").to_pylist(), strict=True):
+            found.setdefault(host, Template()).add(Template(1, [_as_template(r) for r in json.loads(tree)]))
     hosts = list(found)
     yield pa.RecordBatch.from_arrays(
         [
@@ -433,18 +466,22 @@ def _constant_templates(frame: pd.DataFrame) -> pd.DataFrame:
     merged = _merged_templates(frame)
     whole = Template.load(merged["template"].iloc[0])
     nodes = whole.constants()
-    return pd.DataFrame(
-        {"host": merged["host"], "template": [json.dumps(nodes) if nodes else None], "pages": [whole.pages]}
-    )
+    return pd.DataFrame({"host": merged["host"], "template": [json.dumps(nodes) if nodes else None]})
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """``host, template, pages``: the template, reduced to what tells constant nodes, or null."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html")
     schema = "host string, template string"
-    partial = rows.mapInArrow(_page_templates, "host string, way int, template string")
+    trees = rows.mapInArrow(_page_trees, "host string, digest binary, tree string")
+    distinct = written(
+        trees.groupBy("host", "digest").agg(F.min("tree").alias("tree"), F.count(F.lit(1)).alias("pages")),
+        "page-trees",
+    )
+    partial = distinct.select("host", "tree").mapInArrow(_page_templates, "host string, way int, template string")
     halfway = partial.groupBy("host", "way").applyInPandas(_merged_templates, schema)
-    return halfway.groupBy("host").applyInPandas(_constant_templates, schema + ", pages bigint")
+    whole = halfway.groupBy("host").applyInPandas(_constant_templates, schema)
+    return whole.join(distinct.groupBy("host").agg(F.sum("pages").alias("pages")), "host")
 
 
 def with_template(rows: DataFrame, known: DataFrame) -> DataFrame:

@@ -276,6 +276,29 @@ def test_broken_markup():
     assert wrapper.main_text("<a href='x") != "boom"
 
 
+def test_copies_make_no_text_constant(spark):
+    def page(i, chrome, extra=""):
+        return (
+            f"<html><body><div>menu {chrome}</div><article><p>{prose(i, 30)}</p>{extra}"
+            "<section>All rights reserved by us</section></article></body></html>"
+        )
+
+    copied = [(i, "https://one.com/p", page(1, i)) for i in range(30)]
+    quote = "<blockquote>words of the article</blockquote>"
+    host = [(100 + i, "https://two.com/p", page(100 + i, i)) for i in range(300)]
+    host += [(1000 + i, "https://two.com/q", page(9, i, quote)) for i in range(25)]
+    # Near copies: articles that differ in a word only.
+    near = "<ul><li>a list of this article</li></ul>"
+    host += [(2000 + i, "https://two.com/r", page(10, i, f"<p>edition {i}</p>{near}")) for i in range(25)]
+    pages = spark.createDataFrame(copied + host, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in wrapper.extracted(pages).collect()}
+    assert len(got) == 380
+    assert all(got[i] == prose(1, 30) + " All rights reserved by us" for i in range(30))
+    assert all("words of the article" in got[1000 + i] for i in range(25))
+    assert all("a list of this article" in got[2000 + i] for i in range(25))
+    assert all("reserved" not in got[100 + i] and prose(100 + i, 30) in got[100 + i] for i in range(300))
+
+
 @pytest.mark.parametrize(
     "attributes, kept",
     [
