@@ -3,7 +3,7 @@
 Per source the budget is met by whole copies of every document plus a remainder.  For the
 remainder the documents are counted by exact length; counts are taken in proportion, then
 from the longest length down while they fit, and a bounded-knapsack dynamic program over
-the last, bounded budget picks the lengths that come nearest.  Which documents of a length
+the last, bounded budget picks the lengths that come nearest, above it or below.  Which documents of a length
 are taken follows from a seeded digest, so reruns agree.
 
 What reaches one task is a source's table of lengths (one row per distinct length), never
@@ -96,7 +96,7 @@ def targets(totals: DataFrame, budget: int | None = None) -> DataFrame:
 
 
 def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length to take so that the sum comes nearest to ``budget`` from below."""
+    """How many of each length to take so that the sum comes nearest to ``budget``, from either side."""
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
     if total <= budget:
@@ -112,28 +112,37 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             more = min(counts[i] - take[i], left // lengths[i])
             take[i] += more
             left -= int(more * lengths[i])
-    # Give back short documents until the program has a budget worth fitting.
-    for i in order[::-1]:
-        if left >= FIT_WORDS:
+    # Give back short documents until the program has a budget worth fitting, and, if the sum is
+    # not met, until several of the longest ones could be taken instead.
+    for least in (FIT_WORDS, max(FIT_WORDS, 8 * int(lengths.max()))):
+        for i in order[::-1]:
+            if left >= least:
+                break
+            if lengths[i] and take[i]:
+                back = min(take[i], -(-(least - left) // lengths[i]))
+                take[i] -= back
+                left += int(back * lengths[i])
+        more = knapsack(lengths, counts - take, left)
+        if (gap := left - int((lengths * more).sum())) > 1:
+            more = knapsack(lengths, counts - take, left, gap - 1)
+            gap = abs(left - int((lengths * more).sum()))
+        if not gap:
             break
-        if lengths[i] and take[i]:
-            back = min(take[i], -(-(FIT_WORDS - left) // lengths[i]))
-            take[i] -= back
-            left += int(back * lengths[i])
-    return take + knapsack(lengths, counts - take, left)
+    return take + more
 
 
-def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded knapsack: counts per length whose sum is the largest one within the budget.
+def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, over: int = 0) -> np.ndarray:
+    """Bounded knapsack: counts per length whose sum is the nearest one to the budget.
 
-    Reachable sums are the bits of an integer; counts are split into powers of two.
+    Sums may exceed it by ``over``; without that it is the largest one within.  Reachable sums are the bits of an integer; counts are split into powers of two.
     """
-    reach, steps, full = 1, [], (1 << (budget + 1)) - 1
+    most = budget + over
+    reach, steps, full = 1, [], (1 << (most + 1)) - 1
     for i in np.argsort(lengths, kind="stable"):
         length, left = int(lengths[i]), int(counts[i])
-        if not 0 < length <= budget:
+        if not 0 < length <= most:
             continue
-        left, many = min(left, budget // length), 1
+        left, many = min(left, most // length), 1
         while left > 0 and not reach >> budget & 1:
             n = min(many, left)
             steps.append((i, n, n * length, reach))
@@ -141,7 +150,11 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
             left, many = left - n, many * 2
         if reach >> budget & 1:
             break
-    take, at = np.zeros(len(lengths), dtype=np.int64), reach.bit_length() - 1
+    at, above = (reach & (1 << (budget + 1)) - 1).bit_length() - 1, reach >> (budget + 1)
+    # The lowest bit above is the nearest sum that exceeds the budget.
+    if above and (more := (above & -above).bit_length()) < budget - at:
+        at = budget + more
+    take = np.zeros(len(lengths), dtype=np.int64)
     for i, n, size, before in reversed(steps):
         if not before >> at & 1:
             take[i] += n

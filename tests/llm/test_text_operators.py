@@ -245,6 +245,24 @@ def test_quality_defined_cases(odd, none, spark):
 # --- mixing
 
 
+def test_few_long_documents_come_nearest_from_either_side():
+    rng = np.random.default_rng(8)
+    cases = [([20_000], [1], 19_000), ([20_000], [1], 9_000), ([10_000, 20_000], [1, 1], 19_000)]
+    cases += [
+        (rng.choice(np.arange(5000, 30_000), 4, replace=False), rng.integers(1, 3, 4), int(rng.integers(1, 60_000)))
+        for _ in range(30)
+    ]
+    for lengths, counts, budget in cases:
+        lengths, counts = np.array(lengths), np.array(counts)
+        take = mixing.fitted(lengths, counts, budget)
+        assert (take >= 0).all() and (take <= counts).all()
+        sums = {0}
+        for x, n in zip(lengths.tolist(), counts.tolist(), strict=True):
+            sums = {s + k * x for s in sums for k in range(n + 1)}
+        near = abs(int((lengths * take).sum()) - budget)
+        assert near == min(abs(s - budget) for s in sums)
+
+
 def test_knapsack_is_exact():
     rng = np.random.default_rng(5)
     for _ in range(40):
