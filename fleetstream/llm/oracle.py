@@ -184,10 +184,69 @@ SELECT doc_id, {', '.join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind
 FROM d LEFT JOIN per USING (rid)
 """
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes: eight shifts a byte, the first takes it in."""
+    data = f"regexp_extract_all(hex(encode({text})), '..')"
+    steps = f"flatten(list_transform({data}, lambda x: [CAST('0x' || x AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    shift = "lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), {shift}), 4294967295)"
+
+
+def _climb(nodes: str, paths: str, depth: int) -> str:
+    """Levels over ``nodes0(tree, idx, digest)``, walked by ``paths0(rid, tree, idx, fold, proof)``."""
+    run = "OVER (PARTITION BY tree, idx // 8 ORDER BY idx ROWS BETWEEN"
+    made = []
+    for k in range(depth):
+        made.append(f"""
+{nodes}{k}_run AS (
+  SELECT *, count(*) OVER (PARTITION BY tree) > 1 AS active,
+         coalesce(string_agg(digest, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(digest, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {nodes}{k}),
+{nodes}{k + 1} AS (
+  SELECT tree, idx // 8 AS idx, sha256(string_agg(digest, '' ORDER BY idx)) AS digest
+  FROM {nodes}{k}_run WHERE active GROUP BY tree, idx // 8
+  UNION ALL SELECT tree, idx, digest FROM {nodes}{k}_run WHERE NOT active),
+{paths}{k + 1} AS (
+  SELECT p.rid, p.tree, CASE WHEN active THEN p.idx // 8 ELSE p.idx END AS idx,
+         CASE WHEN active THEN sha256(l || fold || r) ELSE fold END AS fold,
+         CASE WHEN active THEN proof || l || r ELSE proof END AS proof
+  FROM {paths}{k} p JOIN {nodes}{k}_run n ON p.tree = n.tree AND p.idx = n.idx)""")
+    return ",".join(made)
+
+
+def _field(name: str, value: str | None = None) -> str:
+    text = f"CAST({value or name} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+_LEAF = [_field(x) for x in ("doc_id", "source", "lang", "n_chars", "text")]
+_FORGED = [*_LEAF[:-1], _field("text", f"translate(text, '{UPPER}', '{LOWER}')")]
+# Eight levels serve 16 million rows of one language, three 512 languages.
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+         sha256({' || '.join(_LEAF)}) AS leaf,
+         CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN sha256({' || '.join(_FORGED)}) END AS forged
+  FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM d),
+node0 AS (SELECT tree, idx, leaf AS digest FROM leaves),
+path0 AS (SELECT rid, tree, idx, coalesce(forged, leaf) AS fold, '' AS proof FROM leaves),
+{_climb('node', 'path', 8)},
+top0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, digest, tree AS name FROM node8),
+way0 AS (
+  SELECT p.rid, '' AS tree, t.idx, p.fold, p.proof FROM path8 p JOIN top0 t ON t.name = p.tree),
+{_climb('top', 'way', 3)}
+SELECT d.doc_id, d.leaf, s.digest AS subroot, t.digest AS root, sha256(w.proof) AS proof_sha256,
+       w.fold AS folded_root, w.fold = t.digest AS verified
+FROM d JOIN way3 w USING (rid) JOIN node8 s ON s.tree = d.tree, top3 t
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1,
     "op4_rules": OP4,
     "op5_jaccard": OP5,
     "op8_reputation": OP8,
     "op10_secrets": OP10,
+    "op11_merkle": OP11,
 }

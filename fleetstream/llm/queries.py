@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetstream.llm import (
     decontaminate,
+    merkle,
     mixing,
     quality_pu,
     repeats,
@@ -71,6 +72,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows is checked with a changed text."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.report(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -82,4 +89,5 @@ QUERIES = {
     "op8_reputation": op8_reputation,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_merkle": op11_merkle,
 }
