@@ -242,6 +242,39 @@ SELECT d.doc_id, d.leaf, s.digest AS subroot, t.digest AS root, sha256(w.proof)
 FROM d JOIN way3 w USING (rid) JOIN node8 s ON s.tree = d.tree, top3 t
 """
 
+_CRC12 = _crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")
+OP12 = f"""
+WITH runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents) GROUP BY ALL),
+said AS (
+  SELECT c, CASE WHEN h % 97 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word
+  FROM (SELECT run, c, {_CRC12} AS h FROM runs)),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM said WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (
+  SELECT word, n, i, word[: i - 1] AS l, word[i + 1 :] AS r
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM cut a JOIN cut b ON a.i = b.i AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+  UNION SELECT c.word, c.n, w.word, w.n FROM cut c JOIN words w ON w.word = c.l || c.r
+  UNION SELECT w.word, w.n, c.word, c.n FROM cut c JOIN words w ON w.word = c.l || c.r),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n
+  FROM pairs GROUP BY word),
+judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  WITH RECURSIVE walk AS (
+    SELECT word, word AS here, form AS next FROM judged
+    UNION ALL SELECT walk.word, judged.word, judged.form FROM walk JOIN judged ON judged.word = walk.next)
+  SELECT word, here AS root FROM walk WHERE next IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN chain USING (word)
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1,
     "op4_rules": OP4,
@@ -249,4 +282,5 @@ ORACLES = {
     "op8_reputation": OP8,
     "op10_secrets": OP10,
     "op11_merkle": OP11,
+    "op12_spelling": OP12,
 }

@@ -16,6 +16,7 @@ from fleetstream.llm import (
     rules,
     secrets,
     sigtree,
+    spelling,
     tokencache,
     wrapper,
 )
@@ -78,6 +79,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"), tampered)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -90,4 +95,5 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
     "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
 }
