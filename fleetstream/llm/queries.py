@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetstream.llm import (
     decontaminate,
+    golay,
     merkle,
     mixing,
     quality_pu,
@@ -83,6 +84,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay.grouped(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -96,4 +101,5 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_merkle": op11_merkle,
     "op12_spelling": op12_spelling,
+    "op13_golay": op13_golay,
 }
