@@ -15,7 +15,7 @@ def connection():
 def test_registered():
     names = entry_module.queries()
     assert [n for n in names if n.startswith("op")] == list(queries.QUERIES)
-    assert len(queries.QUERIES) == 10 and "pipeline" in names
+    assert len(queries.QUERIES) == 13 and "pipeline" in names
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
