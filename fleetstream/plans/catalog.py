@@ -26,6 +26,7 @@ from fleetstream.plans import run_report, views
 from fleetstream.plans.views import HOUR_MS, table, telemetry
 from fleetstream.session import fresh_path, materialise
 from fleetstream.sources import messages as message_source
+from fleetstream.sources import run_files
 from fleetstream.sources.telemetry_csv import read_telemetry_csv, telemetry_csv_rejects
 from fleetstream.streaming import metrics as stream_metrics
 from fleetstream.streaming import persist as stream_persist
@@ -529,6 +530,17 @@ def run_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts(spark, sf_dir).drop("_valid", "_invalid_reason", "first_alert_after_reconnect")
 
 
+@query
+def run_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of run directories, written to the shared folder and read again."""
+    runs, lines = runs_and_lines(spark, sf_dir)
+    root = fresh_path(spark, "runs")
+    samples = run_files.sample_lines(views.run_samples_of(runs))
+    run_files.write_runs(lines.unionByName(samples), root)
+    read = run_report.run_facts(run_files.run_lines(spark, root), run_files.container_samples(spark, root))
+    return read.drop("_valid", "_invalid_reason", "first_alert_after_reconnect")
+
+
 @query
 def run_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts(spark, sf_dir).select("run_id", "_valid", "_invalid_reason")

@@ -5,85 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetstream.functions import loglines
+from fleetstream.sources.run_source import RunDirectories, RunSamples
 
 SAMPLES_FILE = "stats.csv"
+LOG_FILES = "*.log,*.txt"
+SAMPLES_HEADER = "Name,CPUPerc,MemUsage"
 
 
-def _placed(df: DataFrame) -> DataFrame:
-    """Add run id and file name from the path, keeping runs that follow the naming."""
-    path = F.col("path")
-    return (
-        df.withColumn("run_id", F.element_at(F.split(path, "/"), -2))
-        .withColumn("file_name", F.element_at(F.split(path, "/"), -1))
-        .where(F.col("run_id").rlike(loglines.RUN_ID))
-    )
-
-
-def run_files(spark: SparkSession, root: str) -> DataFrame:
-    """``run_id`` and ``file_name`` of every file that is not empty; contents are not read."""
-    listed = spark.read.format("binaryFile").load(f"{root}/*/*").select("path")
-    return _placed(listed).select("run_id", "file_name")
-
-
-def dump_files(spark: SparkSession, root: str) -> DataFrame:
-    """``run_id`` and ``file_name`` of every metric dump, empty ones included.
-
-    A failed scrape leaves an empty dump, which means zeros and not "no dump".  Scans skip
-    empty files, so the names come from the scan's file index, which the driver holds for
-    planning anyway.
-    """
-    dumps = spark.read.format("binaryFile").option("pathGlobFilter", "*_metrics.txt")
-    names = dumps.load(f"{root}/*/*").inputFiles()
-    listed = spark.createDataFrame([(name,) for name in names], "path string")
-    return _placed(listed).select("run_id", "file_name")
+def _registered(spark: SparkSession) -> SparkSession:
+    for source in (RunDirectories, RunSamples):
+        spark.dataSource.register(source)
+    return spark
 
 
-def run_lines(spark: SparkSession, root: str) -> DataFrame:
+def run_lines(spark: SparkSession, root: str, slices: int = 1) -> DataFrame:
     """Lines of the logs and metric dumps, with a position that orders a file's lines.
 
     Files also contribute rows without text: a run counts from its files, and a dump is
-    present even when it is empty.
+    present even when it is empty (a failed scrape means zeros and not "no dump").  ``slices``
+    tasks share every file above the source's slice size.
     """
-    text = spark.read.option("pathGlobFilter", "*.{log,txt}").text(f"{root}/*/*")
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    # Splits of a file may be read by any task: order by split offset, then by row.
-    position = (
-        F.col("_metadata.file_block_start").cast("decimal(20,0)") * F.lit(1 << 33).cast("decimal(10,0)")
-        + row_in_task.cast("decimal(20,0)")
-    ).cast("decimal(38,0)")
-    placed = _placed(
-        text.select(
-            F.col("_metadata.file_path").alias("path"), position.alias("line_no"), "value"
-        )
-    ).select("run_id", "file_name", "line_no", "value")
-    logs = run_files(spark, root).where(F.col("file_name").rlike(r"\.(log|txt)$"))
-    present = logs.unionByName(dump_files(spark, root))
-    return placed.unionByName(
-        present.withColumns(
-            {
-                "line_no": F.lit(None).cast("decimal(38,0)"),
-                "value": F.lit(None).cast("string"),
-            }
-        )
-    )
+    reader = _registered(spark).read.format(RunDirectories.name()).option("files", LOG_FILES)
+    return reader.option("slices", slices).load(root)
 
 
 def container_samples(spark: SparkSession, root: str) -> DataFrame:
     """Container samples of all runs: ``run_id``, ``name``, ``cpu`` and ``memory`` text."""
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .csv(f"{root}/*/{SAMPLES_FILE}")
+    return _registered(spark).read.format(RunSamples.name()).option("files", SAMPLES_FILE).load(root)
+
+
+def sample_lines(samples: DataFrame) -> DataFrame:
+    """Container samples as the lines of each run's sample file, header first."""
+    header = samples.select("run_id").distinct().select(
+        "run_id", F.lit(-1).cast("bigint").alias("line_no"), F.lit(SAMPLES_HEADER).alias("value")
     )
+    rows = samples.select(
+        "run_id",
+        F.monotonically_increasing_id().alias("line_no"),
+        F.to_csv(F.struct("name", "cpu", "memory")).alias("value"),
+    )
+    return header.unionByName(rows).select("run_id", F.lit(SAMPLES_FILE).alias("file_name"), "line_no", "value")
+
 
-    def cell(name: str):
-        return F.col(name) if name in raw.columns else F.lit(None).cast("string")
+def write_runs(lines: DataFrame, root: str) -> None:
+    """Write lines (``run_id, file_name, line_no, value``) as the files of run directories.
 
-    sampled = raw.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.coalesce(cell("Name"), cell("Container"), F.lit("")).alias("name"),
-        cell("CPUPerc").alias("cpu"),
-        cell("MemUsage").alias("memory"),
+    The rows of a file go to one task, which streams them to the file; the files of a run may
+    go to different ones.
+    """
+    _registered(lines.sparkSession)
+    ordered = lines.select("run_id", "file_name", F.col("line_no").cast("bigint").alias("line_no"), "value")
+    (
+        ordered.repartition("run_id", "file_name")
+        .sortWithinPartitions("run_id", "file_name", "line_no")
+        .write.format(RunDirectories.name())
+        .mode("append")
+        .save(root)
     )
-    return _placed(sampled).select("run_id", "name", "cpu", "memory")

@@ -1,8 +1,12 @@
+import io
+
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from fleetstream.plans import run_report
 from fleetstream.schemas import RUN_FACT_FIELDS
-from fleetstream.sources import run_files
+from fleetstream.sources import run_files, run_source
 
 FIELDS = "run_id string, scenario string, broker string, emitted bigint, received bigint, persisted bigint, batches bigint, alerts bigint, e2e_latency_s bigint, recovery_s bigint, recovery_timeout boolean, duration_s bigint"
 
@@ -113,16 +117,97 @@ def test_metric_values_keep_the_last(spark, raw):
     assert found["storage_received_total"] == 3000.0 and "storage_p95_lag_ms" not in found
 
 
-def test_lines_keep_file_order_over_splits(spark, raw, tmp_path):
-    folder = tmp_path / "big" / "scenario-A-mqtt-1-qos0"
-    folder.mkdir(parents=True)
-    (folder / "analytics.log").write_text("".join(f"line {i}\n" for i in range(5000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
-    try:
-        lines = run_files.run_lines(spark, str(tmp_path / "big")).where("value IS NOT NULL").orderBy("line_no").collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert [r.value for r in lines] == [f"line {i}" for i in range(5000)]
+def test_slices_give_every_line_once_and_in_order(spark, tmp_path, monkeypatch):
+    text = "".join(f"line {i} {'x' * (i % 37)}{chr(13) if i % 5 == 0 else ''}\n" for i in range(3000)) + "no end"
+    whole = text.replace("\r", "").split("\n")
+    data = text.encode()
+    for block in (7, 100, 1 << 20):
+        monkeypatch.setattr(run_source, "BLOCK", block)
+        for n in (1, 2, 7):
+            found = []
+            for i in range(n):
+                bounds = len(data) * i // n, len(data) * (i + 1) // n
+                for offsets, texts in run_source.lines_between(io.BytesIO(data), *bounds):
+                    assert all(data[o:].startswith(t.encode()) for o, t in zip(offsets, texts, strict=True))
+                    found += texts
+            assert found == whole
+    assert [t for _, t in run_source.lines_between(io.BytesIO(b""), 0, 0)] == []
+    assert list(run_source.lines_between(io.BytesIO(b"\n\na"), 0, 3)) == [([0, 1], ["", ""]), ([2], ["a"])]
+
+
+def test_large_files_are_read_in_slices(spark, tmp_path):
+    folder = tmp_path / "scenario-A-mqtt-1-qos0"
+    folder.mkdir()
+    # Above the size from which slices are read.
+    with open(folder / "analytics.log", "w") as out:
+        for i in range(70):
+            out.write(f"{i} " + "y" * (1 << 20) + "\n")
+    (folder / "ingestion.log").write_text("small\n")
+    lines = run_files.run_lines(spark, str(tmp_path), slices=3)
+    assert lines.rdd.getNumPartitions() == 3
+    rows = lines.select("file_name", "line_no", F.split("value", " ")[0].alias("n")).orderBy("file_name", "line_no").collect()
+    assert [r.n for r in rows] == [None, *map(str, range(70)), None, "small"]
+
+
+def test_runs_are_written_with_their_names_and_read_again(spark, tmp_path):
+    rows = [
+        ("scenario-A-kafka-1-acks0", "analytics_metrics.txt", None, None),
+        ("scenario-A-kafka-1-acks0", "storage.log", 2, "zwei €"),
+        ("scenario-A-kafka-1-acks0", "storage.log", 1, ""),
+        ("scenario-B-mqtt-20260101-000000", "storage.log", 1, "one"),
+    ]
+    lines = spark.createDataFrame(rows, run_source.LINES)
+    root = str(tmp_path / "runs")
+    for _ in range(2):
+        # Writing again replaces the files.
+        run_files.write_runs(lines, root)
+    files = sorted(str(p.relative_to(root)) for p in (tmp_path / "runs").rglob("*") if p.is_file())
+    assert files == [
+        "_SUCCESS",
+        "scenario-A-kafka-1-acks0/analytics_metrics.txt",
+        "scenario-A-kafka-1-acks0/storage.log",
+        "scenario-B-mqtt-20260101-000000/storage.log",
+    ]
+    read = run_files.run_lines(spark, root)
+    assert sorted((tuple(r) for r in read.collect()), key=repr) == sorted(
+        [
+            ("scenario-A-kafka-1-acks0", "analytics_metrics.txt", None, None),
+            ("scenario-A-kafka-1-acks0", "storage.log", None, None),
+            ("scenario-A-kafka-1-acks0", "storage.log", 0, ""),
+            ("scenario-A-kafka-1-acks0", "storage.log", 1, "zwei €"),
+            ("scenario-B-mqtt-20260101-000000", "storage.log", None, None),
+            ("scenario-B-mqtt-20260101-000000", "storage.log", 0, "one"),
+        ],
+        key=repr,
+    )
+    with pytest.raises(Exception, match="nothing else is overwritten"):
+        lines.write.format("run_directories").mode("overwrite").save(root)
+
+
+def test_a_failed_task_leaves_no_partial_file(tmp_path):
+    writer = run_source.LinesWriter({"path": str(tmp_path)})
+
+    def batch(*rows):
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run_id", "file_name", "value"])
+
+    def failing():
+        yield batch(("r1", "a.log", "x"), ("r1", "b.log", "y"))
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        writer.write(failing())
+    assert [p.name for p in (tmp_path / "r1").iterdir()] == ["a.log"]
+    with pytest.raises(ValueError, match="adjacent"):
+        writer.write(iter([batch(("r1", "b.log", "x"), ("r1", "a.log", "y"))]))
+    assert writer.write(iter([batch(("r1", "a.log", "z"))])).files == 1
+    assert (tmp_path / "r1" / "a.log").read_text() == "z\n"
+
+
+def test_no_run_directories(spark, tmp_path):
+    (tmp_path / "other").mkdir()
+    assert run_files.run_lines(spark, str(tmp_path)).count() == 0
+    assert run_files.container_samples(spark, str(tmp_path)).count() == 0
 
 
 # Published run facts: run id, throughput, loss, recovery, e2e, alerts, last mean, lag, p95, backlog, CPU, RAM.
