@@ -28,6 +28,7 @@ from fleetstream.session import fresh_path, materialise
 from fleetstream.sources import messages as message_source
 from fleetstream.sources import run_files
 from fleetstream.sources.telemetry_csv import read_telemetry_csv, telemetry_csv_rejects
+from fleetstream.streaming import committed as stream_commits
 from fleetstream.streaming import metrics as stream_metrics
 from fleetstream.streaming import persist as stream_persist
 from fleetstream.streaming import windows as stream_windows
@@ -38,6 +39,8 @@ QUERIES: dict[str, Query] = {}
 T0_MS = 1_704_067_200_000  # 2024-01-01 UTC
 TICK_MS = 6 * HOUR_MS
 BATCH_ROWS = 20
+# Bounds for 1-hour windows: scaled from seconds to minutes.
+HOUR_BOUNDS_S = [60 * b for b in (40.0, 45.0, 50.0, 55.0, 60.0, 62.0, 65.0, 70.0, 80.0)]
 
 
 def query(function: Query) -> Query:
@@ -113,10 +116,8 @@ def window_close_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The same 1-hour windows: the bounds are scaled from seconds to minutes.
-    bounds = [60 * b for b in (40.0, 45.0, 50.0, 55.0, 60.0, 62.0, 65.0, 70.0, 80.0)]
     closed = windows.exact_windows(telemetry(spark, sf_dir), HOUR_MS)
-    return windows.latency_histogram(closed, bounds).select(
+    return windows.latency_histogram(closed, HOUR_BOUNDS_S).select(
         "le", "observations", rounded("sum_s", 2), "count"
     )
 
@@ -766,6 +767,45 @@ def stream_persist_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that readers see while batches are written, lost before their commit and compacted."""
+    messages = views.as_messages(views.event_text(spark, sf_dir))
+    root, checkpoint = fresh_path(spark, "committed"), fresh_path(spark, "checkpoint")
+    seen: list[tuple[str, int]] = []
+
+    def look(stage: str) -> None:
+        seen.append((stage, stream_commits.telemetry(spark, root).count()))
+
+    def lost(batch_id: int) -> None:
+        if batch_id == 1 and len(seen) == 1:
+            look("second batch, written")
+            raise RuntimeError("lost before the commit")
+
+    def run(path: str) -> None:
+        write = stream_commits.committed_writer(root, lost)
+        source = spark.readStream.schema(messages.schema).parquet(path)
+        try:
+            drained(stream_persist.persist_stream(source, checkpoint, write))
+        except StreamingQueryException:
+            drained(stream_persist.persist_stream(source, checkpoint, write))
+        look(f"batches committed: {len(stream_commits.CommitLog(spark, root).history())}")
+
+    in_slices(spark, messages, run)
+    stream_commits.compact(spark, root)
+    look("compacted")
+    stream_commits.remove_superseded(spark, root)
+    look("superseded files removed")
+    seen.append(("attempts with files", len(stream_commits.CommitLog(spark, root).attempts())))
+    counts = stream_commits.batch_counts(spark, root).agg(
+        *(F.sum(name).alias(name) for name in ("received", "persisted", "rejected"))
+    )
+    observed = counts.unpivot([], ["received", "persisted", "rejected"], "stage", "messages")
+    told = spark.createDataFrame(seen, "stage string, messages bigint").unionByName(observed)
+    reasons = stream_commits.rejects(spark, root).groupBy(F.col("reject_reason").alias("stage"))
+    return told.unionByName(reasons.agg(F.count(F.lit(1)).alias("messages")))
+
+
 @query
 def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     # In-order input: emission time is arrival time.
@@ -790,7 +830,7 @@ def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_stream(spark: SparkSession, sf_dir: str) -> str:
     events = telemetry(spark, sf_dir)
     root, checkpoint = fresh_path(spark, "windows"), fresh_path(spark, "checkpoint")
-    write = stream_windows.exact_window_writer(root, HOUR_MS)
+    write = stream_windows.exact_window_writer(root, HOUR_MS, bounds_s=HOUR_BOUNDS_S)
 
     def run(path: str) -> None:
         source = spark.readStream.schema(events.schema).parquet(path)
@@ -815,6 +855,13 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters, histogram and last mean of every micro-batch, as observed while it was written."""
+    counts = stream_windows.window_counts(spark, exact_stream(spark, sf_dir))
+    return stream_windows.observed_metrics(counts, HOUR_BOUNDS_S).select("batch_id", "metric", rounded("value"))
+
+
 @query
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = exact_stream(spark, sf_dir)

@@ -497,3 +497,29 @@ ORACLES: dict[str, str] = {
 }
 # Written to files and read again, the facts are the same.
 ORACLES["run_directories"] = ORACLES["run_facts"]
+SLICED = f"""{TEL}, cut AS (SELECT min(seq) AS low, (max(seq) - min(seq)) // 3 + 1 AS width FROM tel),
+sliced AS (SELECT tel.*, (seq - low) // width AS slice FROM tel, cut)"""
+ORACLES["stream_committed"] = f"""{SLICED}, c AS (SELECT count(*) AS n,
+      count(*) FILTER ({GOOD}) AS good, count(*) FILTER ({GOOD} AND slice = 0) AS one,
+      count(*) FILTER ({GOOD} AND slice < 2) AS two, count(*) FILTER (seq % 6 = 5) AS bad,
+      count(*) FILTER (seq % 6 IN (3, 4)) AS missing FROM sliced)
+    SELECT unnest(['batches committed: 1', 'second batch, written', 'batches committed: 2',
+      'batches committed: 3', 'compacted', 'superseded files removed', 'attempts with files', 'received',
+      'persisted', 'rejected', 'invalid json', 'missing required fields']) AS stage,
+      unnest([one, one, two, good, good, good, 1, n, good, n - good, bad, missing]) AS messages FROM c"""
+ORACLES["stream_observed"] = f"""{EXACT},
+cut AS (SELECT min(seq) AS low, (max(seq) - min(seq)) // 3 + 1 AS width FROM tel),
+per AS (SELECT (seq - low) // width AS batch_id, count(*) AS received, count(*) FILTER (NOT late) AS accepted,
+    count(*) FILTER (late) AS late FROM lat, cut GROUP BY 1),
+closer AS (SELECT key, (lead(s) OVER (ORDER BY key) - low) // width AS batch_id
+  FROM (SELECT key, min(seq) AS s FROM acc GROUP BY key), cut),
+done AS (SELECT batch_id, key, raw_engine, e2e_latency_ms AS ms FROM exact JOIN closer USING (key)),
+bounds(le, b) AS (VALUES {BOUND_ROWS})
+SELECT batch_id, metric, round(CAST(value AS DOUBLE), 4) AS value FROM (
+  SELECT batch_id, unnest(['received', 'accepted', 'late']) AS metric, unnest([received, accepted, late]) AS value FROM per
+  UNION ALL SELECT per.batch_id, 'latency_le_' || le, count(*) FILTER (ms / CAST(1000 AS DOUBLE) <= b)
+    FROM per LEFT JOIN done ON per.batch_id = done.batch_id, bounds GROUP BY per.batch_id, le
+  UNION ALL SELECT per.batch_id, 'latency_sum_ms', coalesce(sum(ms), 0)
+    FROM per LEFT JOIN done ON per.batch_id = done.batch_id GROUP BY per.batch_id
+  UNION ALL SELECT batch_id, 'latest_mean', arg_max(raw_engine, key) FROM done GROUP BY batch_id)
+"""

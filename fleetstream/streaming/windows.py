@@ -4,21 +4,27 @@ The native operator drops late events at micro-batch granularity.  The exact one
 each event that arrives after a larger window key, also inside a micro-batch.  After a
 micro-batch only the window with the largest key can still be open, so its partial
 aggregates are the whole state: one row, written with the batch and read by the next.
+
+What a micro-batch did is observed on the rows that it writes: events received, accepted and
+late, the latency histogram of the windows it closed and the mean of the last one.  It costs no
+pass of its own, and it is stored with the batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetstream.operators.windows import (
     KEY,
+    LATENCY_BOUNDS_S,
     WINDOW_MS,
     accepted_buffers,
     alert_lines,
@@ -44,6 +50,11 @@ BUFFERS = [
 ]
 STATE = "windows"
 COUNTS = "counts"
+# ``observations`` are cumulative, one per bound and one for all closed windows.
+COUNTS_SCHEMA = (
+    "received bigint, accepted bigint, late bigint, observations array<bigint>, sum_ms bigint, "
+    "latest_key bigint, latest_mean double"
+)
 
 
 @contextmanager
@@ -82,8 +93,9 @@ def exact_window_writer(
     root: str,
     size_ms: int = WINDOW_MS,
     decode: Callable[[DataFrame], DataFrame] | None = None,
+    bounds_s: Sequence[float] = tuple(LATENCY_BOUNDS_S),
 ) -> Callable[[DataFrame, int], None]:
-    """Micro-batch writer of window rows and event counts below ``root``.
+    """Micro-batch writer of window rows and of what was observed, below ``root``.
 
     A batch writes the windows it closed and the one left open under its own id in a single
     overwrite, and reads the open row of the batch before it.  Replaying a batch therefore
@@ -108,14 +120,11 @@ def exact_window_writer(
                 before = spark.read.parquet(batch_path(root, STATE, batch_id - 1))
                 carry = before.where(~F.col("closed"))
             merged = _advance(events, carry, size_ms, hold)
-            merged.write.mode("overwrite").parquet(batch_path(root, STATE, batch_id))
-            written = spark.read.parquet(batch_path(root, STATE, batch_id))
-            counts = events.agg(F.count(F.lit(1)).alias("received")).withColumn(
-                "accepted", written.agg(F.coalesce(F.sum("accepted"), F.lit(0))).scalar()
-            )
-            counts.withColumn("late", F.col("received") - F.col("accepted")).write.mode(
-                "overwrite"
-            ).parquet(batch_path(root, COUNTS, batch_id))
+            seen = Observation(f"windows-{uuid.uuid4().hex}")
+            observed = merged.observe(seen, *_observed(bounds_s))
+            observed.write.mode("overwrite").parquet(batch_path(root, STATE, batch_id))
+            counts = spark.createDataFrame([_counts_row(seen.get, len(bounds_s))], COUNTS_SCHEMA)
+            counts.coalesce(1).write.mode("overwrite").parquet(batch_path(root, COUNTS, batch_id))
         finally:
             for df in held:
                 df.unpersist()
@@ -123,6 +132,28 @@ def exact_window_writer(
     return write
 
 
+def _observed(bounds_s: Sequence[float]) -> list[Column]:
+    """Metrics of a micro-batch over the window rows that it writes."""
+    latency_ms = F.when(F.col("closed"), F.col("closed_at_ms") - F.col("earliest_t_emit"))
+    closed_key = F.when(F.col("closed"), F.col(KEY))
+    return [
+        F.sum("received").alias("received"),
+        F.sum("accepted").alias("accepted"),
+        *(F.count_if(latency_ms / 1000.0 <= bound).alias(f"b{i}") for i, bound in enumerate(bounds_s)),
+        F.count(latency_ms).alias(f"b{len(bounds_s)}"),
+        F.sum(latency_ms).alias("sum_ms"),
+        F.max(closed_key).alias("latest_key"),
+        F.max_by(F.col("sum_engine") / F.col("count"), closed_key).alias("latest_mean"),
+    ]
+
+
+def _counts_row(seen: dict, bounds: int) -> tuple:
+    received, accepted = (seen.get(name) or 0 for name in ("received", "accepted"))
+    observations = [seen.get(f"b{i}") or 0 for i in range(bounds + 1)]
+    latest = (seen.get("latest_key"), seen.get("latest_mean"))
+    return (received, accepted, received - accepted, observations, seen.get("sum_ms") or 0, *latest)
+
+
 def _before_all(kind: T.DataType) -> Column:
     """An arrival that is earlier than every real one, of the type of ``seq``."""
     if isinstance(kind, T.StructType):
@@ -136,16 +167,19 @@ def _advance(
     size_ms: int,
     hold: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Window rows after a micro-batch, given the open window before it."""
+    """Window rows after a micro-batch, given the open window before it.
+
+    One more row, without a window, has the number of events received.
+    """
     # At most one row by construction; none before the first event of the stream.
     open_row = carry.first() if carry is not None else None
+    every = hold(first_arrivals(events, size_ms))
     if open_row is None:
-        fresh = events
-        firsts = first_arrivals(events, size_ms)
+        fresh, firsts = events, every
     else:
         open_key = open_row[KEY]
         fresh = events.where(window_key("t_emit", size_ms) >= open_key)
-        firsts = first_arrivals(fresh, size_ms)
+        firsts = every.where(F.col(KEY) >= open_key)
         # The open window arrived before everything in this batch.
         seed = carry.select(
             KEY,
@@ -169,9 +203,9 @@ def _advance(
         held = carry.select(KEY, *BUFFERS, F.lit(0).cast("bigint").alias("accepted"))
         parts = parts.unionByName(held)
     merged = parts.groupBy(KEY).agg(*merged_buffers(), F.sum("accepted").alias("accepted"))
-    return index.join(merged, ["closed_at_ms"]).withColumn(
-        "closed", F.col("closed_at_ms").isNotNull()
-    )
+    rows = index.join(merged, ["closed_at_ms"]).withColumn("closed", F.col("closed_at_ms").isNotNull())
+    total = every.agg(F.sum("n").alias("received"))
+    return rows.unionByName(total, allowMissingColumns=True)
 
 
 def window_stream(
@@ -203,5 +237,20 @@ def closed_alerts(spark: SparkSession, root: str, size_ms: int = WINDOW_MS) -> D
 
 
 def window_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Received, accepted and late events per batch."""
+    """What was observed per batch: events, latency histogram and the last window's mean."""
     return read_table(spark, root, COUNTS)
+
+
+def observed_metrics(counts: DataFrame, bounds_s: Sequence[float] = tuple(LATENCY_BOUNDS_S)) -> DataFrame:
+    """Per batch the metrics as ``metric, value`` rows, named like the service's own."""
+    labels = [*(str(bound) for bound in bounds_s), "+Inf"]
+    named = {
+        "received": F.col("received"),
+        "accepted": F.col("accepted"),
+        "late": F.col("late"),
+        **{f"latency_le_{label}": F.col("observations")[i] for i, label in enumerate(labels)},
+        "latency_sum_ms": F.col("sum_ms"),
+        "latest_mean": F.col("latest_mean"),
+    }
+    rows = (F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value")) for n, v in named.items())
+    return counts.select("batch_id", F.inline(F.array(*rows))).where("value is not null")
