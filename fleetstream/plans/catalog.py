@@ -949,9 +949,7 @@ def stream_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and batches that the progress table tells of a stream of one file per batch."""
     path, _ = landed_messages(spark, sf_dir)
-    listener = stream_metrics.ProgressTable(spark, fresh_path(spark, "progress"))
-    spark.streams.addListener(listener)
-    try:
+    with stream_metrics.following(stream_metrics.ProgressTable(spark, fresh_path(spark, "progress"))) as listener:
         source = message_source.message_files(spark, path, max_files_per_trigger=1)
         counting = stream_persist.counting_writer(fresh_path(spark, "counted"))
         started = (
@@ -960,10 +958,5 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
             .start()
         )
         started.awaitTermination()
-        # Listeners are told asynchronously.
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    finally:
-        spark.streams.removeListener(listener)
-        listener.flush()
     told = stream_metrics.read_progress(spark, listener.path)
     return stream_metrics.batch_durations(told.where(F.col("query_id") == str(started.id))).select("batches", "rows")

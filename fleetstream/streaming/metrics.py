@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +75,22 @@ class ProgressTable(StreamingQueryListener):
             self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(self.path)
 
 
+@contextmanager
+def following(listener: ProgressTable) -> Iterator[ProgressTable]:
+    """Attach the listener; all progress of queries that ended inside is in its table after.
+
+    Spark tells listeners asynchronously, so they are waited for before the listener goes.
+    """
+    spark = listener.spark
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(listener)
+        listener.flush()
+
+
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROGRESS_SCHEMA).json(path)
 

@@ -107,9 +107,7 @@ def test_persist_stream_with_two_readers_and_metrics(spark, tmp_path):
     directory = "/root/testdata/sf0.001"
     texts = views.as_messages(views.event_text(spark, directory))
     path, root = str(tmp_path / "in"), str(tmp_path / "out")
-    listener = metrics.ProgressTable(spark, str(tmp_path / "progress"))
-    spark.streams.addListener(listener)
-    try:
+    with metrics.following(metrics.ProgressTable(spark, str(tmp_path / "progress"))):
         state = {"fail": True}
         good = persist.table_writer(root)
 
@@ -124,8 +122,6 @@ def test_persist_stream_with_two_readers_and_metrics(spark, tmp_path):
             drain(persist.persist_stream(source(), str(tmp_path / "cp"), flaky))
         drain(persist.persist_stream(source(), str(tmp_path / "cp"), flaky))
         query = drain(persist.persist_stream(source(), str(tmp_path / "cp2"), persist.counting_writer(str(tmp_path / "count"))))
-    finally:
-        spark.streams.removeListener(listener)
     n = texts.count()
     good_rows = texts.where("seq % 6 < 3").count()
     assert persist.read_table(spark, root, "telemetry").count() == good_rows
@@ -133,7 +129,6 @@ def test_persist_stream_with_two_readers_and_metrics(spark, tmp_path):
     assert (counts.received, counts.persisted, counts.rejected) == (n, good_rows, n - good_rows)
     assert persist.read_table(spark, root, "rejects").count() == n - good_rows
     assert persist.read_table(spark, str(tmp_path / "count"), "counts").first().received == n
-    listener.flush()
     told = metrics.read_progress(spark, str(tmp_path / "progress"))
     assert told.where(F.col("query_id") == str(query.id)).agg(F.sum("input_rows")).first()[0] == n
     rows = [metrics.progress_row(p) for p in query.recentProgress]
