@@ -8,11 +8,15 @@ risk of positive-unlabelled learning, with the logistic loss,
 
 so labels of bad documents are never needed.  The class prior is estimated from the same
 two sets: it is the least ratio of unlabelled to positive mass above a threshold of a
-classifier that tells the two sets apart.
+classifier that tells the two sets apart.  At last the scores are calibrated on the same sets:
+in every quantile bin of the raw score the share of good rows is the prior times the ratio of
+positive to unlabelled mass, and a slope and an offset are fitted to these shares.
 
 Measures are built-in functions, computed once for every whole text; the fit runs on the
-driver over two samples of at most ``MOST_ROWS`` rows each (documented bound; the rows
-with the smallest digest of the id).  Scoring is one projection.
+driver over two samples of at most ``MOST_ROWS`` rows each (documented bound).  A count gives
+the largest digest that a sampled row may have, so tasks send only rows that are likely to be
+taken, however many partitions there are; equal rows are sent once, with their number.  Of the
+rows sent those with the smallest digests are taken.  Scoring is one projection.
 
 Defined cases: a null or empty text has all measures 0 and gets the score of that point;
 null ids are scored, and are held out only if the remainder of an empty id says so;
@@ -34,12 +38,16 @@ from fleetstream.llm.common import packed, words, written
 from fleetstream.llm.rules import STOP_WORDS, SYMBOLS, WORD_LINE
 
 MOST_ROWS = 20_000
+# Rows sent to the driver for a sample, relative to its size: enough that too few are unlikely.
+SPARE = 1.1
 # Quantile bins per measure (fewer if there are few rows) and further edges in the tails.
 BINS = 16
 TAILS = (0.02, 0.05, 0.95, 0.98)
 RIDGE = 0.01
 STEPS = 400
 THRESHOLD = 0.3
+# Bins of the raw score for the calibration.
+SHARES = 64
 UNKNOWN = 0.5
 FOLDS = 5
 
@@ -188,6 +196,24 @@ def estimated_prior(p: np.ndarray, u: np.ndarray) -> float:
     return float(np.clip(min(ratios), 0.05, 0.98))
 
 
+def calibration(on_p: np.ndarray, on_u: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and offset that turn raw scores of both sets into log odds of a good row."""
+    cuts = np.unique(np.quantile(on_u, np.linspace(0, 1, SHARES + 1)[1:-1]))
+    bin_p, bin_u = (np.searchsorted(cuts, m, side="right") for m in (on_p, on_u))
+    mass_p, mass_u = (np.bincount(b, minlength=len(cuts) + 1) / len(b) for b in (bin_p, bin_u))
+    share = np.clip(prior * mass_p / np.maximum(mass_u, 1 / len(on_u)), 0, 1)[bin_u]
+    middle, spread = on_u.mean(), on_u.std() or 1.0
+    z = np.stack([(on_u - middle) / spread, np.ones(len(on_u))], axis=1)
+
+    def gradient(w):
+        return z.T @ (1 / (1 + np.exp(-np.clip(z @ w, -30, 30))) - share) / len(z)
+
+    slope, offset = _descend(gradient, 2)
+    # Scores keep their order whatever the bins say.
+    slope = max(slope, 0.1) / spread
+    return float(slope), float(offset - slope * middle)
+
+
 def fitted(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     """The model of least non-negative risk over two arrays of measures."""
     edges = []
@@ -215,6 +241,9 @@ def fitted(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
         return prior * (p.T @ (d_good / len(p))) + of_rest + decay * w
 
     w = _descend(gradient, p.shape[1])
+    slope, offset = calibration(p @ w, u @ w, prior)
+    w = w * slope
+    w[-1] += offset
     weights, at = [], 0
     for cuts in edges:
         weights.append([float(x) for x in w[at : at + len(cuts) + 1]])
@@ -222,16 +251,43 @@ def fitted(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(edges, weights, float(w[-1]), prior)
 
 
+def _taken(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """At most ``MOST_ROWS`` rows of those given, in order, each as often as ``n`` says.
+
+    Where repeated rows make more than that, evenly spaced ones are taken.
+    """
+    if len(x) >= MOST_ROWS:
+        x, n = x[:MOST_ROWS], n[:MOST_ROWS]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total) if total <= MOST_ROWS else np.arange(MOST_ROWS, dtype=np.int64) * total // MOST_ROWS
+    return x[np.searchsorted(ends, at, side="right")] if total else x
+
+
 def learnt(measures: DataFrame, labels: DataFrame) -> Model | None:
     """Fit on rows that are not held out: labelled good ones, and any as unlabelled."""
-    usable = measures.where(~held_out(F.col("doc_id")))
-    trusted = labels.where("quality = 1").select("doc_id").distinct()
+    trusted = labels.where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    digest = F.xxhash64("doc_id", "x").alias("d")
+    usable = measures.where(~held_out(F.col("doc_id"))).join(trusted, "doc_id", "left").select("x", digest, "good")
+    rows, good = usable.agg(F.count(F.lit(1)), F.count("good")).first()
+
+    def limit(n: int) -> int:
+        """The largest digest of the rows to send, digests being spread evenly."""
+        share = min(1.0, SPARE * MOST_ROWS / max(n, 1))
+        return min(int(share * 2.0**64) - (1 << 63), (1 << 63) - 1)
+
+    is_good, of_good, of_all = F.col("good").isNotNull(), limit(good), limit(rows)
+    sent = usable.where((is_good & (F.col("d") <= of_good)) | (F.col("d") <= of_all))
+    found = sorted(
+        sent.groupBy("d", "good").agg(F.any_value("x").alias("x"), F.count(F.lit(1)).alias("n")).collect(),
+        key=lambda r: r["d"],
+    )
 
-    def sample(rows: DataFrame) -> np.ndarray:
-        top = rows.select("x", F.xxhash64("doc_id").alias("d")).orderBy("d").limit(MOST_ROWS)
-        return np.array([r["x"] for r in top.select("x").collect()], dtype=float)
+    def sample(chosen: list) -> np.ndarray:
+        return _taken(np.array([r["x"] for r in chosen], dtype=float), np.array([r["n"] for r in chosen], dtype=np.int64))
 
-    positives, unlabelled = sample(usable.join(trusted, "doc_id", "left_semi")), sample(usable)
+    positives = sample([r for r in found if r["good"] and r["d"] <= of_good])
+    unlabelled = sample([r for r in found if r["d"] <= of_all])
     if not len(positives) or not len(unlabelled):
         return None
     return fitted(positives, unlabelled)
