@@ -15,8 +15,8 @@ positive to unlabelled mass, and a slope and an offset are fitted to these share
 Measures are built-in functions, computed once for every whole text; the fit runs on the
 driver over two samples of at most ``MOST_ROWS`` rows each (documented bound).  A count gives
 the largest digest that a sampled row may have, so tasks send only rows that are likely to be
-taken, however many partitions there are; equal rows are sent once, with their number.  Of the
-rows sent those with the smallest digests are taken.  Scoring is one projection.
+taken, however many partitions there are; of these the ones with the smallest digests are
+taken.  Rows of one id with equal measures count once in a sample.  Scoring is one projection.
 
 Defined cases: a null or empty text has all measures 0 and gets the score of that point;
 null ids are scored, and are held out only if the remainder of an empty id says so;
@@ -39,7 +39,8 @@ from fleetstream.llm.rules import STOP_WORDS, SYMBOLS, WORD_LINE
 
 MOST_ROWS = 20_000
 # Rows sent to the driver for a sample, relative to its size: enough that too few are unlikely.
-SPARE = 1.1
+# The counts that decide on it have this relative error.
+SPARE, PRECISION = 1.1, 0.02
 # Quantile bins per measure (fewer if there are few rows) and further edges in the tails.
 BINS = 16
 TAILS = (0.02, 0.05, 0.95, 0.98)
@@ -251,40 +252,27 @@ def fitted(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(edges, weights, float(w[-1]), prior)
 
 
-def _taken(x: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """At most ``MOST_ROWS`` rows of those given, in order, each as often as ``n`` says.
-
-    Where repeated rows make more than that, evenly spaced ones are taken.
-    """
-    if len(x) >= MOST_ROWS:
-        x, n = x[:MOST_ROWS], n[:MOST_ROWS]
-    ends = np.cumsum(n)
-    total = int(ends[-1]) if len(ends) else 0
-    at = np.arange(total) if total <= MOST_ROWS else np.arange(MOST_ROWS, dtype=np.int64) * total // MOST_ROWS
-    return x[np.searchsorted(ends, at, side="right")] if total else x
-
-
 def learnt(measures: DataFrame, labels: DataFrame) -> Model | None:
     """Fit on rows that are not held out: labelled good ones, and any as unlabelled."""
     trusted = labels.where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
     digest = F.xxhash64("doc_id", "x").alias("d")
     usable = measures.where(~held_out(F.col("doc_id"))).join(trusted, "doc_id", "left").select("x", digest, "good")
-    rows, good = usable.agg(F.count(F.lit(1)), F.count("good")).first()
+    is_good = F.col("good").isNotNull()
+    rows, good = usable.agg(
+        F.approx_count_distinct("d", PRECISION), F.approx_count_distinct(F.when(is_good, F.col("d")), PRECISION)
+    ).first()
 
     def limit(n: int) -> int:
         """The largest digest of the rows to send, digests being spread evenly."""
         share = min(1.0, SPARE * MOST_ROWS / max(n, 1))
         return min(int(share * 2.0**64) - (1 << 63), (1 << 63) - 1)
 
-    is_good, of_good, of_all = F.col("good").isNotNull(), limit(good), limit(rows)
+    of_good, of_all = limit(good), limit(rows)
     sent = usable.where((is_good & (F.col("d") <= of_good)) | (F.col("d") <= of_all))
-    found = sorted(
-        sent.groupBy("d", "good").agg(F.any_value("x").alias("x"), F.count(F.lit(1)).alias("n")).collect(),
-        key=lambda r: r["d"],
-    )
+    found = sorted(sent.groupBy("d", "good").agg(F.any_value("x").alias("x")).collect(), key=lambda r: r["d"])
 
     def sample(chosen: list) -> np.ndarray:
-        return _taken(np.array([r["x"] for r in chosen], dtype=float), np.array([r["n"] for r in chosen], dtype=np.int64))
+        return np.array([r["x"] for r in chosen[:MOST_ROWS]], dtype=float)
 
     positives = sample([r for r in found if r["good"] and r["d"] <= of_good])
     unlabelled = sample([r for r in found if r["d"] <= of_all])

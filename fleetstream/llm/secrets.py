@@ -8,13 +8,13 @@ has no mandatory trigram scans all documents.  All of it is DataFrame functions.
 
 Defined cases: null and empty texts have no spans; null ids are kept; equal rows share
 one posting and each gets the spans; other columns are ignored; an empty table gives an
-empty result.  Positions are code points, the end is exclusive.  A text of any length is
-scanned whole.
+empty result.  Positions are code points, the end is exclusive.  A text of any length and with
+any number of matches is scanned whole, in steps that grow with n log n.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -30,6 +30,8 @@ from fleetstream.llm.common import packed, row_key
 GRAM = 3
 # Alternatives of one sub-expression beyond which it counts as unknown text.
 MOST_ALTERNATIVES = 64
+# Code points per block of a text that is masked.
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -200,29 +202,37 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     checked = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     between = F.split(text, rule.pattern, -1)
-    steps = F.arrays_zip(
-        F.transform(F.slice(between, 1, F.size(whole)), F.length).alias("gap"),
-        F.transform(whole, F.length).alias("length"),
-        F.transform(checked, F.length).alias("checked"),
+    gaps = F.transform(F.slice(between, 1, F.size(whole)), F.length)
+    lengths = F.transform(whole, F.length)
+    ends = accumulated(F.zip_with(gaps, lengths, lambda gap, length: gap + length), lambda a, b: a + b)
+    matches = F.arrays_zip(
+        lengths.alias("length"), F.transform(checked, F.length).alias("checked"), ends.alias("end")
     )
-    kind = "struct<start:int,ord:int,kind:string,end:int>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("found"))
-
-    def add(state, x):
-        start = state["at"] + x["gap"]
-        end = start + x["length"]
-        span = F.struct(
-            start.alias("start"),
+    return F.transform(
+        F.filter(matches, lambda x: x["checked"] >= rule.least),
+        lambda x: F.struct(
+            (x["end"] - x["length"]).alias("start"),
             F.lit(order).alias("ord"),
             F.lit(rule.kind).alias("kind"),
-            end.alias("end"),
-        )
-        found = F.when(
-            x["checked"] >= rule.least, F.concat(state["found"], F.array(span))
-        ).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+            x["end"].alias("end"),
+        ),
+    )
+
+
+def accumulated(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Every value merged with all before it, in passes that double the reach: n log n steps."""
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def doubled(state: Column, k: Column) -> Column:
+        reach = F.pow(F.lit(2), k).cast("int")
+
+        def step(x: Column, i: Column) -> Column:
+            before = F.get(state, i - reach)
+            return F.when(before.isNull(), x).otherwise(merge(before, x))
 
-    return F.aggregate(steps, begin, add, lambda state: state["found"])
+        return F.transform(state, step)
+
+    return F.aggregate(passes, values, doubled)
 
 
 def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -283,20 +293,35 @@ def masked(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with every found span replaced by ``mark`` and n_chars counted again."""
     found = secret_spans(packed(docs), keep=["_row"])
     text = F.coalesce(F.col("_row")["text"], F.lit(""))
-    begin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-
-    def add(s, x):
-        # Overlapping spans become one; the text between spans is kept.
-        start = x["start"] + 1
-        gap = F.substring(text, s["at"], F.greatest(start - s["at"], F.lit(0)))
-        out = F.concat(s["out"], gap, F.when(start >= s["at"], F.lit(mark)).otherwise(F.lit("")))
-        return F.struct(F.greatest(s["at"], x["end"] + 1).alias("at"), out.alias("out"))
-
-    def finish(s):
-        return F.concat(s["out"], F.substring(text, s["at"], F.lit(2**31 - 1)))
-
-    clean = F.when(F.size("found") > 0, F.aggregate("found", begin, add, finish))
-    made = computed_once(found, {"_clean": clean}, ["_row"])
+    hit = F.size("found") > 0
+    reached = accumulated(F.transform("found", lambda x: x["end"]), lambda a, b: F.greatest(a, b))
+    cut = computed_once(
+        found,
+        {
+            # A position inside the text is looked up in its block, not counted from the start.
+            "_blocks": F.when(hit, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))),
+            "_reached": F.when(hit, reached),
+            "_length": F.when(hit, F.length(text)),
+        },
+        ["_row", "found"],
+    )
+    ends, last = F.col("_reached"), F.element_at("_reached", -1)
+
+    def part(start: Column, end: Column) -> Column:
+        first = F.floor(start / BLOCK).cast("int")
+        number = F.floor((end - 1) / BLOCK).cast("int") - first + 1
+        blocks = F.array_join(F.slice("_blocks", first + 1, F.greatest(number, F.lit(0))), "")
+        return F.when(end > start, F.substring(blocks, start - first * BLOCK + 1, end - start)).otherwise("")
+
+    # Overlapping spans become one; the text between spans is kept.
+    before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
+    pieces = F.zip_with(
+        "found",
+        before,
+        lambda x, at: F.when(x["start"] >= at, F.concat(part(at, x["start"]), F.lit(mark))).otherwise(""),
+    )
+    clean = F.when(F.col("_length").isNotNull(), F.concat(F.array_join(pieces, ""), part(last, F.col("_length"))))
+    made = computed_once(cut, {"_clean": clean}, ["_row"])
     changed = F.col("_clean").isNotNull()
 
     def column(name: str) -> Column:
