@@ -17,8 +17,13 @@ template where they are read, or by a shuffle without the hot hosts.
 Defined cases: null and empty html give an empty text; null urls share one host; null and
 repeated ids are kept as rows; copies of a page get the same text, and any number of them is
 one page of their host; broken markup is read as browsers do where it matters here
-(unclosed elements end with their parent); other columns are ignored; an empty table gives
-an empty result; pages of any length are read whole.
+(unclosed elements end with their parent); elements nested deeper than ``DEEPEST`` become
+siblings there, their text in order, as browsers flatten them too; other columns are ignored; an
+empty table gives an empty result; pages of any length are read whole.
+
+Sibling lists are aligned by what their subtrees look like: equal beginnings are paired at once,
+which no better matching can beat, the rest by rows of the matching table, and tables of more
+than ``CELLS`` cells in halves, so memory stays linear in the lists.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,6 +54,9 @@ TEXTS = 4
 MOST_NODES = 4096
 RARE = 0.01
 MERGE_WAYS = 32
+# Levels of elements in a page's tree, and cells of a matching table that is kept whole.
+DEEPEST = 200
+CELLS = 1 << 21
 # Bytes of templates that are broadcast, and the share of pages that makes a host hot.
 MOST_BROADCAST = 16 << 20
 HOT_SHARE = 0.001
@@ -131,11 +140,33 @@ class Node:
         self.label, self.skipped, self.main = _kind(tag, attributes)
         self.content: list = []
 
+    def continued(self) -> Node:
+        """An element of the same kind for what follows after another one."""
+        node = Node(self.tag)
+        node.label, node.skipped, node.main = self.label, self.skipped, self.main
+        return node
+
 
 def parsed(html: str) -> Node:
     """The tree of a page; markup errors are tolerated."""
     root = Node("#page")
     stack, at, raw_end = [root], 0, len(html)
+
+    def add(x: str | Node) -> None:
+        """Into the open element, or beside it where that one is too deep to have children."""
+        if len(stack) <= DEEPEST:
+            stack[-1].content.append(x)
+            return
+        top, level = stack[-1], stack[DEEPEST - 1].content
+        if isinstance(x, Node):
+            x.skipped = x.skipped or top.skipped
+            level.append(x)
+            return
+        if not level or level[-1] is not top:
+            stack[-1] = top.continued()
+            level.append(stack[-1])
+        stack[-1].content.append(x)
+
     while at < raw_end:
         found = _TOKEN.match(html, at)
         at = found.end()
@@ -143,12 +174,12 @@ def parsed(html: str) -> Node:
         if not tag:
             text = found[0]
             if text[0] != "<" or text == "<":
-                stack[-1].content.append(unescape(text))
+                add(unescape(text))
             continue
         tag = tag.lower()
         if found[1] or found[4]:
             if tag == "br":
-                stack[-1].content.append(Node("br"))
+                add(Node("br"))
                 continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
@@ -165,7 +196,7 @@ def parsed(html: str) -> Node:
                         break
                 elif stack[depth].tag in SCOPES:
                     break
-        stack[-1].content.append(node)
+        add(node)
         if tag in VOID:
             continue
         if tag in RAW:
@@ -204,40 +235,111 @@ def _text_of(node: Node) -> str:
     return "".join(parts)
 
 
+class _Shapes:
+    """What subtrees look like, as numbers, and how many nodes two of them can match."""
+
+    def __init__(self):
+        self.known: dict[tuple, int] = {}
+        self.parts: list[tuple] = []
+        self.sizes: list[int] = []
+        self.weights: dict[tuple[int, int], int] = {}
+
+    def of(self, nodes: list) -> list[int]:
+        out = []
+        for x in nodes:
+            key = (x[0], *self.of(x[2]))
+            if key not in self.known:
+                self.known[key] = len(self.parts)
+                self.parts.append(key)
+                self.sizes.append(1 + sum(self.sizes[c] for c in key[1:]))
+            out.append(self.known[key])
+        return out
+
+    def weight(self, s: int, t: int) -> int:
+        """Matched nodes of two subtrees: none unless their roots have one label."""
+        if s == t:
+            return self.sizes[s]
+        one, other = self.parts[s], self.parts[t]
+        if one[0] != other[0]:
+            return 0
+        if (s, t) not in self.weights:
+            self.weights[s, t] = 1 + self.most(one[1:], other[1:])
+        return self.weights[s, t]
+
+    def rows(self, a, b) -> Iterator[np.ndarray]:
+        """The rows of the matching table of two sibling lists, the first one for no siblings."""
+        row = np.zeros(len(b) + 1, dtype=np.int64)
+        yield row
+        told: dict[int, np.ndarray] = {}
+        for s in a:
+            if s not in told:
+                told[s] = np.array([self.weight(s, t) for t in b], dtype=np.int64)
+            row = np.maximum(row, np.concatenate([[0], row[:-1] + told[s]]))
+            row = np.maximum.accumulate(row)
+            yield row
+
+    def most(self, a, b) -> int:
+        """Matched nodes of two sibling lists in all."""
+        same = _same_start(a, b)
+        whole = sum(self.sizes[s] for s in a[:same])
+        a, b = a[same:], b[same:]
+        if a and b:
+            *_, last = self.rows(a, b)
+            whole += int(last[-1])
+        return whole
+
+    def pairs(self, a, b) -> list[tuple[int, int]]:
+        """The aligned pairs of two sibling lists."""
+        same = _same_start(a, b)
+        paired = [(i, i) for i in range(same)]
+        return paired + [(i + same, j + same) for i, j in self._aligned(a[same:], b[same:])]
+
+    def _aligned(self, a, b) -> list[tuple[int, int]]:
+        if not a or not b:
+            return []
+        if len(a) > 1 and len(a) * len(b) > CELLS:
+            # Where the best matching of the first half ends in the other list.
+            mid = len(a) // 2
+            *_, first = self.rows(a[:mid], b)
+            *_, rest = self.rows(a[mid:][::-1], b[::-1])
+            cut = int(np.argmax(first + rest[::-1]))
+            later = self._aligned(a[mid:], b[cut:])
+            return self._aligned(a[:mid], b[:cut]) + [(i + mid, j + cut) for i, j in later]
+        best = list(self.rows(a, b))
+        pairs, i, j = [], len(a), len(b)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+        return pairs[::-1]
+
+
+def _same_start(a, b) -> int:
+    same = 0
+    while same < len(a) and same < len(b) and a[same] == b[same]:
+        same += 1
+    return same
+
+
 def matched(a: list, b: list, weigh: bool = True) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching of two sibling lists: matched nodes in all, and the aligned pairs.
 
-    Without ``weigh`` the number may be left out where the pairs do not depend on it.
+    Without ``weigh`` the number is left out.
     """
     if not a or not b:
         return 0, []
-    labels = [x[0] for x in a]
-    if labels == [y[0] for y in b] and len(set(labels)) == len(labels):
-        # Every node has one partner only.
-        inner = sum(matched(x[2], y[2])[0] for x, y in zip(a, b, strict=True)) if weigh else 0
-        return len(labels) + inner, [(i, i) for i in range(len(labels))]
-    weight: dict[tuple[int, int], int] = {}
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            if x[0] == y[0]:
-                weight[i, j] = 1 + matched(x[2], y[2])[0]
-    if not weight:
-        return 0, []
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(1, len(a) + 1):
-        row, above = best[i], best[i - 1]
-        for j in range(1, len(b) + 1):
-            row[j] = max(above[j], row[j - 1], above[j - 1] + weight.get((i - 1, j - 1), 0))
-    pairs, i, j = [], len(a), len(b)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    return best[-1][-1], pairs[::-1]
+    if not weigh:
+        labels = [x[0] for x in a]
+        if labels == [y[0] for y in b] and len(set(labels)) == len(labels):
+            # Every node has one partner only.
+            return 0, [(i, i) for i in range(len(labels))]
+    shapes = _Shapes()
+    one, other = shapes.of(a), shapes.of(b)
+    return shapes.most(one, other) if weigh else 0, shapes.pairs(one, other)
 
 
 # A template node is [label, {text digest: pages}, children, pages].

@@ -329,6 +329,69 @@ def test_matching_keeps_order_and_labels():
     assert n == 2 and pairs == [(1, 0), (2, 2)]
 
 
+def plain_matching(a, b):
+    """Simple tree matching as it is defined, for small trees."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            own = 1 + plain_matching(x[2], y[2]) if x[0] == y[0] else 0
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + own)
+    return best[-1][-1]
+
+
+def random_trees(pick, depth=3):
+    nodes = [[pick.choice("abc"), "", random_trees(pick, depth - 1) if depth else [], []] for _ in range(pick.randint(0, 5))]
+    return nodes
+
+
+@pytest.mark.parametrize("cells", [wrapper.CELLS, 4])
+def test_matching_equals_its_definition(monkeypatch, cells):
+    monkeypatch.setattr(wrapper, "CELLS", cells)
+    pick = random.Random(cells)
+    for _ in range(150):
+        a, b = random_trees(pick), random_trees(pick)
+        if pick.random() < 0.3:
+            b = [*a[: pick.randint(0, 5)], *b]
+        n, pairs = wrapper.matched(a, b)
+        assert n == plain_matching(a, b)
+        # The pairs keep labels and order and reach that number.
+        assert all(p < q and r < s for (p, r), (q, s) in zip(pairs, pairs[1:], strict=False))
+        assert all(a[i][0] == b[j][0] for i, j in pairs)
+        assert n == sum(1 + plain_matching(a[i][2], b[j][2]) for i, j in pairs)
+
+
+def test_deep_pages_lose_nothing(spark):
+    n = 10_000
+    words = [f"w{i}" for i in range(n)]
+    nested = "".join(f"<div>{w}" for w in words)
+    pages = {
+        1: nested + "</div>" * n + "<p>end</p>",
+        2: nested,
+        3: "".join(f"<font>{w} " for w in words),
+        4: "<div>" * n + "<nav>menu<div>menu too</div></nav>text<p>more</p>" + "</div>" * n,
+        5: "<ul>" * 700 + "<li>a<li>b" + "</ul>" * 700,
+    }
+    expected = {1: " ".join(words) + " end", 2: " ".join(words), 3: " ".join(words), 4: "text more", 5: "a b"}
+    rows = [(i, f"http://deep.example.com/{j}", f"<main>{html}") for i, html in pages.items() for j in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = wrapper.extracted(df).collect()
+    assert len(got) == 10 and all(r["text"] == expected[r["page_id"]] for r in got)
+    # Without a content root of its own, the deepest part with most of the text is the page's.
+    assert wrapper.main_text(nested).endswith(f"w{n - 2} w{n - 1}")
+
+
+def test_long_pages_of_one_host(spark):
+    """Thousands of alternating siblings, more on one page than on the other."""
+    def page(n, seed):
+        return "<main>" + "".join(f"<h2>t{i}</h2><p>{seed}x{i}</p>" for i in range(n)) + "</main>"
+
+    rows = [(1, "http://long.example.com/a", page(20_000, 1)), (2, "http://long.example.com/b", page(19_000, 2)), (2, "http://long.example.com/b", "<table><p>" + page(300, 3))]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, template string")
+    got = sorted(wrapper.extracted(df).collect(), key=lambda r: len(r["text"]))
+    assert got[2]["text"] == " ".join(f"t{i} 1x{i}" for i in range(20_000))
+    assert got[1]["text"] == " ".join(f"t{i} 2x{i}" for i in range(19_000)) and got[0]["page_id"] == 2
+
+
 @pytest.mark.parametrize("most", [16 << 20, 0])
 def test_constant_blocks_become_template(spark, monkeypatch, most):
     monkeypatch.setattr(wrapper, "MOST_BROADCAST", most)
