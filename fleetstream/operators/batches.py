@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from fleetstream.operators.lookup import Index
 from fleetstream.operators.scan import Running, row_rank, running
@@ -104,23 +109,67 @@ def rolling_percentile(
 
     ``order`` must number the batches of a group without gaps.  Batches are cut into
     blocks and each block also receives the tail it looks back on, so one run with very
-    many batches is spread over many tasks.
+    many batches is spread over many tasks.  A task slides over its blocks: a batch puts
+    its value into the ordered history and takes out the one that leaves it.  Rows without a
+    value take a place in the history and have no part in the percentile.
     """
     if block < rows:
         raise ValueError("block must be at least as long as the history")
     own = F.expr(f"`{order}` div {int(block)}L")
     is_tail = F.col(order) % block >= block - (rows - 1)
     blocks = F.when(is_tail, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = batches.withColumn("__block", F.explode(blocks))
-    history = (
-        Window.partitionBy(*group, "__block").orderBy(order).rowsBetween(-(rows - 1), 0)
-    )
-    ordered = F.array_sort(F.col("__history"))
-    n = F.size("__history")
-    index = F.least(F.floor(n * F.lit(p)).cast("int"), n - 1)
-    return (
-        spread.withColumn("__history", F.collect_list(value).over(history))
-        .where(F.col("__block") == own)
-        .withColumn(name, F.get(ordered, index))
-        .drop("__block", "__history")
-    )
+    spread = batches.withColumn("__block", F.explode(blocks)).withColumn("__own", F.col("__block") == own)
+    keys = [*group, "__block"]
+    dealt = spread.repartition(*keys).sortWithinPartitions(*keys, order)
+    schema = StructType([*batches.schema.fields, StructField(name, batches.schema[value].dataType)])
+    return dealt.mapInArrow(_slide(keys, value, rows, p, name), schema)
+
+
+def _slide(
+    keys: Sequence[str], value: str, rows: int, p: float, name: str
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def slide(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, history = None, History(rows, p)
+        for batch in incoming:
+            found = []
+            columns = (batch.column(c).to_pylist() for c in (*keys, value))
+            for *k, v in zip(*columns, strict=True):
+                if k != key:
+                    key, history = k, History(rows, p)
+                found.append(history.pushed(v))
+            kept = batch.append_column(name, pa.array(found, batch.schema.field(value).type))
+            yield kept.filter(batch.column("__own")).drop_columns(["__block", "__own"])
+
+    return slide
+
+
+class History:
+    """The last values in order of arrival and in order of size."""
+
+    def __init__(self, rows: int, p: float):
+        self.rows, self.p = rows, p
+        self.arrived: deque = deque()
+        self.ordered: list = []
+        # Not a number is larger than every number.
+        self.beyond = 0
+
+    def pushed(self, value):
+        """The percentile after one more value."""
+        self.arrived.append(value)
+        if value is not None:
+            if value == value:
+                insort(self.ordered, value)
+            else:
+                self.beyond += 1
+        if len(self.arrived) > self.rows:
+            gone = self.arrived.popleft()
+            if gone is not None:
+                if gone == gone:
+                    del self.ordered[bisect_left(self.ordered, gone)]
+                else:
+                    self.beyond -= 1
+        n = len(self.ordered) + self.beyond
+        if not n:
+            return None
+        at = min(math.floor(n * self.p), n - 1)
+        return self.ordered[at] if at < len(self.ordered) else math.nan

@@ -64,3 +64,10 @@ def test_timeline_orders_the_rows_once(spark):
     final = text.split("== Initial Plan ==")[0]
     # The rows by session and bucket, and the totals of the buckets by session.
     assert len(re.findall(r"Exchange hashpartitioning", final)) - final.count("ReusedExchange") <= 4
+
+
+def test_rolling_percentile_keeps_no_list_per_row(spark):
+    text = plan(catalog.rolling_p95(spark, DIRECTORY))
+    assert "collect_list" not in text and "array_sort" not in text and "MapInArrow" in text
+    # The batches are dealt once for it, by block.
+    assert len(re.findall(r"hashpartitioning\(__block", text)) == 1

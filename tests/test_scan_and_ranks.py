@@ -130,3 +130,22 @@ def test_ranks_by_a_struct(spark):
     df = spark.createDataFrame([(i // 3, i % 3, i) for i in range(60)], "a bigint, b int, want bigint")
     ranked = row_rank(df.withColumn("o", F.struct("a", "b")), "o", bits=2)
     assert all(r.row_rank == r.want for r in ranked.collect())
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double"])
+def test_rolling_percentile_with_missing_values_in_groups(spark, kind):
+    rng = random.Random(12)
+
+    def value():
+        return rng.choice([None, float("nan") if kind == "double" else None, *range(9)])
+
+    rows = [(g, i, None if (v := value()) is None else float(v) if kind == "double" else v) for g in ("a", None) for i in range(150)]
+    df = spark.createDataFrame(rows, f"g string, batch_seq bigint, lag_ms {kind}").repartition(3)
+    found = {(r.g, r.batch_seq): r.p95_lag_ms for r in batches.rolling_percentile(df, group=["g"], rows=20, block=32).collect()}
+    assert len(found) == 300
+    for g in ("a", None):
+        values = [v for h, _, v in rows if h == g]
+        for i in range(150):
+            history = sorted((v for v in values[max(0, i - 19) : i + 1] if v is not None), key=lambda v: (v != v, v))
+            expected = history[min(math.floor(len(history) * 0.95), len(history) - 1)] if history else None
+            assert repr(found[g, i]) == repr(expected)
