@@ -29,6 +29,7 @@ from fleetstream.sources import messages as message_source
 from fleetstream.sources import run_files
 from fleetstream.sources.telemetry_csv import read_telemetry_csv, telemetry_csv_rejects
 from fleetstream.streaming import committed as stream_commits
+from fleetstream.streaming import delivery as stream_delivery
 from fleetstream.streaming import metrics as stream_metrics
 from fleetstream.streaming import persist as stream_persist
 from fleetstream.streaming import windows as stream_windows
@@ -615,9 +616,9 @@ def normalise_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Quality and latency
 
 
-def repeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repeated_events(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Events with every seventh delivered twice and every 49th three times."""
-    events = telemetry(spark, sf_dir).select("seq", "device_id", "frameIdentifier", "t_emit")
+    events = telemetry(spark, sf_dir).select("seq", "device_id", "frameIdentifier", "t_emit", *more)
     copies = F.when(F.col("seq") % 49 == 0, 3).when(F.col("seq") % 7 == 0, 2).otherwise(1)
     return events.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
 
@@ -703,11 +704,11 @@ def alert_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = 3
 
 
-def in_slices(spark: SparkSession, df: DataFrame, run: Callable[[str], None]) -> None:
+def in_slices(spark: SparkSession, df: DataFrame, run: Callable[[str], None], deliveries: int = 1) -> None:
     """Land a frame with ``seq`` as Parquet in arrival order and run a stream after each part.
 
     Every run drains what has landed and stops, so each following one resumes from the
-    checkpoint.
+    checkpoint.  With several ``deliveries`` every part is landed so many times.
     """
     path = fresh_path(spark, "landed")
     first, last = df.agg(F.min("seq"), F.max("seq")).first()
@@ -715,8 +716,9 @@ def in_slices(spark: SparkSession, df: DataFrame, run: Callable[[str], None]) ->
     for number in range(SLICES):
         low = first + number * width
         part = df.where((F.col("seq") >= low) & (F.col("seq") < low + width))
-        part.write.mode("append").parquet(path)
-        run(path)
+        for _ in range(deliveries):
+            part.write.mode("append").parquet(path)
+            run(path)
 
 
 def drained(writer) -> None:
@@ -960,3 +962,20 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         started.awaitTermination()
     told = stream_metrics.read_progress(spark, listener.path)
     return stream_metrics.batch_durations(told.where(F.col("query_id") == str(started.id))).select("batches", "rows")
+
+
+@query
+def stream_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with copies, of which every slice is delivered twice, over restarts."""
+    events = repeated_events(spark, sf_dir, "arrival_ms").withColumn("arrival", F.timestamp_millis("arrival_ms"))
+    root, checkpoint = fresh_path(spark, "distinct"), fresh_path(spark, "checkpoint")
+
+    def run(path: str) -> None:
+        # The second delivery of what has landed last is a source file of its own.
+        source = spark.readStream.schema(events.schema).parquet(path)
+        kept = stream_delivery.distinct_deliveries(source, "60 days")
+        drained(stream_delivery.delivery_stream(kept, root, checkpoint))
+
+    with stream_metrics.following(stream_metrics.ProgressTable(spark, fresh_path(spark, "progress"))) as listener:
+        in_slices(spark, events, run, deliveries=2)
+    return stream_delivery.delivery_summary(spark.read.parquet(root), stream_metrics.read_progress(spark, listener.path))

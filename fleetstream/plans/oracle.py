@@ -523,3 +523,6 @@ SELECT batch_id, metric, round(CAST(value AS DOUBLE), 4) AS value FROM (
     FROM per LEFT JOIN done ON per.batch_id = done.batch_id GROUP BY per.batch_id
   UNION ALL SELECT batch_id, 'latest_mean', arg_max(raw_engine, key) FROM done GROUP BY batch_id)
 """
+ORACLES["stream_duplicates"] = f"""{REPEATED} SELECT CAST(2 * sum(n) AS BIGINT) AS total, count(*) AS distinct,
+    CAST(sum(2 * n - 1) AS BIGINT) AS duplicates
+    FROM (SELECT count(*) AS n FROM rep GROUP BY device_id, frame, t_emit)"""

@@ -16,7 +16,7 @@ from fleetstream.operators.ranks import index_percentile
 PROGRESS_SCHEMA = (
     "query_id string, run_id string, batch_id bigint, at string, input_rows bigint, "
     "input_rows_per_s double, processed_rows_per_s double, duration_ms bigint, "
-    "dropped_by_watermark bigint"
+    "dropped_by_watermark bigint, observed string"
 )
 
 
@@ -34,6 +34,8 @@ def progress_row(progress) -> tuple:
         float(body.get("processedRowsPerSecond", 0.0)),
         int(body.get("batchDuration", 0)),
         int(dropped),
+        # What ``observe`` counted in the batch, by the names it was given.
+        json.dumps(body.get("observedMetrics") or {}),
     )
 
 
@@ -95,6 +97,13 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROGRESS_SCHEMA).json(path)
 
 
+def observed_totals(progress: DataFrame, name: str, counters: list[str]) -> DataFrame:
+    """Sums over all batches of the counters observed under a name."""
+    kind = f"`{name}` struct<{', '.join(f'`{c}`: bigint' for c in counters)}>"
+    seen = progress.select(F.from_json("observed", kind)[name].alias("seen"))
+    return seen.agg(*(F.coalesce(F.sum(F.col("seen")[c]), F.lit(0)).alias(c) for c in counters))
+
+
 def batch_durations(progress: DataFrame) -> DataFrame:
     """Batches, rows, longest and p95 micro-batch duration per query."""
     work = progress.where(F.col("input_rows") > 0)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetstream.operators import windows
 from fleetstream.plans import views
-from fleetstream.streaming import metrics, persist, windows as stream_windows
+from fleetstream.streaming import delivery, metrics, persist, windows as stream_windows
 
 SCHEMA = "seq bigint, arrival_ms bigint, t_emit bigint, engineTemperature float, tyresSurfaceTemperature float"
 
@@ -174,3 +174,28 @@ def test_struct_order_equals_integer_order(spark):
     df = arrivals(spark, 4)
     packed = df.withColumn("seq", F.struct(F.col("arrival_ms").alias("at_us"), F.lit(0).alias("partition"), F.col("seq").alias("offset")))
     assert as_set(windows.exact_windows(packed)) == as_set(windows.exact_windows(df))
+
+
+def test_repeated_deliveries_are_kept_once(spark, tmp_path):
+    """A batch that comes again in a later one, and copies inside a batch; state is bounded by the delay."""
+    schema = "device_id string, frameIdentifier int, t_emit bigint, arrival timestamp"
+    path, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def rows(first, n):
+        return spark.range(first, first + n).select(
+            F.concat(F.lit("d"), F.col("id").cast("string")).alias("device_id"),
+            F.lit(1).alias("frameIdentifier"),
+            F.col("id").alias("t_emit"),
+            F.timestamp_seconds(F.col("id") + 1_000_000).alias("arrival"),
+        )
+
+    with metrics.following(metrics.ProgressTable(spark, str(tmp_path / "progress"))) as listener:
+        for part in (rows(0, 50).union(rows(0, 10)), rows(0, 50), rows(1000, 50), rows(1000, 5)):
+            part.coalesce(1).write.mode("append").parquet(path)
+            source = spark.readStream.schema(schema).parquet(path)
+            kept = delivery.distinct_deliveries(source, "100 seconds")
+            query = drain(delivery.delivery_stream(kept, root, checkpoint))
+    summary = delivery.delivery_summary(spark.read.parquet(root), metrics.read_progress(spark, listener.path))
+    assert tuple(summary.first()) == (165, 100, 65)
+    # Keys of the first deliveries have left the state.
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 50
