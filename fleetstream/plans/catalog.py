@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from fleetstream.functions import loglines
 from fleetstream.functions.scalars import mask_password, multi_value_max
@@ -28,10 +29,13 @@ from fleetstream.session import fresh_path, materialise
 from fleetstream.sources import messages as message_source
 from fleetstream.sources import run_files
 from fleetstream.sources.telemetry_csv import read_telemetry_csv, telemetry_csv_rejects
+from fleetstream.streaming import backlog as stream_backlogs
 from fleetstream.streaming import committed as stream_commits
 from fleetstream.streaming import delivery as stream_delivery
+from fleetstream.streaming import latency as stream_latency
 from fleetstream.streaming import metrics as stream_metrics
 from fleetstream.streaming import persist as stream_persist
+from fleetstream.streaming import sketches as stream_sketches
 from fleetstream.streaming import windows as stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -675,27 +679,39 @@ def delivery_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.delivery_report(counts)
 
 
-@query
-def recovery_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+def polls_and_baselines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Counter readings after a reconnect and the reading before it; a run an hour."""
     events = table(spark, sf_dir, "events")
     user, number = F.col("user_id"), F.col("event_id")
     run_id = F.concat(F.lit("run-"), user.cast("string")).alias("run_id")
+    reconnect_ms = T0_MS + user * HOUR_MS
     polls = events.select(
         run_id,
         (number % 70).alias("tick_s"),
         F.when(number % 70 >= user % 80, 1000 + user + number % 9).otherwise(1000 + user).alias("value"),
+        F.timestamp_millis(reconnect_ms + number % 70 * 1000).alias("at"),
     )
-    baselines = events.groupBy(run_id).agg(F.max(1000 + user).alias("baseline"))
-    return latency.recovery_time(polls, baselines)
+    baselines = events.groupBy(run_id).agg(
+        F.max(1000 + user).alias("baseline"), F.timestamp_millis(F.max(reconnect_ms)).alias("at")
+    )
+    return polls, baselines
 
 
 @query
-def alert_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs, lines = runs_and_lines(spark, sf_dir)
-    starts = runs.where("scenario = 'D'").select(
+def recovery_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latency.recovery_time(*polls_and_baselines(spark, sf_dir))
+
+
+def injection_starts(runs: DataFrame) -> DataFrame:
+    return runs.where("scenario = 'D'").select(
         "run_id", F.col("day").alias("run_date"), (F.col("day_s") + 35_990).alias("started_s")
     )
-    return latency.alert_latency(lines, starts)
+
+
+@query
+def alert_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs, lines = runs_and_lines(spark, sf_dir)
+    return latency.alert_latency(lines, injection_starts(runs))
 
 
 # Streams
@@ -726,6 +742,11 @@ def drained(writer) -> None:
     started.awaitTermination()
 
 
+def parquet_writer(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    files = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    return files.option("checkpointLocation", checkpoint)
+
+
 @query
 def stream_persist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = views.as_messages(views.event_text(spark, sf_dir))
@@ -818,12 +839,23 @@ def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = spark.readStream.schema(events.schema).parquet(path)
         closed = stream_windows.native_windows(source, HOUR_MS)
         with stream_windows.single_operator(spark):
-            drained(
-                closed.writeStream.format("parquet")
-                .outputMode("append")
-                .option("path", root)
-                .option("checkpointLocation", checkpoint)
-            )
+            drained(parquet_writer(closed, root, checkpoint))
+
+    in_slices(spark, events, run)
+    return window_columns(spark.read.parquet(root))
+
+
+@query
+def stream_window_native_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Native windows of events out of order: late are those of windows closed by earlier slices."""
+    events = telemetry(spark, sf_dir)
+    root, checkpoint = fresh_path(spark, "windows"), fresh_path(spark, "checkpoint")
+
+    def run(path: str) -> None:
+        source = spark.readStream.schema(events.schema).parquet(path)
+        closed = stream_windows.native_windows(source, HOUR_MS)
+        with stream_windows.single_operator(spark):
+            drained(parquet_writer(closed, root, checkpoint))
 
     in_slices(spark, events, run)
     return window_columns(spark.read.parquet(root))
@@ -899,11 +931,11 @@ def stream_message_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_columns(closed, "closed_at_ms", "e2e_latency_ms")
 
 
-def landed_messages(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Raw messages landed as three files, without the columns of the test tables."""
+def landed_messages(spark: SparkSession, sf_dir: str, files: int = 3) -> tuple[str, DataFrame]:
+    """Raw messages landed in so many files, without the columns of the test tables."""
     messages = views.as_messages(views.event_text(spark, sf_dir)).drop("seq", "arrival_ms")
     path = fresh_path(spark, "landed")
-    messages.repartition(3, "offset").write.parquet(path)
+    messages.repartition(files, "offset").write.parquet(path)
     return path, messages
 
 
@@ -979,3 +1011,107 @@ def stream_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     with stream_metrics.following(stream_metrics.ProgressTable(spark, fresh_path(spark, "progress"))) as listener:
         in_slices(spark, events, run, deliveries=2)
     return stream_delivery.delivery_summary(spark.read.parquet(root), stream_metrics.read_progress(spark, listener.path))
+
+
+@query
+def stream_alert_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``alert_latency`` while starts and log lines of the runs stream in."""
+    runs, lines = runs_and_lines(spark, sf_dir)
+    days = runs.select("run_id", "day_s")
+    line_s = F.col("day_s") + 36_000 + 10 * F.col("line_no")
+    begun = injection_starts(runs).join(days, "run_id").withColumn("at", F.timestamp_seconds("started_s"))
+    told = (
+        lines.where(F.col("file_name").isin("ingestion.log", "analytics.log"))
+        .join(days, "run_id")
+        .withColumn("at", F.timestamp_seconds(line_s))
+    )
+    # A run that starts when all others are over moves the watermarks beyond them.
+    after = runs.agg((F.max("day_s") + 172_800).alias("day_s"))
+    last = [F.lit("after all").alias("run_id"), "day_s", F.timestamp_seconds("day_s").alias("at")]
+    last_start = after.select(*last, F.lit("20990101").alias("run_date"), F.col("day_s").alias("started_s"))
+    last_line = after.select(
+        *last,
+        F.lit("analytics.log").alias("file_name"),
+        F.lit(0).cast("bigint").alias("line_no"),
+        F.lit(f"{loglines.ALERT_MARK}0").alias("value"),
+    )
+    rows = begun.unionByName(last_start).unionByName(told.unionByName(last_line), allowMissingColumns=True)
+    rows = rows.withColumn("seq", F.col("day_s"))
+    root, checkpoint = fresh_path(spark, "latencies"), fresh_path(spark, "checkpoint")
+
+    def run(path: str) -> None:
+        source = spark.readStream.schema(rows.schema).parquet(path)
+        found = stream_latency.alert_latency_stream(
+            source.where("file_name is not null"),
+            source.where("file_name is null").withColumnRenamed("at", "started_at"),
+        )
+        drained(parquet_writer(found, root, checkpoint))
+
+    in_slices(spark, rows, run)
+    return spark.read.parquet(root)
+
+
+@query
+def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``recovery_time`` while the counter is polled; time-outs by timer alone."""
+    polls, baselines = polls_and_baselines(spark, sf_dir)
+    rows = baselines.unionByName(polls, allowMissingColumns=True)
+    # A run without a baseline when all others are over moves the watermark beyond them.
+    after = baselines.agg((F.max("at") + F.expr("INTERVAL 1 HOUR")).alias("at")).select(
+        F.lit("after all").alias("run_id"), "at", F.lit(1).cast("bigint").alias("tick_s"), F.lit(0).cast("bigint").alias("value")
+    )
+    rows = rows.unionByName(after, allowMissingColumns=True).withColumn("seq", F.unix_seconds("at"))
+    root, checkpoint = fresh_path(spark, "recoveries"), fresh_path(spark, "checkpoint")
+
+    def run(path: str) -> None:
+        source = spark.readStream.schema(rows.schema).parquet(path)
+        found = stream_latency.recovery_stream(
+            source.where("baseline is null"), source.where("baseline is not null")
+        )
+        with stream_latency.keyed_state(spark):
+            drained(parquet_writer(found, root, checkpoint))
+
+    in_slices(spark, rows, run)
+    return spark.read.parquet(root)
+
+
+@query
+def stream_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of five landed files while a stream takes at most two at a time."""
+    path, _ = landed_messages(spark, sf_dir, files=5)
+    with stream_metrics.following(stream_metrics.ProgressTable(spark, fresh_path(spark, "progress"))) as listener:
+        source = message_source.message_files(spark, path, max_files_per_trigger=2)
+        counted = stream_backlogs.counting_files(source)
+        drained(parquet_writer(counted, fresh_path(spark, "copied"), fresh_path(spark, "checkpoint")))
+    left = stream_backlogs.backlog(
+        stream_metrics.read_progress(spark, listener.path), stream_backlogs.landed_files(spark, path)
+    )
+    rows = left.agg(F.sum("input_rows").alias("rows"))
+    return left.select(
+        "batch_id",
+        "files_read",
+        "files_left",
+        (F.col("bytes_left") == 0).alias("all_bytes_read"),
+        rows.scalar().alias("rows_in_all"),
+    )
+
+
+@query
+def stream_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag p95 per pilot from merged sketches of micro-batches, judged by the exact ranks."""
+    lags = telemetry(spark, sf_dir).select(
+        "seq", "pilot_index", (F.col("arrival_ms") + F.col("seq") % 977 - F.col("t_emit")).alias("lag_ms")
+    )
+    root, checkpoint = fresh_path(spark, "p95"), fresh_path(spark, "checkpoint")
+    group = ["pilot_index"]
+    write = stream_sketches.sketch_writer(root, "lag_ms", group)
+
+    def run(path: str) -> None:
+        source = spark.readStream.schema(lags.schema).parquet(path)
+        drained(stream_sketches.sketch_stream(source, checkpoint, write))
+
+    in_slices(spark, lags, run)
+    told = stream_sketches.merged_percentile(spark, root, group, name="p95_lag_ms")
+    judged = stream_sketches.rank_error(lags, "lag_ms", told, "p95_lag_ms", group)
+    within = (F.col("rank_error") <= stream_sketches.STATED_ERROR).alias("within_error")
+    return told.join(judged, group).select("pilot_index", "rows", within)

@@ -526,3 +526,15 @@ SELECT batch_id, metric, round(CAST(value AS DOUBLE), 4) AS value FROM (
 ORACLES["stream_duplicates"] = f"""{REPEATED} SELECT CAST(2 * sum(n) AS BIGINT) AS total, count(*) AS distinct,
     CAST(sum(2 * n - 1) AS BIGINT) AS duplicates
     FROM (SELECT count(*) AS n FROM rep GROUP BY device_id, frame, t_emit)"""
+ORACLES["stream_window_native_late"] = f"""{SLICED}, passed AS (
+      SELECT slice + 1 AS slice, max(max(t_emit)) OVER (ORDER BY slice) AS mark FROM sliced GROUP BY slice)
+    SELECT {WINDOW} FROM sliced LEFT JOIN passed USING (slice)
+    WHERE coalesce(key * {HOUR} + {HOUR} > mark, true) AND key < (SELECT max(key) FROM tel) GROUP BY key"""
+# While runs stream in, the same rows.
+ORACLES["stream_alert_latency"] = ORACLES["alert_latency"]
+ORACLES["stream_recovery"] = ORACLES["recovery_time"]
+ORACLES["stream_backlog"] = f"""{TEL} SELECT unnest([0, 1, 2]) AS batch_id, unnest([2, 2, 1]) AS files_read,
+    unnest([3, 1, 0]) AS files_left, unnest([false, false, true]) AS all_bytes_read, n AS rows_in_all
+    FROM (SELECT count(*) AS n FROM tel)"""
+ORACLES["stream_p95"] = f"""{TEL} SELECT pilot_index, count(*) AS rows, true AS within_error
+    FROM tel GROUP BY pilot_index"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def with_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting for what is started inside; the one before is put back after."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
     """A session on this machine for tests, checks and benchmarks."""
     builder = (

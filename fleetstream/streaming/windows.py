@@ -13,8 +13,8 @@ pass of its own, and it is stored with the batch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
+from contextlib import AbstractContextManager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -36,6 +36,7 @@ from fleetstream.operators.windows import (
     window_key,
     with_latency,
 )
+from fleetstream.session import with_setting
 from fleetstream.streaming.persist import batch_path, read_table
 
 EVENT_COLUMNS = ["seq", "arrival_ms", "t_emit", "engineTemperature", "tyresSurfaceTemperature"]
@@ -57,19 +58,9 @@ COUNTS_SCHEMA = (
 )
 
 
-@contextmanager
-def single_operator(spark: SparkSession) -> Iterator[None]:
+def single_operator(spark: SparkSession) -> AbstractContextManager[None]:
     """Start a query as one with a single stateful operator; the setting is put back after."""
-    name = "spark.sql.streaming.statefulOperator.allowMultiple"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+    return with_setting(spark, "spark.sql.streaming.statefulOperator.allowMultiple", "false")
 
 
 def native_windows(events: DataFrame, size_ms: int = WINDOW_MS) -> DataFrame:
