@@ -175,6 +175,7 @@ def _anchors(length: int, many: int):
                     sent[x], of_anchor[a] = 1, k + 1
                 else:
                     crowded[i] = True
+            h, d, key, first, last, known, crowded = _runs_joined(h, d, key, first, last, known, crowded)
             deal = np.where(known | crowded, first * 7919 + key, h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (deal, h, d, key, first, last, known, crowded)],
@@ -184,6 +185,24 @@ def _anchors(length: int, many: int):
     return run
 
 
+def _runs_joined(h, d, key, first, last, known, crowded):
+    """Rows in which neighbouring known contexts of a text are one, under the first one's digests.
+
+    Their windows follow each other, so a text of one period is a few rows whatever its length.
+    """
+    seen = np.flatnonzero(known)
+    if not len(seen):
+        return h, d, key, first, last, known, crowded
+    seen = seen[np.lexsort((first[seen], key[seen]))]
+    apart = (key[seen][1:] != key[seen][:-1]) | (first[seen][1:] > last[seen][:-1] + 1)
+    starts = np.flatnonzero(np.concatenate([[True], apart]))
+    ends = np.maximum.reduceat(last[seen], starts)
+    rest, heads = np.flatnonzero(~known), seen[starts]
+    pick = np.concatenate([rest, heads])
+    last = np.concatenate([last[rest], ends])
+    return h[pick], d[pick], key[pick], first[pick], last, known[pick], crowded[pick]
+
+
 # --- what an anchor's contexts have in common
 
 

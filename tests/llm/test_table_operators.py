@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,29 @@ def test_repeats_of_a_crowded_anchor_meet_in_bounded_groups(spark, monkeypatch):
     assert most["deal"] <= 2 * 2 * 5 and most["g"] <= 2 * 4
 
 
+@pytest.mark.parametrize("unit", ["a", "abcde", "xyz" * 50 + "q"])
+def test_periodic_texts_send_few_rows(unit):
+    text = (unit * 40_000)[:40_000].encode()
+    rows = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([text])], ["key", "text"])
+    sent = pa.Table.from_batches(repeats._anchors(200, 64)([rows])).to_pydict()
+    assert len(sent["key"]) <= 5 * len(unit)
+    windows = set()
+    for first, last in zip(sent["first"], sent["last"]):
+        assert windows.isdisjoint(range(first, last + 1))
+        windows.update(range(first, last + 1))
+    assert windows == set(range(len(text) - 199))
+
+
+def test_repeats_of_periodic_texts_equal_brute_force(spark):
+    rows = [(i, unit * n + tail) for i, (unit, n, tail) in enumerate([
+        ("a", 900, ""), ("abcde", 160, "!"), ("abcde", 45, prose(1, 60)), ("b", 200, ""), ("b", 199, ""),
+        (prose(2, 40), 3, "end"), (prose(2, 40), 1, "a" * 250), ("a", 201, prose(3, 50)), ("", 0, ""), ("c", 201, ""),
+    ])] + [(100 + i, prose(2, 40) + "abcde" * 50) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = repeats.without_repeats(docs, with_text=False).drop("kept").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_repeats(rows, 200)
+
+
 def test_repeats_defined_cases(odd, none, spark):
     short = odd.where("doc_id is null or doc_id <> 5")
     want = brute_repeats([r[:2] for r in odd_rows() if r[0] != 5], 200)
