@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from fleetstream.llm import reputation, rules, secrets
-from fleetstream.llm.decontaminate import WINDOW
-
 WORDS = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = reputation.UPPER, reputation.LOWER
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WINDOW = 10
 
 
 def _folded(column: str) -> str:
@@ -43,19 +41,17 @@ FROM d LEFT JOIN words_hit USING (rid) LEFT JOIN named USING (rid)
 """
 
 
-def _rule_sql(rule: rules.Rule) -> str:
-    below = f"greatest({rule.denominator}, 1)" if rule.denominator else "1"
-    tests = []
-    if rule.least is not None:
-        tests.append(f"{rule.numerator} >= CAST({rule.least} AS DOUBLE) * {below}")
-    if rule.most is not None:
-        tests.append(f"{rule.numerator} <= CAST({rule.most} AS DOUBLE) * {below}")
-    return "(" + " AND ".join(tests) + ")"
-
-
-_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(rules.STOP_WORDS))
-_BASE = " AND ".join(map(_rule_sql, rules.BASE_RULES))
-_EVERY = " AND ".join(map(_rule_sql, (*rules.BASE_RULES, *rules.RULES)))
+# Fixed values, written out apart from the operators' own.
+_STOPS = """
+the be to of and that have with in is it for on as was this are by from
+de la que el en los las un una del se con por para su es no
+der die das den von zu mit sich des auf für ist im nicht ein eine als auch und
+le les et du est qui dans pour sur au pas avec
+"""
+_STOPS = ", ".join(f"'{w}'" for w in _STOPS.split())
+_BASE = "n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words"
+_KEPT = f"""{_BASE} AND word_chars BETWEEN 2 * n_words AND 12 * n_words AND 10 * n_symbols <= n_words
+    AND 5 * n_exclamations <= n_words AND 5 * n_dup_lines <= 2 * n_lines AND 100 * n_stop_words >= n_words"""
 OP4 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, s, regexp_extract_all(s, '{WORDS}') AS w,
@@ -70,14 +66,14 @@ covered AS (
 m AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
          CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-         CAST(len(regexp_extract_all(s, '{rules.SYMBOLS}')) AS BIGINT) AS n_symbols,
+         CAST(len(regexp_extract_all(s, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          len(regexp_extract_all(s, '!')) AS n_exclamations, len(lines) AS n_lines,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS n_stop_words,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN covered USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       NOT ({_BASE}) AS base_failed, {_EVERY} AS kept
+       NOT ({_BASE}) AS base_failed, {_KEPT} AS kept
 FROM m
 """
 
@@ -107,19 +103,29 @@ FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.x = d.doc_id GROUP BY ALL
 def _rho(table: str) -> str:
     """Prior strength of a level, from its groups ``good`` and ``n``."""
     return f"""(
-  SELECT CASE WHEN m = 0 OR m IS NULL OR spread <= 0 OR spread IS NULL THEN 1 / {reputation.MOST_RHO} - 1
-    ELSE 1 / least(greatest(CASE WHEN free > 0 THEN (q / spread - (m - 1)) / free ELSE {reputation.LEAST_RHO} END,
-                            {reputation.LEAST_RHO}), {reputation.MOST_RHO}) - 1 END AS strength
+  SELECT CASE WHEN m = 0 OR m IS NULL OR spread <= 0 OR spread IS NULL THEN 1 / 0.5 - 1
+    ELSE 1 / least(greatest(CASE WHEN free > 0 THEN (q / spread - (m - 1)) / free ELSE 0.001 END,
+                            0.001), 0.5) - 1 END AS strength
   FROM (SELECT count(*) AS m, any_value(p) * (1 - any_value(p)) AS spread,
                sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS free, sum(n * pow(good / n - p, 2)) AS q
         FROM {table}, whole WHERE n > 0))"""
 
 
-def _chosen(value) -> str:
-    longest = sorted(reputation.RULES, key=lambda r: (-len(r.rule), r.rule))
+# Longest first.
+_URL_RULES = (
+    ("allow", "www.example.com", "/en/"),
+    ("block", "example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+    ("allow", "com", "/"),
+)
+
+
+def _chosen(rule: bool) -> str:
     cases = " ".join(
-        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'"
-        for r in longest
+        f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') "
+        f"THEN '{host + path if rule else verdict}'"
+        for verdict, host, path in _URL_RULES
     )
     return f"CASE {cases} END"
 
@@ -146,40 +152,55 @@ k AS (
 by_suffix AS (SELECT suffix, (good + s * p) / (n + s) AS prior FROM suffixes, k),
 by_domain AS (SELECT domain, (good + d * prior) / (n + d) AS prior FROM domains JOIN by_suffix USING (suffix), k),
 shares AS (SELECT host, (good + h * prior) / (n + h) AS share, n + h AS size FROM hosts JOIN by_domain USING (domain), k),
-bounds AS (SELECT host, share - {reputation.BELOW} * sqrt(share * (1 - share) / (size + 1)) AS bound FROM shares)
-SELECT page_id, host, path, {_chosen(lambda r: r.rule)} AS rule,
-       coalesce({_chosen(lambda r: r.verdict)},
-                CASE WHEN bound >= {reputation.LEAST_GOOD} THEN 'allow' ELSE 'block' END) AS verdict
+bounds AS (SELECT host, share - 1.645 * sqrt(share * (1 - share) / (size + 1)) AS bound FROM shares)
+SELECT page_id, host, path, {_chosen(True)} AS rule,
+       coalesce({_chosen(False)},
+                CASE WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
 FROM parts JOIN bounds USING (host)
 """
 
 
-def _matches(rule: secrets.Rule, order: int) -> str:
-    pattern = rule.pattern.replace("'", "''")
+# Kind, expression, group that is measured and its least length.
+_SECRETS = (
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]{16,}", 0, 16),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 1),
+    ("bearer", r"(?i:authorization)\x20*:\x20*(?i:bearer)\x20+[A-Za-z0-9._~+/-]{16,}", 0, 1),
+)
+
+
+def _matches(kind: str, pattern: str, group: int, least: int, order: int) -> str:
+    pattern = pattern.replace("'", "''")
     return f"""
-  SELECT rid, pos AS start, {order} AS ord, '{rule.kind}' AS kind, pos + ml[i] AS stop
+  SELECT rid, pos AS start, {order} AS ord, '{kind}' AS kind, pos + ml[i] AS stop
   FROM (SELECT rid, i, ml, checked, coalesce(list_sum(gl[1 : i]), 0) + coalesce(list_sum(ml[1 : i - 1]), 0) AS pos
         FROM (SELECT rid, list_transform(string_split_regex(s, '{pattern}'), lambda x: length(x)) AS gl,
                      list_transform(regexp_extract_all(s, '{pattern}'), lambda x: length(x)) AS ml,
-                     regexp_extract_all(s, '{pattern}', {rule.group}) AS checked,
+                     regexp_extract_all(s, '{pattern}', {group}) AS checked,
                      unnest(range(1, len(regexp_extract_all(s, '{pattern}')) + 1)) AS i
               FROM d WHERE regexp_matches(s, '{pattern}')))
-  WHERE length(checked[i]) >= {rule.least}"""
+  WHERE length(checked[i]) >= {least}"""
 
 
-_FOUND = " UNION ALL ".join(_matches(r, i) for i, r in enumerate(secrets.RULES))
-_BASE_KINDS = ", ".join(f"'{r.kind}'" for r in secrets.BASE)
+_FOUND = " UNION ALL ".join(_matches(*rule, i) for i, rule in enumerate(_SECRETS))
+_BASES = ("assign", "access", "hex")
+_BASE_KINDS = ", ".join(f"'{kind}'" for kind in _BASES)
 OP10 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS s FROM documents),
 found AS ({_FOUND}),
 told AS (
   SELECT rid, kind, start, ord, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM found),
 per AS (
-  SELECT rid, {', '.join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)},
+  SELECT rid, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in _BASES)},
          string_agg(span, ',' ORDER BY start, ord) FILTER (kind IN ({_BASE_KINDS})) AS base,
          string_agg(span, ',' ORDER BY start, ord) AS spans
   FROM told GROUP BY rid)
-SELECT doc_id, {', '.join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind}" for r in secrets.BASE)},
+SELECT doc_id, {', '.join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in _BASES)},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN per USING (rid)
 """

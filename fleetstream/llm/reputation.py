@@ -6,7 +6,7 @@ The strength of each prior is estimated from how much the children of a level di
 (moments of the beta-binomial).  A page is blocked when the lower posterior bound of its
 host's share of good pages is below ``least``.
 
-Outcomes are summed per host before anything is joined; pages join the table of hosts on
+Outcomes are summed per host into a table before anything is joined; pages join the table of hosts on
 the host, where the adaptive skew join splits a host with a third of all pages.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; hosts
@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetstream.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_GOOD = 0.5
 # Standard deviations below the posterior mean: about the 5 % quantile.
@@ -135,11 +137,12 @@ def verdicts(
     known = outcomes.where("page_id is not null and good is not null").select(
         F.col("page_id").alias("_id"), F.col("good").cast("bigint").alias("good")
     )
-    per_host = (
-        parts.join(known, parts["page_id"] == known["_id"], "left")
-        .groupBy("host")
-        .agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.count("good").alias("n"))
-    )
+    # Pages without outcomes add nothing but their host, and need not meet by their id.
+    outcome = parts.join(known, parts["page_id"] == known["_id"]).select("host", "good", F.lit(1).alias("n"))
+    none = parts.select("host", F.lit(0).cast("bigint").alias("good"), F.lit(0).alias("n"))
+    sums = outcome.unionByName(none).groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    # Read for the totals, the three strengths and the result.
+    per_host = written(sums, "host-outcomes")
     scored = host_reputation(per_host).select("host", "bound")
     longest = sorted(rules, key=lambda r: (-len(r.rule), r.rule))
 

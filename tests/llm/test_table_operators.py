@@ -454,6 +454,41 @@ def test_url_rules(spark):
     assert got == [(r[0], *r[2:]) for r in rows]
 
 
+def test_reputation_reads_the_join_once_and_ignores_other_columns(spark):
+    rng = random.Random(9)
+    hosts = ["a.com", "b.com", "x.b.com", "c.org", "d.org", ""]
+    pages = [(i if i % 9 else None, f"http://{hosts[(i * 7 + i // 6) % 6]}/p{i}") for i in range(120)] + [(4, "http://a.com/again")] * 5
+    pages += [(7, None)]
+    marks = [(i, int(rng.random() < 0.7)) for i in range(0, 120, 2)] + [(4, 0), (None, 1), (6, None)]
+    plain = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(marks, "page_id long, good int")
+    clashing = (
+        plain[0].withColumns({c: F.lit("x") for c in ("host", "path", "good", "n", "rule", "_id", "bound")}),
+        plain[1].withColumns({c: F.lit("x") for c in ("host", "url", "n", "_id")}),
+    )
+    want = collections.Counter(map(tuple, reputation.verdicts(*plain).collect()))
+    assert collections.Counter(map(tuple, reputation.verdicts(*clashing).collect())) == want
+    assert sum(want.values()) == len(pages)
+    told = collections.defaultdict(lambda: [0, 0])
+    for page, url in pages:
+        for marked, good in marks:
+            if page is not None and page == marked and good is not None:
+                told[url.split("/")[2] if url else ""][0] += good
+                told[url.split("/")[2] if url else ""][1] += 1
+    seen = {}
+    whole = reputation.host_reputation
+
+    def watched(outcomes):
+        seen["plan"] = outcomes._jdf.queryExecution().optimizedPlan().toString()
+        seen["rows"] = {r["host"]: [r["good"], r["n"]] for r in outcomes.collect()}
+        return whole(outcomes)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(reputation, "host_reputation", watched)
+        reputation.verdicts(*plain)
+    assert {h: v for h, v in seen["rows"].items() if v[1]} == dict(told) and set(seen["rows"]) == set(hosts)
+    assert "Join" not in seen["plan"]
+
+
 def test_reputation_blocks_bad_hosts_and_shrinks_small_ones(spark):
     pages, outcomes = [], []
     for h in range(12):
