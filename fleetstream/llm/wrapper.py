@@ -11,8 +11,14 @@ text), without elements that are boilerplate by their meaning.
 Pages of a host whose content roots have the same text count as one page, so copies make no
 text constant: they meet by a digest of it, and one tree of each is kept.  Every task aligns
 the trees it reads into one template per host; those of a host are merged by the same matching in two levels, so a host
-with a third of all pages meets in one task as a few small trees.  Pages get their host's
-template where they are read, or by a shuffle without the hot hosts.
+with a third of all pages meets in one task as a few small trees.  Templates are broadcast if
+their bytes are few, else hosts with many pages are split over as many tasks as they need.
+
+A template node remembers at most ``TEXTS`` texts by a summary that keeps any text on more than
+one in ``TEXTS + 1`` of its pages, and nodes dropped from a large template are counted as missed,
+so any node on more than ``RARE`` of the pages is there whatever the order of pages and tasks.
+Both only propose: every different page is then aligned with its host's whole template, and
+pages and texts of the nodes are counted exactly, over all tasks, before a text becomes constant.
 
 Defined cases: null and empty html give an empty text; null urls share one host; null and
 repeated ids are kept as rows; copies of a page get the same text, and any number of them is
@@ -30,10 +36,12 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -48,11 +56,14 @@ from fleetstream.llm.common import written
 LEAST_PAGES = 20
 CONSTANT_SHARE = 0.9
 HOST_SHARE = 0.25
-# Texts remembered per template node (any with a share above 1 / TEXTS is among them), and
-# nodes beyond which those on under RARE of the pages are dropped: they cannot be constant.
+# Texts proposed per template node (any with a share above 1 / (TEXTS + 1) is among them), and
+# nodes beyond which those surely on under RARE of the pages are dropped: far below HOST_SHARE,
+# they cannot be constant.
 TEXTS = 4
 MOST_NODES = 4096
 RARE = 0.01
+# Template nodes, and counts, that a task holds before it passes them on.
+HELD = 1 << 18
 MERGE_WAYS = 32
 # Levels of elements in a page's tree, and cells of a matching table that is kept whole.
 DEEPEST = 200
@@ -342,11 +353,20 @@ def matched(a: list, b: list, weigh: bool = True) -> tuple[int, list[tuple[int,
     return shapes.most(one, other) if weigh else 0, shapes.pairs(one, other)
 
 
-# A template node is [label, {text digest: pages}, children, pages].
+# A template node is [label, {text digest: pages}, children, pages, pages at most missed].
 
 
 def _as_template(run: list) -> list:
-    return [run[0], {run[1]: 1}, [_as_template(c) for c in run[2]], 1]
+    return [run[0], {run[1]: 1}, [_as_template(c) for c in run[2]], 1, 0]
+
+
+def _missed(nodes: list[list], pages: int) -> list[list]:
+    """The nodes, which that many pages may have had before they were dropped."""
+    if pages:
+        for n in nodes:
+            n[4] += pages
+            _missed(n[2], pages)
+    return nodes
 
 
 def _add_texts(into: dict, more: dict) -> None:
@@ -360,18 +380,22 @@ def _add_texts(into: dict, more: dict) -> None:
                 del into[k]
 
 
-def merge(into: list[list], more: list[list]) -> list[list]:
-    """Two templates as one: aligned nodes are united, the others kept between them."""
+def merge(into: list[list], more: list[list], into_lost: int = 0, more_lost: int = 0) -> list[list]:
+    """Two templates as one: aligned nodes are united, the others kept between them.
+
+    A node that one side lacks may have been dropped there with as many pages as that side lost.
+    """
     out: list[list] = []
     i = j = 0
     for a, b in [*matched(into, more, weigh=False)[1], (len(into), len(more))]:
-        out += into[i:a]
-        out += more[j:b]
+        out += _missed(into[i:a], more_lost)
+        out += _missed(more[j:b], into_lost)
         if a < len(into):
             one, other = into[a], more[b]
             _add_texts(one[1], other[1])
-            one[2] = merge(one[2], other[2])
+            one[2] = merge(one[2], other[2], into_lost, more_lost)
             one[3] += other[3]
+            one[4] += other[4]
             out.append(one)
         i, j = a + 1, b + 1
     return out
@@ -381,8 +405,8 @@ def _size(nodes: list) -> int:
     return sum(1 + _size(n[2]) for n in nodes)
 
 
-def _pruned(nodes: list, least: float) -> list:
-    kept = [n for n in nodes if n[3] >= least]
+def _pruned(nodes: list, least: int) -> list:
+    kept = [n for n in nodes if n[3] + n[4] > least]
     for n in kept:
         n[2] = _pruned(n[2], least)
     return kept
@@ -394,11 +418,15 @@ class Template:
     def __init__(self, pages: int = 0, nodes: list | None = None):
         self.pages, self.nodes = pages, nodes or []
 
+    def lost(self) -> int:
+        """The most pages of this template that had a node which is not in it."""
+        return int(RARE * self.pages)
+
     def add(self, other: Template) -> None:
+        self.nodes = merge(self.nodes, other.nodes, self.lost(), other.lost())
         self.pages += other.pages
-        self.nodes = merge(self.nodes, other.nodes)
         if _size(self.nodes) > MOST_NODES:
-            self.nodes = _pruned(self.nodes, RARE * self.pages)
+            self.nodes = _pruned(self.nodes, self.lost())
 
     def dumped(self) -> str:
         return json.dumps([self.pages, self.nodes])
@@ -407,25 +435,47 @@ class Template:
     def load(text: str) -> Template:
         return Template(*json.loads(text))
 
-    def constants(self) -> list:
-        """The template reduced to branches with constant nodes: [label, digest or None, children]."""
+    def proposed(self) -> list:
+        """Labels and proposed texts, nodes numbered in page order: [label, number, children, texts]."""
+        numbers = count()
+
+        def numbered(nodes: list) -> list:
+            return [[n[0], next(numbers), numbered(n[2]), sorted(n[1])] for n in nodes]
 
-        def reduced(nodes: list) -> list:
-            out = []
-            for label, texts, children, pages in nodes:
-                inner = reduced(children)
-                text, n = max(texts.items(), key=lambda x: x[1], default=("", 0))
-                enough = pages >= LEAST_PAGES and n >= max(CONSTANT_SHARE * pages, HOST_SHARE * self.pages)
-                fixed = text if text and enough else None
-                # Siblings stay even without a constant: the matching needs them.
-                out.append([label, fixed, inner])
-            return out
+        return numbered(self.nodes)
 
-        def any_fixed(nodes: list) -> bool:
-            return any(n[1] is not None or any_fixed(n[2]) for n in nodes)
 
-        nodes = reduced(self.nodes)
-        return nodes if any_fixed(nodes) else []
+def aligned(page: list, proposed: list) -> Iterator[tuple[int, str]]:
+    """Number of every template node that a page has, and its text there if it is a proposed one."""
+    for i, j in matched(page, proposed, weigh=False)[1]:
+        text = page[i][1]
+        yield proposed[j][1], text if text in proposed[j][3] else ""
+        yield from aligned(page[i][2], proposed[j][2])
+
+
+def constants(proposed: list, pages: int, found: dict[int, dict[str, int]]) -> list:
+    """The template reduced to what tells constant nodes: [label, digest or None, children].
+
+    ``found`` has the pages of every node by text, ``""`` for all other texts.
+    """
+
+    def reduced(nodes: list) -> list:
+        out = []
+        for label, number, children, _ in nodes:
+            counted = found.get(number, {})
+            having = sum(counted.values())
+            told = {text: n for text, n in counted.items() if text}
+            text, n = max(told.items(), key=lambda x: (x[1], x[0]), default=("", 0))
+            enough = having >= LEAST_PAGES and n >= max(CONSTANT_SHARE * having, HOST_SHARE * pages)
+            # Siblings stay even without a constant: the matching needs them.
+            out.append([label, text if text and enough else None, reduced(children)])
+        return out
+
+    def any_fixed(nodes: list) -> bool:
+        return any(n[1] is not None or any_fixed(n[2]) for n in nodes)
+
+    nodes = reduced(proposed)
+    return nodes if any_fixed(nodes) else []
 
 
 def constant_nodes(page: list, template: list) -> Iterator[int]:
@@ -535,14 +585,9 @@ def _page_trees(batches):
         )
 
 
-def _page_templates(batches):
-    """One template per host of the trees that a task reads."""
-    found: dict[str, Template] = {}
-    for batch in batches:
-        for host, tree in zip(batch.column("host").to_pylist(), batch.column("tree").to_pylist(), strict=True):
-            found.setdefault(host, Template()).add(Template(1, [_as_template(r) for r in json.loads(tree)]))
+def _template_batch(found: dict[str, Template]) -> pa.RecordBatch:
     hosts = list(found)
-    yield pa.RecordBatch.from_arrays(
+    return pa.RecordBatch.from_arrays(
         [
             pa.array(hosts, pa.string()),
             pa.array([hash_way(h, found[h].nodes) for h in hosts], pa.int32()),
@@ -552,6 +597,20 @@ def _page_templates(batches):
     )
 
 
+def _page_templates(batches):
+    """Templates per host of the trees that a task reads: one, or more where they grow large."""
+    found: dict[str, Template] = {}
+    sizes: dict[str, int] = {}
+    for batch in batches:
+        for host, tree in zip(batch.column("host").to_pylist(), batch.column("tree").to_pylist(), strict=True):
+            found.setdefault(host, Template()).add(Template(1, [_as_template(r) for r in json.loads(tree)]))
+            sizes[host] = _size(found[host].nodes)
+        if sum(sizes.values()) > HELD:
+            yield _template_batch(found)
+            found, sizes = {}, {}
+    yield _template_batch(found)
+
+
 def hash_way(host: str, nodes: list) -> int:
     """Spreads the templates of one host over the first level of merging."""
     return int.from_bytes(blake2b(json.dumps(nodes).encode(), digest_size=4).digest(), "big") % MERGE_WAYS
@@ -564,11 +623,64 @@ def _merged_templates(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": frame["host"].iloc[:1], "template": [whole.dumped()]})
 
 
-def _constant_templates(frame: pd.DataFrame) -> pd.DataFrame:
-    merged = _merged_templates(frame)
-    whole = Template.load(merged["template"].iloc[0])
-    nodes = whole.constants()
-    return pd.DataFrame({"host": merged["host"], "template": [json.dumps(nodes) if nodes else None]})
+def _count_batch(found: Counter) -> pa.RecordBatch:
+    rows = list(found)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([r[0] for r in rows], pa.string()),
+            pa.array([r[1] for r in rows], pa.int32()),
+            pa.array([r[2] for r in rows], pa.string()),
+            pa.array([found[r] for r in rows], pa.int64()),
+        ],
+        ["host", "node", "text", "n"],
+    )
+
+
+def _counted(batches):
+    """Pages by host, template node and proposed text, added up within the task."""
+    found: Counter = Counter()
+    loaded = _Loaded(lambda template: Template.load(template).proposed())
+    for batch in batches:
+        for host, tree, template in zip(
+            *(batch.column(c).to_pylist() for c in ("host", "tree", "template")), strict=True
+        ):
+            found.update((host, node, text) for node, text in aligned(json.loads(tree), loaded[template]))
+        if len(found) > HELD:
+            yield _count_batch(found)
+            found = Counter()
+    yield _count_batch(found)
+
+
+def _constant_templates(batches):
+    for batch in batches:
+        out = []
+        for template, counts in zip(
+            batch.column("template").to_pylist(), batch.column("counts").to_pylist(), strict=True
+        ):
+            whole = Template.load(template)
+            found: dict[int, dict[str, int]] = {}
+            for c in counts or []:
+                found.setdefault(c["node"], {})[c["text"]] = c["n"]
+            nodes = constants(whole.proposed(), whole.pages, found)
+            out.append(json.dumps(nodes) if nodes else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), pa.array(out, pa.string()), batch.column("pages")],
+            ["host", "template", "pages"],
+        )
+
+
+class _Loaded(dict):
+    """Templates that a task has read, some at a time."""
+
+    def __init__(self, load):
+        super().__init__()
+        self.load = load
+
+    def __missing__(self, template: str):
+        if len(self) > 256:
+            self.clear()
+        self[template] = self.load(template)
+        return self[template]
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -582,40 +694,57 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     partial = distinct.select("host", "tree").mapInArrow(_page_templates, "host string, way int, template string")
     halfway = partial.groupBy("host", "way").applyInPandas(_merged_templates, schema)
-    whole = halfway.groupBy("host").applyInPandas(_constant_templates, schema)
-    return whole.join(distinct.groupBy("host").agg(F.sum("pages").alias("pages")), "host")
+    merged = halfway.groupBy("host").applyInPandas(_merged_templates, schema)
+    sizes = distinct.groupBy("host").agg(
+        F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("different")
+    )
+    # Hosts with too few different pages have no constant.
+    whole = written(merged.join(sizes.where(F.col("different") >= LEAST_PAGES), "host"), "host-templates")
+    counted = (
+        with_template(distinct.select("host", "tree"), whole, "different")
+        .where("template is not null")
+        .mapInArrow(_counted, "host string, node int, text string, n bigint")
+        .groupBy("host", "node", "text")
+        .agg(F.sum("n").alias("n"))
+        # At most as many rows as a template has nodes and proposed texts.
+        .groupBy("host")
+        .agg(F.collect_list(F.struct("node", "text", "n")).alias("counts"))
+    )
+    return (
+        whole.join(counted, "host", "left")
+        .select("host", "template", "pages", "counts")
+        .mapInArrow(_constant_templates, "host string, template string, pages bigint")
+    )
 
 
-def with_template(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows with the template of their host, whose pages are never brought together.
+def with_template(rows: DataFrame, known: DataFrame, size: str = "pages") -> DataFrame:
+    """Rows with the template of their host, or null, whose rows are never brought together.
 
-    Templates of a measured size are broadcast.  Beyond that, those of hosts with more than
-    ``HOT_SHARE`` of all pages are, of which there are at most ``1 / HOT_SHARE``; the others
-    are joined by a shuffle that then has no hot host.
+    Templates of a measured size are broadcast.  Beyond that they are joined by a shuffle, in
+    which a host gets a way more for every ``HOT_SHARE`` of all rows, so at most ``1 / HOT_SHARE``
+    hosts, whose names are broadcast, have several.
     """
-    told = known.where("template is not null")
-    size, total = known.agg(F.sum(F.octet_length("template")), F.sum("pages")).first()
-    if (size or 0) <= MOST_BROADCAST:
-        return rows.join(F.broadcast(told.drop("pages")), "host", "left")
-    hot = F.col("pages") > F.lit(HOT_SHARE * total)
-    hot_hosts = known.where(hot).select("host", "template")
-    in_hot = rows.join(F.broadcast(hot_hosts), "host")
-    rest = rows.join(F.broadcast(hot_hosts.select("host")), "host", "left_anti")
-    return in_hot.unionByName(rest.join(told.where(~hot).select("host", "template"), "host", "left"))
+    told = known.where("template is not null").select("host", "template", F.col(size).alias("_size"))
+    n_bytes, total = told.agg(F.sum(F.octet_length("template")), F.sum("_size")).first()
+    if (n_bytes or 0) <= MOST_BROADCAST:
+        return rows.join(F.broadcast(told.drop("_size")), "host", "left")
+    ways = (1 + F.floor(F.col("_size") / F.lit(HOT_SHARE * total))).cast("int")
+    placed = told.select("host", "template", ways.alias("_ways"))
+    hot = placed.where("_ways > 1").select("host", "_ways")
+    way = F.pmod(F.monotonically_increasing_id(), F.coalesce("_ways", F.lit(1))).cast("int")
+    dealt = rows.join(F.broadcast(hot), "host", "left").withColumn("_way", way).drop("_ways")
+    spread = placed.select("host", "template", F.explode(F.sequence(F.lit(0), F.col("_ways") - 1)).alias("_way"))
+    return dealt.join(spread, ["host", "_way"], "left").drop("_way")
 
 
 def _extracted(batches):
-    loaded: dict[str, list] = {}
+    loaded = _Loaded(json.loads)
     for batch in batches:
         texts = []
         for html, template in zip(
             batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True
         ):
-            if template is not None and template not in loaded:
-                if len(loaded) > 256:
-                    loaded.clear()
-                loaded[template] = json.loads(template)
-            texts.append(main_text(html, loaded.get(template)))
+            texts.append(main_text(html, loaded[template] if template is not None else None))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
             ["page_id", "url", "text"],

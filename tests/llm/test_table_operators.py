@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import random
 import re
 
@@ -416,6 +417,85 @@ def test_long_pages_of_one_host(spark):
     assert got[1]["text"] == " ".join(f"t{i} 2x{i}" for i in range(19_000)) and got[0]["page_id"] == 2
 
 
+@pytest.mark.parametrize("most", [16 << 20, 0])
+def test_shares_of_texts_are_exact(spark, monkeypatch, most):
+    """A text on 91 % of the pages is template, one on 89 % is not, whatever the others say."""
+    monkeypatch.setattr(wrapper, "MOST_BROADCAST", most)
+    monkeypatch.setattr(wrapper, "HOT_SHARE", 0.1)
+
+    def page(i):
+        often = "Notice on most pages." if i % 100 < 91 else f"instead {i}"
+        less = "Not on enough pages." if i % 100 < 89 else f"other {i}"
+        return f"<article><p>{prose(i, 20)}</p><section>{often}</section><h4>{less}</h4></article>"
+
+    rows = [(i, f"http://exact.example.com/{i}", page(i)) for i in range(400)]
+    rows += [(1000 + i, "http://few.example.com/", page(i)) for i in range(wrapper.LEAST_PAGES - 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    got = {r["page_id"]: r["text"] for r in wrapper.extracted(pages).collect()}
+    assert len(got) == len(rows)
+    for i in range(400):
+        rest = "Not on enough pages." if i % 100 < 89 else f"other {i}"
+        middle = [] if i % 100 < 91 else [f"instead {i}"]
+        assert got[i] == " ".join([prose(i, 20), *middle, rest])
+    # Too few different pages for any constant.
+    assert all("Notice on most pages." in got[1000 + i] for i in range(wrapper.LEAST_PAGES - 1))
+
+
+def rows_with_rare_nodes(pick, n):
+    """Pages of nodes that only they have, around two that some have, one of them late only."""
+    pages = []
+    for i in range(n):
+        nodes = [[f"rare{i}.{k}", "", [[f"inner{i}", "", []]]] for k in range(pick.randint(0, 6))]
+        if pick.random() < 0.3:
+            nodes.append(["some", "t", []])
+        if i > 0.6 * n:
+            nodes.append(["late", "t", [["below", "u", []]]])
+        pages.append(nodes)
+    return pages
+
+
+@pytest.mark.parametrize("parts", [1, 7, 150])
+def test_pruned_templates_keep_frequent_nodes(monkeypatch, parts):
+    monkeypatch.setattr(wrapper, "MOST_NODES", 40)
+    monkeypatch.setattr(wrapper, "RARE", 0.05)
+    pages = rows_with_rare_nodes(random.Random(parts), 600)
+    whole = wrapper.Template()
+    for k in range(parts):
+        part = wrapper.Template()
+        for nodes in pages[k * len(pages) // parts : (k + 1) * len(pages) // parts]:
+            part.add(wrapper.Template(1, [wrapper._as_template(n) for n in nodes]))
+        whole.add(wrapper.Template.load(part.dumped()))
+    assert whole.pages == len(pages) and whole.lost() == 30
+    # Far fewer than all the nodes there are.
+    assert wrapper._size(whole.nodes) < 1000 < sum(map(wrapper._size, pages))
+    found = {n[0]: n for n in whole.nodes}
+    for label in ("some", "late"):
+        truth = sum(any(n[0] == label for n in nodes) for nodes in pages)
+        node = found[label]
+        assert truth - whole.lost() <= node[3] <= truth <= node[3] + node[4]
+        assert max(node[1], key=node[1].get) == "t"
+    assert [n[0] for n in found["late"][2]] == ["below"]
+    proposed = whole.proposed()
+    assert dict(wrapper.aligned([["late", "t", [["below", "x", [], []]], []]], proposed)) == {
+        number: text
+        for label, number, children, _ in proposed
+        if label == "late"
+        for number, text in [(number, "t"), (children[0][1], "")]
+    }
+
+
+def test_large_templates_are_passed_on_early(monkeypatch):
+    monkeypatch.setattr(wrapper, "HELD", 1)
+    tree = json.dumps([["div", "d", [["p", "q", []]]]])
+    batch = pa.RecordBatch.from_pydict({"host": ["a", "b", "a"], "tree": [tree] * 3})
+    out = [r for b in wrapper._page_templates([batch, batch]) for r in b.to_pylist()]
+    assert sorted((r["host"], wrapper.Template.load(r["template"]).pages) for r in out) == [("a", 2), ("a", 2), ("b", 1), ("b", 1)]
+    template = wrapper.Template.load(out[0]["template"]).dumped()
+    batch = batch.append_column("template", pa.array([template] * 3))
+    counts = [r for b in wrapper._counted([batch, batch]) for r in b.to_pylist()]
+    assert sum(r["n"] for r in counts) == 12 and len(counts) == 8
+
+
 @pytest.mark.parametrize("most", [16 << 20, 0])
 def test_constant_blocks_become_template(spark, monkeypatch, most):
     monkeypatch.setattr(wrapper, "MOST_BROADCAST", most)
