@@ -28,6 +28,7 @@ from fleetstream.plans.views import HOUR_MS, table, telemetry
 from fleetstream.session import fresh_path, materialise
 from fleetstream.sources import messages as message_source
 from fleetstream.sources import run_files
+from fleetstream.sources.bucketed_runs import land_runs
 from fleetstream.sources.telemetry_csv import read_telemetry_csv, telemetry_csv_rejects
 from fleetstream.streaming import backlog as stream_backlogs
 from fleetstream.streaming import committed as stream_commits
@@ -547,6 +548,15 @@ def run_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.drop("_valid", "_invalid_reason", "first_alert_after_reconnect")
 
 
+@query
+def run_facts_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of runs that were landed in buckets of their ids."""
+    runs, lines = runs_and_lines(spark, sf_dir)
+    landed = land_runs(lines, views.run_samples_of(runs))
+    found = landed.report(spark, run_report.run_facts)
+    return found.drop("_valid", "_invalid_reason", "first_alert_after_reconnect")
+
+
 @query
 def run_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts(spark, sf_dir).select("run_id", "_valid", "_invalid_reason")

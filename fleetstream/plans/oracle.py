@@ -497,6 +497,7 @@ ORACLES: dict[str, str] = {
 }
 # Written to files and read again, the facts are the same.
 ORACLES["run_directories"] = ORACLES["run_facts"]
+ORACLES["run_facts_bucketed"] = ORACLES["run_facts"]
 SLICED = f"""{TEL}, cut AS (SELECT min(seq) AS low, (max(seq) - min(seq)) // 3 + 1 AS width FROM tel),
 sliced AS (SELECT tel.*, (seq - low) // width AS slice FROM tel, cut)"""
 ORACLES["stream_committed"] = f"""{SLICED}, c AS (SELECT count(*) AS n,
