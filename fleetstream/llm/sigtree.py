@@ -194,10 +194,11 @@ def _clusters(batches):
     held = None
 
     def made(token, cls, size):
+        size = size.astype(np.int64)
         if not len(token):
             return None
         new = np.concatenate(
-            [[True], (token[1:] != token[:-1]) | (100 * size[:-1].astype(np.int64) < PERCENT * size[1:])]
+            [[True], (token[1:] != token[:-1]) | (100 * size[:-1] < PERCENT * size[1:])]
         )
         group = np.cumsum(new) - 1
         start = np.flatnonzero(new)
@@ -207,7 +208,7 @@ def _clusters(batches):
         # A class that several tasks sent is there more than once for a token.
         keep &= np.concatenate([[True], (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])])
         rows, shared = np.unique(
-            np.stack([least[keep], cls[keep], size[keep].astype(np.int64)], axis=1), axis=0, return_counts=True
+            np.stack([least[keep], cls[keep], size[keep]], axis=1), axis=0, return_counts=True
         )
         return pa.RecordBatch.from_arrays(
             [*(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)), pa.array(shared.astype(np.int64))],

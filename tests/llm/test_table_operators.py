@@ -271,6 +271,18 @@ def test_jaccard_defined_cases(odd, none):
     assert ids.count(None) == 1 and ids.count(4) == 2
 
 
+def test_clusters_of_very_large_sets_are_cut():
+    def clusters(*sizes):
+        n = len(sizes)
+        batch = pa.RecordBatch.from_pydict(
+            {"token": [5] * n, "class": list(range(n)), "size": pa.array(sizes, pa.int32())}
+        )
+        return [r for b in sigtree._clusters([batch]) for r in b.to_pylist()]
+
+    assert clusters(10_000_000, 36_000_000) == []
+    assert [(r["class"], r["size"]) for r in clusters(30_000_000, 36_000_000)] == [(0, 30_000_000), (1, 36_000_000)]
+
+
 # --- pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p><p>x";</script></head>
