@@ -2,8 +2,12 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -210,6 +214,31 @@ def test_cache_is_used_and_appended(spark, tmp_path, monkeypatch):
     assert tokencache.token_counts(more, path, cache).count() == 4
 
 
+def test_a_task_encodes_in_one_thread():
+    """In a process of its own, which no other test has given threads."""
+    script = """
+import os, sys
+import pyarrow as pa
+from fleetstream.llm import tokencache
+
+texts = [f"text {i} of several words, {i * 7}" for i in range(2000)]
+batch = pa.RecordBatch.from_pydict({"digest": [t.encode() for t in texts], "text": texts})
+before = len(os.listdir("/proc/self/task"))
+[counted] = tokencache._counted(sys.argv[1], "v")([batch])
+after = len(os.listdir("/proc/self/task"))
+alone = tokencache.counter(sys.argv[1])
+same = counted.column("n_tokens").to_pylist() == [alone.encode([t])[0] for t in texts]
+print(after - before, same)
+"""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    done = subprocess.run(
+        [sys.executable, "-c", script, path],
+        cwd=Path(__file__).parents[2], env=env, capture_output=True, text=True, timeout=120,
+    )
+    assert done.stdout.split() == ["0", "True"], done.stderr
+
+
 def test_many_matches_take_linear_steps(spark):
     """100 000 matches in one text, found and masked."""
     n = 100_000
