@@ -8,7 +8,7 @@ stateful operator, so a quiet stream needs a line from time to time to move it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import AbstractContextManager
+from contextlib import AbstractContextManager, contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +42,8 @@ def alert_latency_stream(
     marks = log_marks(lines, critical_max, "at").withWatermark("at", delay)
     marks = marks.withColumnRenamed("run_id", "mark_run")
     run = ["run_id", "run_date", "started_s", "started_at"]
-    begun = starts.select(run).withWatermark("started_at", delay)
+    # A start told again would meet every mark of its run again.
+    begun = starts.select(run).withWatermark("started_at", delay).dropDuplicates(run)
     near = (
         (F.col("run_id") == F.col("mark_run"))
         & (F.col("at") >= F.col("started_at"))
@@ -187,3 +188,20 @@ def keyed_state(spark: SparkSession) -> AbstractContextManager[None]:
     name = "spark.sql.streaming.stateStore.providerClass"
     provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     return with_setting(spark, name, provider)
+
+
+@contextmanager
+def short_state(spark: SparkSession) -> Iterator[None]:
+    """Start a query whose state is small between micro-batches.
+
+    Every micro-batch commits some six state stores a partition, however few rows they hold, so
+    there are at most two partitions a core.  Of the state kept in memory only the latest
+    version is.
+    """
+    partitions = "spark.sql.shuffle.partitions"
+    most = min(int(spark.conf.get(partitions)), 2 * spark.sparkContext.defaultParallelism)
+    with (
+        with_setting(spark, partitions, str(most)),
+        with_setting(spark, "spark.sql.streaming.maxBatchesToRetainInMemory", "1"),
+    ):
+        yield
